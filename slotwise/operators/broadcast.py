@@ -1,0 +1,26 @@
+"""Broadcast only sides whose size is checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``limit(n + 1).count()`` stops scanning as soon as the bound is crossed,
+    so the check is cheap even when the answer is "too big".
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized_broadcast(df: DataFrame, max_rows: int, bound_by: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` when a row bound is proven, else ``df`` (shuffle join).
+
+    ``bound_by`` is a cheaper DataFrame with at least as many rows as ``df``
+    (for example the raw feed before de-duplication); checking it avoids
+    computing ``df`` just to size it.
+    """
+    probe = df if bound_by is None else bound_by
+    return F.broadcast(df) if bounded_rows(probe, max_rows) else df
