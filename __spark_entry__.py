@@ -26,7 +26,14 @@ from slotwise.plans.pairing import band_pairs  # noqa: E402
 from slotwise.plans.pipeline import Pipeline  # noqa: E402
 from slotwise.plans.recommend import daily_top_n, publish_gate  # noqa: E402
 from slotwise.plans.silver import conform_screen  # noqa: E402
+from slotwise.schemas import BOOKING, SCHEDULE, SCREEN, SILVER_NAMES  # noqa: E402
+from slotwise.session import run_dir  # noqa: E402
 from slotwise.sources import adapters  # noqa: E402
+from slotwise.sources.csv_feeds import (  # noqa: E402
+    read_feed, read_feed_rescued, schema_of, with_ingest_metadata, write_feed,
+)
+from slotwise.sources.tables import create_namespace, list_tables, save_table  # noqa: E402
+from slotwise.streaming.bronze import BronzeLayout, ingest_all  # noqa: E402
 
 P = Params()
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -192,6 +199,79 @@ def q_distinct_rows(spark, sf_dir):
     return conform_screen(feed.unionByName(feed), dedup="distinct")
 
 
+# ---------------------------------------------------------------- sources, sinks, streams
+
+NEXT_DAY = "2026-07-02"
+DROP_VOLATILE = ("_ingest_ts", "_source_file")
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Write the screen feed as partitioned CSV, read it back typed."""
+    feed = adapters.screens(spark, sf_dir, "nation", P)
+    root = run_dir(spark, "csv-roundtrip")
+    write_feed(feed, root, SCREEN, P.run_date)
+    return read_feed(spark, root, SCREEN, schema_of(feed))
+
+
+def q_partitioned_csv_scan(spark, sf_dir):
+    """Bookings landed in monthly load directories; partition
+    discovery types ``load_date``; the snapshot date is also taken from the path."""
+    feed = adapters.bookings(spark, sf_dir, P)
+    root = run_dir(spark, "csv-monthly")
+    write_feed(feed, root, BOOKING, F.trunc(F.col("snapshot_ts"), "month"))
+    back = with_ingest_metadata(read_feed(spark, root, BOOKING, schema_of(feed)), P.run_date)
+    return back.select("snapshot_id", "showtime_id", "snapshot_ts", "booked_seats", "load_date", "_source_snapshot_date")
+
+
+def q_rescued_rows(spark, sf_dir):
+    """A5: unparseable values become NULL and are kept as JSON text."""
+    export = adapters.booking_export(spark, sf_dir, P)
+    root = run_dir(spark, "csv-rescue")
+    write_feed(export, root, BOOKING, P.run_date)
+    typed = schema_of(adapters.bookings(spark, sf_dir, P))
+    back = read_feed_rescued(spark, root, BOOKING, typed)
+    return back.select("snapshot_id", "showtime_id", "booked_seats", "hours_to_show", "_rescued_data")
+
+
+def q_stream_ingest(spark, sf_dir):
+    """Schedule feed landed as CSV, streamed into a bronze table."""
+    feed = adapters.showtimes(spark, sf_dir, "nation", P)
+    layout = BronzeLayout(run_dir(spark, "landing"), run_dir(spark, "bronze"))
+    write_feed(feed, layout.landing, SCHEDULE, P.run_date)
+    tables = ingest_all(spark, layout, {SCHEDULE: schema_of(feed)}, P.run_date)
+    return spark.read.parquet(tables[SCHEDULE.name]).drop(*DROP_VOLATILE)
+
+
+def q_stream_reingest_idempotent(spark, sf_dir):
+    """A re-run picks up only new files; a full refresh rebuilds from all loads."""
+    feed = adapters.screens(spark, sf_dir, "nation", P)
+    layout = BronzeLayout(run_dir(spark, "landing"), run_dir(spark, "bronze"))
+    schemas = {SCREEN: schema_of(feed)}
+    write_feed(feed, layout.landing, SCREEN, P.run_date)
+    ingest_all(spark, layout, schemas, P.run_date)
+    write_feed(feed, layout.landing, SCREEN, NEXT_DAY)
+    ingest_all(spark, layout, schemas, NEXT_DAY)
+    ingest_all(spark, layout, schemas, NEXT_DAY)  # nothing new: no rows added
+    fresh = layout.refreshed()
+    tables = ingest_all(spark, fresh, schemas, NEXT_DAY)
+    return spark.read.parquet(tables[SCREEN.name]).select(
+        "screen_id", "capacity", "snapshot_date", "_source_snapshot_date", "_batch_id"
+    )
+
+
+def q_table_layers(spark, sf_dir):
+    """Silver tables saved in a namespace, listed and counted."""
+    pl = _pipe(spark, sf_dir)
+    root = run_dir(spark, "tables")
+    ns = "silver_" + root.rsplit("-", 1)[-1]
+    create_namespace(spark, ns, f"{root}/{ns}")
+    for name in SILVER_NAMES:
+        save_table(pl.silver[name], f"{ns}.{name}", f"{root}/{ns}/{name}")
+    return reports.stage_counts({t: spark.table(f"{ns}.{t}") for t in list_tables(spark, ns)}).withColumnRenamed(
+        "stage", "table_name"
+    )
+
+
 # ---------------------------------------------------------------- quality and reports
 
 

@@ -13,7 +13,9 @@ holds more than ``hot_rows`` rows are split into ``ceil(rows / hot_rows)``
 salted sub-groups by a hash of the left row; the matching right rows are
 copied once per salt. No row is dropped, so results stay whole while no single
 task receives a whole hot group. The hot-key list has at most
-``rows / hot_rows`` entries and is broadcast only after that bound is checked.
+``rows / hot_rows`` entries and is broadcast only after that bound is checked;
+when no group is hot the plain plan runs with no extra join. Finding the hot
+groups is one aggregate over the left input, so pass a materialized left.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.operators.broadcast import sized_broadcast
 
 _LE, _RE = "__band_epoch_l", "__band_epoch_r"
 _LB, _RB, _HOME = "__band_bucket_l", "__band_bucket_r", "__band_home_r"
@@ -71,28 +72,31 @@ def band_join(
             .where(F.col("count") > F.lit(hot_rows))
             .select(*left_keys, _LB, F.ceil(F.col("count") / F.lit(hot_rows)).cast("int").alias(_NS))
         )
-        hot_l = sized_broadcast(hot, max_hot_keys)
-        lt = lt.join(hot_l, on=[*left_keys, _LB], how="left").withColumn(
-            _LS,
-            F.when(F.col(_NS).isNull(), F.lit(0)).otherwise(
-                F.pmod(F.xxhash64(*[F.col(c) for c in left_cols]), F.col(_NS)).cast("int")
-            ),
-        ).drop(_NS)
-        hot_r = hot.select(
-            *[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys, strict=True)],
-            F.col(_LB).alias(_RB),
-            _NS,
-        )
-        rt = rt.join(sized_broadcast(hot_r, max_hot_keys), on=[*right_keys, _RB], how="left")
-        rt = rt.withColumn(
-            _RS,
-            F.explode(
-                F.when(F.col(_NS).isNull(), F.array(F.lit(0))).otherwise(
-                    F.sequence(F.lit(0), F.col(_NS) - 1)
-                )
-            ),
-        ).drop(_NS)
-        on.append(F.col(_LS) == F.col(_RS))
+        n_hot = hot.limit(max_hot_keys + 1).count()
+        if n_hot:
+            hot_l = F.broadcast(hot) if n_hot <= max_hot_keys else hot
+            lt = lt.join(hot_l, on=[*left_keys, _LB], how="left").withColumn(
+                _LS,
+                F.when(F.col(_NS).isNull(), F.lit(0)).otherwise(
+                    F.pmod(F.xxhash64(*[F.col(c) for c in left_cols]), F.col(_NS)).cast("int")
+                ),
+            ).drop(_NS)
+            hot_r = hot.select(
+                *[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys, strict=True)],
+                F.col(_LB).alias(_RB),
+                _NS,
+            )
+            hot_r = F.broadcast(hot_r) if n_hot <= max_hot_keys else hot_r
+            rt = rt.join(hot_r, on=[*right_keys, _RB], how="left")
+            rt = rt.withColumn(
+                _RS,
+                F.explode(
+                    F.when(F.col(_NS).isNull(), F.array(F.lit(0))).otherwise(
+                        F.sequence(F.lit(0), F.col(_NS) - 1)
+                    )
+                ),
+            ).drop(_NS)
+            on.append(F.col(_LS) == F.col(_RS))
 
     cond = on[0]
     for c in on[1:]:

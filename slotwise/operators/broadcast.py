@@ -15,6 +15,21 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def bounded_many(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """``bounded_rows`` for several DataFrames in one Spark job."""
+    if not dfs:
+        return {}
+    parts = [
+        df.limit(max_rows + 1).groupBy().count().select(F.lit(name).alias("name"), "count")
+        for name, df in dfs.items()
+    ]
+    u = parts[0]
+    for part in parts[1:]:
+        u = u.unionByName(part)
+    got = {r["name"]: r["count"] for r in u.collect()}
+    return {name: got.get(name, 0) <= max_rows for name in dfs}
+
+
 def sized_broadcast(df: DataFrame, max_rows: int, bound_by: DataFrame | None = None) -> DataFrame:
     """``broadcast(df)`` when a row bound is proven, else ``df`` (shuffle join).
 

@@ -4,25 +4,27 @@ Every stage is a lazy DataFrame. ``materialize`` (for example
 :func:`slotwise.sources.tables.parquet_materializer`) writes a stage to the
 shared folder and reads it back; the pipeline uses it at the two places where
 a barrier pays: before pairing (the enriched rows are read by both sides of
-the band join) and after candidates (an output table that gating, ranking,
-audit and reports all read).
+the band join and by the hot-group count) and after candidates (an output
+table that gating, ranking, audit and reports all read).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slotwise.operators.broadcast import sized_broadcast
+from slotwise.operators.broadcast import bounded_many
 from slotwise.params import Params
 from slotwise.plans.features import demand_features
 from slotwise.plans.forecast import demand_forecast, enrich
 from slotwise.plans.pairing import candidates
 from slotwise.plans.recommend import policy_cap, recommendations
-from slotwise.plans.silver import silver_tables
+from slotwise.plans.silver import SILVER_SOURCES, silver_table
 from slotwise.sources.adapters import domain_feeds
+from slotwise.sources.tables import parquet_materializer
 
 Materializer = Callable[[DataFrame, str], DataFrame]
 
@@ -30,13 +32,32 @@ Materializer = Callable[[DataFrame, str], DataFrame]
 # the band join splits the group into salted sub-groups.
 DEFAULT_HOT_ROWS = 2_000_000
 
+# Dimensions joined by lookup, and the feed that bounds each one's size.
+LOOKUPS = {"dim_screen": "screen_master", "dim_movie": "movie_master", "fact_schedule_policy": "schedule_policy"}
+
+
+class _Silver(Mapping):
+    def __init__(self, feeds: Mapping[str, DataFrame], dims: str) -> None:
+        self._feeds, self._dims, self._built = feeds, dims, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = silver_table(name, self._feeds[SILVER_SOURCES[name]], self._dims)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(SILVER_SOURCES)
+
+    def __len__(self) -> int:
+        return len(SILVER_SOURCES)
+
 
 class Pipeline:
     """Lazily built stages over one set of bronze feeds."""
 
     def __init__(
         self,
-        feeds: dict[str, DataFrame],
+        feeds: Mapping[str, DataFrame],
         p: Params = Params(),
         dims: str = "latest",
         materialize: Materializer | None = None,
@@ -47,28 +68,37 @@ class Pipeline:
         self.dims = dims
         self.materialize = materialize
         self.hot_rows = hot_rows
+        self.silver = _Silver(feeds, dims)
 
     @classmethod
-    def from_driver_tables(cls, spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params(), **kw) -> "Pipeline":
+    def from_driver_tables(
+        cls, spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params(),
+        barriers: bool = True, **kw,
+    ) -> "Pipeline":
+        if barriers and "materialize" not in kw:
+            kw["materialize"] = parquet_materializer(spark)
         return cls(domain_feeds(spark, sf_dir, site, p), p, **kw)
 
     def _barrier(self, df: DataFrame, name: str) -> DataFrame:
         return self.materialize(df, name) if self.materialize else df
 
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return silver_tables(self.feeds, self.dims)
+    def _lookup_bounded(self) -> dict[str, bool]:
+        """One job sizes every lookup dimension by its (larger) raw feed."""
+        return bounded_many({t: self.feeds[f] for t, f in LOOKUPS.items()}, self.p.broadcast_max_rows)
 
-    def _small(self, table: str, feed: str) -> DataFrame:
-        return sized_broadcast(self.silver[table], self.p.broadcast_max_rows, bound_by=self.feeds[feed])
+    def lookup(self, table: str) -> DataFrame:
+        """A dimension for joining: broadcast when its size bound is proven."""
+        df = self.silver[table]
+        return F.broadcast(df) if self._lookup_bounded[table] else df
 
     @cached_property
     def features(self) -> DataFrame:
         s = self.silver
         return demand_features(
             s["fact_showtime_schedule_current"],
-            self._small("dim_screen", "screen_master"),
-            self._small("dim_movie", "movie_master"),
+            self.lookup("dim_screen"),
+            self.lookup("dim_movie"),
             s["fact_booking_snapshot"],
             self.p,
         )
@@ -79,12 +109,13 @@ class Pipeline:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        e = enrich(self.features, self._small("fact_schedule_policy", "schedule_policy"), p=self.p)
+        e = enrich(self.features, self.lookup("fact_schedule_policy"), p=self.p)
         return self._barrier(e, "enriched")
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return self._barrier(candidates(self.enriched, self.p, self.hot_rows), "candidates")
+        hot = self.hot_rows if self.materialize else None
+        return self._barrier(candidates(self.enriched, self.p, hot), "candidates")
 
     @cached_property
     def cap(self) -> int | None:

@@ -44,8 +44,8 @@ def daily_top_n(gated: DataFrame, cap: int | None = None, rank_col: str | None =
 
 def policy_cap(policy: DataFrame) -> int | None:
     """Largest daily maximum over all sites (one scalar from a small table)."""
-    row = policy.agg(F.max("maximum_recommendations_per_day").alias("m")).first()
-    return None if row is None or row["m"] is None else int(row["m"])
+    rows = policy.agg(F.max("maximum_recommendations_per_day").alias("m")).collect()
+    return None if not rows or rows[0]["m"] is None else int(rows[0]["m"])
 
 
 def recommendations(

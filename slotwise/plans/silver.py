@@ -86,17 +86,39 @@ def conform_policy(bronze: DataFrame, dedup: str | None = "latest") -> DataFrame
     return _dedup_dim(t, "policy_id", dedup)
 
 
-def silver_tables(feeds: dict[str, DataFrame], dims: str = "latest") -> dict[str, DataFrame]:
+SILVER_SOURCES = {
+    "dim_theatre": "theatre_master",
+    "dim_screen": "screen_master",
+    "dim_movie": "movie_master",
+    "fact_showtime_schedule_current": "showtime_schedule",
+    "fact_booking_snapshot": "booking_snapshot",
+    "fact_screen_availability": "screen_availability",
+    "fact_schedule_policy": "schedule_policy",
+}
+
+
+def silver_table(name: str, feed: DataFrame, dims: str = "latest") -> DataFrame:
+    """One silver table from its bronze feed."""
+    if name == "dim_theatre":
+        return conform_theatre(feed, dims)
+    if name == "dim_screen":
+        return conform_screen(feed, dims)
+    if name == "dim_movie":
+        return conform_movie(feed, dims)
+    if name == "fact_showtime_schedule_current":
+        return current_schedule(feed)
+    if name == "fact_booking_snapshot":
+        return booking_snapshots(feed)
+    if name == "fact_screen_availability":
+        return conform_availability(feed)
+    if name == "fact_schedule_policy":
+        return conform_policy(feed, dims)
+    raise KeyError(name)
+
+
+def silver_tables(feeds, dims: str = "latest") -> dict[str, DataFrame]:
     """All seven silver tables from bronze feeds keyed by feed name."""
-    return {
-        "dim_theatre": conform_theatre(feeds["theatre_master"], dims),
-        "dim_screen": conform_screen(feeds["screen_master"], dims),
-        "dim_movie": conform_movie(feeds["movie_master"], dims),
-        "fact_showtime_schedule_current": current_schedule(feeds["showtime_schedule"]),
-        "fact_booking_snapshot": booking_snapshots(feeds["booking_snapshot"]),
-        "fact_screen_availability": conform_availability(feeds["screen_availability"]),
-        "fact_schedule_policy": conform_policy(feeds["schedule_policy"], dims),
-    }
+    return {name: silver_table(name, feeds[src], dims) for name, src in SILVER_SOURCES.items()}
 
 
 def as_text_ids(df: DataFrame) -> DataFrame:

@@ -110,3 +110,9 @@ FEEDS: dict[str, Feed] = {
 
 # Bronze metadata columns, in order.
 META_COLUMNS = ("_ingest_ts", "_source_file", "_batch_id", "_source_snapshot_date", "_rescued_data")
+
+# Silver table names, in pipeline order.
+SILVER_NAMES = (
+    "dim_theatre", "dim_screen", "dim_movie", "fact_showtime_schedule_current",
+    "fact_booking_snapshot", "fact_screen_availability", "fact_schedule_policy",
+)

@@ -19,6 +19,8 @@ Derivation rules (fixed, mirrored by the oracle SQL):
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
@@ -29,8 +31,20 @@ from slotwise.params import Params
 SITE_LEVELS = ("nation", "region")
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one driver table, listed and schema-read once per session.
+
+    The driver tables are read-only inputs, so the file listing and footer
+    schema are reused instead of re-read by every query.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _ts(text: str):
@@ -151,6 +165,28 @@ def bookings(spark: SparkSession, sf_dir: str, p: Params = Params()) -> DataFram
     )
 
 
+def booking_export(spark: SparkSession, sf_dir: str, p: Params = Params()) -> DataFrame:
+    """The booking feed as text, as an upstream system exports it.
+
+    Open lines (linestatus O) have no confirmed show time yet and report
+    hours-to-show as 'TBD', which a typed reader cannot parse.
+    """
+    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_discount") > 0.01)
+    sid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    hours = F.col("l_linenumber") * 12
+    seats = F.col("l_quantity").cast(IntegerType())
+    return li.select(
+        F.concat(F.lit("BS-"), sid.cast("string")).alias("snapshot_id"),
+        sid.cast("string").alias("showtime_id"),
+        (_show_start() - F.make_dt_interval(hours=hours)).cast("string").alias("snapshot_ts"),
+        seats.cast("string").alias("booked_seats"),
+        F.greatest(F.lit(1), F.floor(seats / 2).cast(IntegerType())).cast("string").alias("booking_count"),
+        F.col("l_extendedprice").cast("string").alias("gross_booking_revenue"),
+        F.when(F.col("l_linestatus") == "O", F.lit("TBD")).otherwise(hours.cast(DoubleType()).cast("string")).alias("hours_to_show"),
+        F.col("l_shipdate").cast("string").alias("source_updated_ts"),
+    )
+
+
 def availability(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params()) -> DataFrame:
     s = supplier_sites(spark, sf_dir, site, p)
     return s.select(
@@ -179,16 +215,35 @@ def policies(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params =
     )
 
 
-def domain_feeds(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params()) -> dict[str, DataFrame]:
-    """All seven feeds, keyed by feed name."""
+class LazyFeeds(Mapping):
+    """Feed name -> DataFrame, each built on first use."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]) -> None:
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def domain_feeds(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params()) -> LazyFeeds:
+    """All seven feeds, keyed by feed name (built lazily)."""
     if site not in SITE_LEVELS:
         raise ValueError(f"site must be one of {SITE_LEVELS}")
-    return {
-        "theatre_master": theatres(spark, sf_dir, site, p),
-        "screen_master": screens(spark, sf_dir, site, p),
-        "movie_master": movies(spark, sf_dir, p),
-        "showtime_schedule": showtimes(spark, sf_dir, site, p),
-        "booking_snapshot": bookings(spark, sf_dir, p),
-        "screen_availability": availability(spark, sf_dir, site, p),
-        "schedule_policy": policies(spark, sf_dir, site, p),
-    }
+    return LazyFeeds({
+        "theatre_master": lambda: theatres(spark, sf_dir, site, p),
+        "screen_master": lambda: screens(spark, sf_dir, site, p),
+        "movie_master": lambda: movies(spark, sf_dir, p),
+        "showtime_schedule": lambda: showtimes(spark, sf_dir, site, p),
+        "booking_snapshot": lambda: bookings(spark, sf_dir, p),
+        "screen_availability": lambda: availability(spark, sf_dir, site, p),
+        "schedule_policy": lambda: policies(spark, sf_dir, site, p),
+    })
