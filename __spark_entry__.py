@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_sql as O  # noqa: E402
-from slotwise.functions.exprs import capped_revenue, format_compatible  # noqa: E402
+from slotwise.functions.exprs import capped_revenue_sql, format_compatible_sql  # noqa: E402
 from slotwise.params import Params  # noqa: E402
 from slotwise.plans import quality, reports  # noqa: E402
 from slotwise.plans.features import latest_booking  # noqa: E402
@@ -66,19 +66,19 @@ def q_candidates(spark, sf_dir):
 def q_constraint_reasons(spark, sf_dir):
     c = _pipe(spark, sf_dir).candidates
     return c.groupBy("constraint_validation_status", "constraint_failure_reason").agg(
-        F.count(F.lit(1)).alias("candidate_count"),
-        F.sum("estimated_ticket_revenue_uplift").cast("decimal(38,2)").cast("double").alias("uplift_total"),
+        F.expr("count(1)").alias("candidate_count"),
+        F.expr("CAST(sum(CAST(estimated_ticket_revenue_uplift AS DECIMAL(18,2))) AS DOUBLE)").alias("uplift_total"),
     )
 
 
 def q_band_pairs(spark, sf_dir):
     pl = _pipe(spark, sf_dir)
     pr = band_pairs(pl.enriched, P, pl.hot_rows)
-    return pr.select(
-        F.col("a_theatre_id").alias("theatre_id"),
-        F.col("a_showtime_id").alias("showtime_a_id"),
-        F.col("b_showtime_id").alias("showtime_b_id"),
-        (F.unix_timestamp("b_show_start_ts") - F.unix_timestamp("a_show_start_ts")).alias("start_gap_seconds"),
+    return pr.selectExpr(
+        "a_theatre_id AS theatre_id",
+        "a_showtime_id AS showtime_a_id",
+        "b_showtime_id AS showtime_b_id",
+        "unix_timestamp(b_show_start_ts) - unix_timestamp(a_show_start_ts) AS start_gap_seconds",
     )
 
 
@@ -109,7 +109,7 @@ def q_completion_curve(spark, sf_dir):
 
 def q_confidence(spark, sf_dir):
     f = _pipe(spark, sf_dir).features
-    return f.select("showtime_id", "forecast_input_quality_status", "hours_to_show", forecast_columns(P)[1])
+    return f.selectExpr("showtime_id", "forecast_input_quality_status", "hours_to_show", forecast_columns(P)[1])
 
 
 def q_forecast_drivers(spark, sf_dir):
@@ -117,9 +117,9 @@ def q_forecast_drivers(spark, sf_dir):
 
 
 def q_showtime_revenue(spark, sf_dir):
-    e = _pipe(spark, sf_dir).features.select("*", *forecast_columns(P))
-    rev = F.round(capped_revenue("unconstrained_demand_forecast", "screen_capacity", "average_ticket_price"), 2)
-    return e.select("showtime_id", "theatre_id", rev.cast("double").alias("capped_ticket_revenue"))
+    e = _pipe(spark, sf_dir).features.selectExpr("*", *forecast_columns(P))
+    rev = capped_revenue_sql("unconstrained_demand_forecast", "screen_capacity", "average_ticket_price")
+    return e.selectExpr("showtime_id", "theatre_id", f"CAST(round({rev}, 2) AS DOUBLE) AS capped_ticket_revenue")
 
 
 def q_swap_uplift(spark, sf_dir):
@@ -130,8 +130,8 @@ def q_swap_uplift(spark, sf_dir):
 
 def q_format_compat(spark, sf_dir):
     f = _pipe(spark, sf_dir).features
-    return f.select("showtime_id", "movie_format", "screen_format",
-                    format_compatible("movie_format", "screen_format", P).alias("format_compatible"))
+    return f.selectExpr("showtime_id", "movie_format", "screen_format",
+                        f"{format_compatible_sql('movie_format', 'screen_format', P)} AS format_compatible")
 
 
 def q_role_lookup(spark, sf_dir):
@@ -140,21 +140,21 @@ def q_role_lookup(spark, sf_dir):
     mv, sc = pl.silver["dim_movie"], pl.silver["dim_screen"]
 
     def movie(role):
-        return mv.select(F.col("movie_id").alias(f"_{role}_mid"), F.col("movie_title").alias(f"movie_{role}_title"))
+        return mv.selectExpr(f"movie_id AS _{role}_mid", f"movie_title AS movie_{role}_title")
 
     def screen(role):
-        return sc.select(F.col("screen_id").alias(f"_{role}_sid"), F.col("screen_name").alias(f"_{role}_sname"))
+        return sc.selectExpr(f"screen_id AS _{role}_sid", f"screen_name AS _{role}_sname")
 
     j = (
-        c.join(movie("a"), F.col("movie_a_id") == F.col("_a_mid"))
-        .join(movie("b"), F.col("movie_b_id") == F.col("_b_mid"))
-        .join(screen("a"), F.col("current_screen_a_id") == F.col("_a_sid"))
-        .join(screen("b"), F.col("current_screen_b_id") == F.col("_b_sid"))
+        c.join(movie("a"), F.expr("movie_a_id = _a_mid"))
+        .join(movie("b"), F.expr("movie_b_id = _b_mid"))
+        .join(screen("a"), F.expr("current_screen_a_id = _a_sid"))
+        .join(screen("b"), F.expr("current_screen_b_id = _b_sid"))
     )
-    return j.select(
+    return j.selectExpr(
         "candidate_id", "movie_a_title", "movie_b_title",
-        F.col("_a_sname").alias("current_screen_a"), F.col("_b_sname").alias("current_screen_b"),
-        F.col("_b_sname").alias("recommended_screen_a"), F.col("_a_sname").alias("recommended_screen_b"),
+        "_a_sname AS current_screen_a", "_b_sname AS current_screen_b",
+        "_b_sname AS recommended_screen_a", "_a_sname AS recommended_screen_b",
     )
 
 

@@ -22,12 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 _LE, _RE = "__band_epoch_l", "__band_epoch_r"
-_LB, _RB, _HOME = "__band_bucket_l", "__band_bucket_r", "__band_home_r"
+_LB, _RB = "__band_bucket_l", "__band_bucket_r"
 _LS, _RS, _NS = "__band_salt_l", "__band_salt_r", "__band_salts"
 
 
@@ -39,7 +38,7 @@ def band_join(
     left_ts: str,
     right_ts: str,
     seconds: int,
-    condition: Column | None = None,
+    condition: str | None = None,
     hot_rows: int | None = None,
     max_hot_keys: int = 1_000_000,
 ) -> DataFrame:
@@ -47,62 +46,47 @@ def band_join(
 
     Distances are in whole seconds (``unix_timestamp``), inclusive. Left and
     right column names must not collide (prefix them, e.g. ``a_``/``b_``).
-    ``condition`` is an extra residual predicate over the joined columns.
+    ``condition`` is an extra residual predicate (SQL text) over the joined columns.
     """
     if seconds <= 0:
         raise ValueError("seconds must be positive")
     left_keys, right_keys = list(left_keys), list(right_keys)
     left_cols = list(left.columns)
+    s = int(seconds)
 
-    lt = left.withColumn(_LE, F.unix_timestamp(F.col(left_ts)))
-    lt = lt.withColumn(_LB, F.floor(F.col(_LE) / F.lit(seconds)))
-    rt = right.withColumn(_RE, F.unix_timestamp(F.col(right_ts)))
-    rt = rt.withColumn(_HOME, F.floor(F.col(_RE) / F.lit(seconds)))
-    rt = rt.withColumn(
-        _RB, F.explode(F.array(F.col(_HOME) - 1, F.col(_HOME), F.col(_HOME) + 1))
-    ).drop(_HOME)
-
-    on = [F.col(lk) == F.col(rk) for lk, rk in zip(left_keys, right_keys, strict=True)]
-    on.append(F.col(_LB) == F.col(_RB))
+    lt = left.selectExpr("*", f"unix_timestamp({left_ts}) AS {_LE}", f"floor(unix_timestamp({left_ts}) / {s}) AS {_LB}")
+    home = f"floor(unix_timestamp({right_ts}) / {s})"
+    rt = right.selectExpr(
+        "*", f"unix_timestamp({right_ts}) AS {_RE}", f"explode(array({home} - 1, {home}, {home} + 1)) AS {_RB}"
+    )
+    on = [f"{lk} = {rk}" for lk, rk in zip(left_keys, right_keys, strict=True)]
+    on.append(f"{_LB} = {_RB}")
 
     if hot_rows:
         hot = (
             lt.groupBy(*left_keys, _LB)
             .count()
-            .where(F.col("count") > F.lit(hot_rows))
-            .select(*left_keys, _LB, F.ceil(F.col("count") / F.lit(hot_rows)).cast("int").alias(_NS))
+            .where(f"`count` > {int(hot_rows)}")
+            .selectExpr(*left_keys, _LB, f"CAST(ceil(`count` / {int(hot_rows)}) AS INT) AS {_NS}")
         )
         n_hot = hot.limit(max_hot_keys + 1).count()
         if n_hot:
-            hot_l = F.broadcast(hot) if n_hot <= max_hot_keys else hot
-            lt = lt.join(hot_l, on=[*left_keys, _LB], how="left").withColumn(
-                _LS,
-                F.when(F.col(_NS).isNull(), F.lit(0)).otherwise(
-                    F.pmod(F.xxhash64(*[F.col(c) for c in left_cols]), F.col(_NS)).cast("int")
-                ),
+            small = n_hot <= max_hot_keys
+            hot_l = F.broadcast(hot) if small else hot
+            row_hash = f"xxhash64({', '.join(f'`{c}`' for c in left_cols)})"
+            lt = lt.join(hot_l, on=[*left_keys, _LB], how="left").selectExpr(
+                "*", f"CASE WHEN {_NS} IS NULL THEN 0 ELSE CAST(pmod({row_hash}, {_NS}) AS INT) END AS {_LS}"
             ).drop(_NS)
-            hot_r = hot.select(
-                *[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys, strict=True)],
-                F.col(_LB).alias(_RB),
-                _NS,
+            hot_r = hot.selectExpr(
+                *[f"{lk} AS {rk}" for lk, rk in zip(left_keys, right_keys, strict=True)], f"{_LB} AS {_RB}", _NS
             )
-            hot_r = F.broadcast(hot_r) if n_hot <= max_hot_keys else hot_r
-            rt = rt.join(hot_r, on=[*right_keys, _RB], how="left")
-            rt = rt.withColumn(
-                _RS,
-                F.explode(
-                    F.when(F.col(_NS).isNull(), F.array(F.lit(0))).otherwise(
-                        F.sequence(F.lit(0), F.col(_NS) - 1)
-                    )
-                ),
+            rt = rt.join(F.broadcast(hot_r) if small else hot_r, on=[*right_keys, _RB], how="left").selectExpr(
+                "*", f"explode(CASE WHEN {_NS} IS NULL THEN array(0) ELSE sequence(0, {_NS} - 1) END) AS {_RS}"
             ).drop(_NS)
-            on.append(F.col(_LS) == F.col(_RS))
+            on.append(f"{_LS} = {_RS}")
 
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    cond = cond & (F.abs(F.col(_LE) - F.col(_RE)) <= F.lit(seconds))
-    if condition is not None:
-        cond = cond & condition
-    out = lt.join(rt, cond, "inner")
+    on.append(f"abs({_LE} - {_RE}) <= {s}")
+    if condition:
+        on.append(f"({condition})")
+    out = lt.join(rt, F.expr(" AND ".join(on)), "inner")
     return out.drop(_LE, _RE, _LB, _RB, _LS, _RS)

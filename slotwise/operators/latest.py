@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def latest_by_key(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
-    tiebreak: Sequence[Column] | None = None,
+    order: Sequence[str],
+    tiebreak: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Keep the first row per ``keys`` under ``order`` (then ``tiebreak``).
+    """Keep the first row per ``keys`` under ``order`` (SQL sort items), then ``tiebreak``.
 
     ``tiebreak`` defaults to every other column, descending, so the choice is
     total up to fully identical rows and therefore reproducible.
@@ -27,7 +26,7 @@ def latest_by_key(
     keys = list(keys)
     if tiebreak is None:
         taken = set(keys)
-        tiebreak = [F.col(c).desc_nulls_last() for c in df.columns if c not in taken]
-    w = Window.partitionBy(*keys).orderBy(*order, *tiebreak)
+        tiebreak = [f"`{c}` DESC NULLS LAST" for c in df.columns if c not in taken]
     rn = "__latest_rn"
-    return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
+    w = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join([*order, *tiebreak])}) AS {rn}"
+    return df.selectExpr("*", w).where(f"{rn} = 1").drop(rn)

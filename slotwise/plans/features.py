@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from slotwise.functions.exprs import completion_pct
+from slotwise.functions.exprs import QUALITY_MISSING, QUALITY_OK, completion_pct_sql, quote, text
 from slotwise.operators.latest import latest_by_key
 from slotwise.params import Params
 
 
 def latest_booking(bookings: DataFrame) -> DataFrame:
     """Newest snapshot per showtime (not bounded by the run date)."""
-    return latest_by_key(bookings, ["showtime_id"], [F.col("snapshot_ts").desc_nulls_last()])
+    return latest_by_key(bookings, ["showtime_id"], ["snapshot_ts DESC NULLS LAST"])
 
 
 def demand_features(
@@ -28,52 +27,36 @@ def demand_features(
 
     Join order keeps the showtime partitioning: the schedule and the latest
     booking are both hash-partitioned on showtime_id by their de-duplication,
-    so their outer join needs no further exchange; the screen and film
-    lookups are broadcast by the caller when their size is checked.
-    Unmatched screens/films drop the showtime (inner joins).
+    so their outer join needs no further exchange when neither side is
+    broadcast; the screen and film lookups are broadcast by the caller when
+    their size is checked. Unmatched screens/films drop the showtime.
     """
-    s = schedule.where(F.col("schedule_status") == F.lit(p.published_status))
-    b = latest_booking(bookings).select(
-        F.col("showtime_id").alias("_b_sid"),
-        F.col("booked_seats").alias("_b_seats"),
-        F.col("hours_to_show").alias("_b_hours"),
-    )
-    sc = screens.select(
-        F.col("screen_id").alias("_sc_id"),
-        F.col("capacity").alias("screen_capacity"),
-        "screen_format",
-        "screen_name",
-    )
-    m = movies.select(
-        F.col("movie_id").alias("_m_id"),
-        "movie_title",
-        "movie_format",
-        "average_ticket_price",
-        "seeded_baseline_demand",
-    )
+    s = schedule.where(f"schedule_status = {quote(p.published_status)}")
+    b = latest_booking(bookings).selectExpr("showtime_id AS _b_sid", "booked_seats AS _b_seats", "hours_to_show AS _b_hours")
+    sc = screens.selectExpr("screen_id AS _sc_id", "capacity AS screen_capacity", "screen_format", "screen_name")
+    m = movies.selectExpr("movie_id AS _m_id", "movie_title", "movie_format", "average_ticket_price", "seeded_baseline_demand")
     j = (
-        s.join(b, F.col("showtime_id") == F.col("_b_sid"), "left")
-        .join(sc, F.col("screen_id") == F.col("_sc_id"))
-        .join(m, F.col("movie_id") == F.col("_m_id"))
+        s.join(b, F.expr("showtime_id = _b_sid"), "left")
+        .join(sc, F.expr("screen_id = _sc_id"))
+        .join(m, F.expr("movie_id = _m_id"))
     )
-    booked = F.coalesce(F.col("_b_seats"), F.lit(0))
-    hours = F.coalesce(F.col("_b_hours"), F.lit(p.missing_hours).cast(DoubleType()))
-    cap = F.col("screen_capacity")
+    booked = "coalesce(_b_seats, 0)"
+    hours = f"coalesce(_b_hours, {text(float(p.missing_hours))})"
     cols = [
         "showtime_id",
         "theatre_id",
         "screen_id",
         "movie_id",
-        F.to_date(F.col("show_start_ts")).alias("show_date"),
-        F.date_format("show_start_ts", "E").alias("day_of_week"),
-        F.date_format("show_start_ts", "HH:mm").alias("time_slot"),
-        cap.alias("screen_capacity"),
-        booked.alias("current_booked_seats"),
-        hours.alias("hours_to_show"),
-        completion_pct(hours, p).alias("expected_booking_completion_pct"),
-        F.round(booked / cap, 4).alias("booking_pace_ratio"),
-        F.col("seeded_baseline_demand").alias("historical_avg_attendance_movie"),
-        F.round(F.col("seeded_baseline_demand") / cap, 4).alias("historical_avg_occupancy_movie"),
+        "CAST(show_start_ts AS DATE) AS show_date",
+        "date_format(show_start_ts, 'E') AS day_of_week",
+        "date_format(show_start_ts, 'HH:mm') AS time_slot",
+        "screen_capacity",
+        f"{booked} AS current_booked_seats",
+        f"{hours} AS hours_to_show",
+        f"{completion_pct_sql(hours, p)} AS expected_booking_completion_pct",
+        f"round({booked} / screen_capacity, 4) AS booking_pace_ratio",
+        "seeded_baseline_demand AS historical_avg_attendance_movie",
+        "round(seeded_baseline_demand / screen_capacity, 4) AS historical_avg_occupancy_movie",
         "average_ticket_price",
         "movie_format",
         "screen_format",
@@ -82,11 +65,9 @@ def demand_features(
         "show_start_ts",
         "show_end_ts",
         "is_locked",
-        F.dayofweek("show_start_ts").isin(1, 7).alias("is_weekend"),
-        F.when(F.col("_b_sid").isNull(), F.lit("NO_BOOKING_SNAPSHOT")).otherwise(F.lit("OK")).alias(
-            "forecast_input_quality_status"
-        ),
+        "dayofweek(show_start_ts) IN (1, 7) AS is_weekend",
+        f"CASE WHEN _b_sid IS NULL THEN {quote(QUALITY_MISSING)} ELSE {quote(QUALITY_OK)} END AS forecast_input_quality_status",
     ]
     if with_run_ts:
-        cols.append(F.current_timestamp().alias("feature_run_ts"))
-    return j.select(*cols)
+        cols.append("current_timestamp() AS feature_run_ts")
+    return j.selectExpr(*cols)

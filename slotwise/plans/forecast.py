@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.exprs import confidence_score, forecast_drivers
+from slotwise.functions.exprs import QUALITY_OK, confidence_sql, forecast_drivers_sql, quote
 from slotwise.params import Params
 
+CURVE = "current_booked_seats / expected_booking_completion_pct"
 
-def _curve() -> Column:
-    return F.col("current_booked_seats") / F.col("expected_booking_completion_pct")
 
-
-def forecast_columns(p: Params = Params()) -> list[Column]:
-    """Forecast values computed from a features row (no join needed)."""
+def forecast_columns(p: Params = Params()) -> list[str]:
+    """Forecast values computed from a features row (SQL text, no join needed)."""
     return [
-        F.round(F.greatest(_curve(), F.col("historical_avg_attendance_movie")), 2).alias(
-            "unconstrained_demand_forecast"
-        ),
-        confidence_score(F.col("forecast_input_quality_status") == F.lit("OK"), "hours_to_show", p).alias(
-            "forecast_confidence_score"
-        ),
+        f"round(greatest({CURVE}, historical_avg_attendance_movie), 2) AS unconstrained_demand_forecast",
+        f"{confidence_sql(f'forecast_input_quality_status = {quote(QUALITY_OK)}', 'hours_to_show', p)} AS forecast_confidence_score",
     ]
 
 
@@ -29,17 +23,15 @@ def demand_forecast(features: DataFrame, p: Params = Params(), with_run_ts: bool
     """Booking-curve forecast floored by the film's baseline, rounded to 2."""
     cols = [
         "showtime_id",
-        F.lit(p.forecast_run_id).alias("forecast_run_id"),
+        f"{quote(p.forecast_run_id)} AS forecast_run_id",
         *forecast_columns(p),
-        F.round(_curve(), 2).alias("booking_curve_forecast"),
-        F.col("historical_avg_attendance_movie").alias("historical_demand_baseline"),
-        forecast_drivers(
-            "current_booked_seats", "historical_avg_attendance_movie", "expected_booking_completion_pct"
-        ).alias("top_forecast_drivers"),
+        f"round({CURVE}, 2) AS booking_curve_forecast",
+        "historical_avg_attendance_movie AS historical_demand_baseline",
+        f"{forecast_drivers_sql('current_booked_seats', 'historical_avg_attendance_movie', 'expected_booking_completion_pct')} AS top_forecast_drivers",
     ]
     if with_run_ts:
-        cols.append(F.current_timestamp().alias("forecast_run_ts"))
-    return features.select(*cols)
+        cols.append("current_timestamp() AS forecast_run_ts")
+    return features.selectExpr(*cols)
 
 
 def enrich(features: DataFrame, policy: DataFrame, forecast: DataFrame | None = None, p: Params = Params()) -> DataFrame:
@@ -53,17 +45,12 @@ def enrich(features: DataFrame, policy: DataFrame, forecast: DataFrame | None =
     """
     feats = features.drop("feature_run_ts")
     if forecast is None:
-        e = feats.select("*", *forecast_columns(p))
+        e = feats.selectExpr("*", *forecast_columns(p))
     else:
-        fc = forecast.select(
-            F.col("showtime_id").alias("_fc_sid"), "unconstrained_demand_forecast", "forecast_confidence_score"
-        )
-        e = feats.join(fc, F.col("showtime_id") == F.col("_fc_sid")).drop("_fc_sid")
-    pol = policy.select(
-        F.col("theatre_id").alias("_p_site"),
-        "freeze_window_hours",
-        "minimum_revenue_uplift",
-        "minimum_confidence_score",
+        fc = forecast.selectExpr("showtime_id AS _fc_sid", "unconstrained_demand_forecast", "forecast_confidence_score")
+        e = feats.join(fc, F.expr("showtime_id = _fc_sid")).drop("_fc_sid")
+    pol = policy.selectExpr(
+        "theatre_id AS _p_site", "freeze_window_hours", "minimum_revenue_uplift", "minimum_confidence_score",
         "maximum_recommendations_per_day",
     )
-    return e.join(pol, F.col("theatre_id") == F.col("_p_site")).drop("_p_site")
+    return e.join(pol, F.expr("theatre_id = _p_site")).drop("_p_site")

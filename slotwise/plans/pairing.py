@@ -8,12 +8,10 @@ such pair is kept; invalid ones carry the first rule they break.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from slotwise.functions.exprs import candidate_id, format_compatible, money, pair_revenue
+from slotwise.functions.exprs import candidate_id_sql, format_compatible_sql, money_diff_sql, pair_revenue_sql, quote
 from slotwise.operators.band import band_join
-from slotwise.operators.rules import first_failure
+from slotwise.operators.rules import first_failure_sql
 from slotwise.params import Params
 
 SIDE_COLUMNS = (
@@ -32,7 +30,7 @@ VALID, INVALID = "VALID", "INVALID"
 
 
 def _side(enriched: DataFrame, prefix: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    return enriched.select(*[F.col(c).alias(prefix + c) for c in (*SIDE_COLUMNS, *extra)])
+    return enriched.selectExpr(*[f"{c} AS {prefix}{c}" for c in (*SIDE_COLUMNS, *extra)])
 
 
 def band_pairs(enriched: DataFrame, p: Params = Params(), hot_rows: int | None = None) -> DataFrame:
@@ -42,90 +40,93 @@ def band_pairs(enriched: DataFrame, p: Params = Params(), hot_rows: int | None =
     so only those rows are shuffled; the cross-side tests (different shows,
     B's screen larger, start times within the band) are the join residual.
     """
-    fc, cap = F.col("unconstrained_demand_forecast"), F.col("screen_capacity")
-    a = _side(enriched.where(fc > cap), "a_", POLICY_COLUMNS)
-    b = _side(enriched.where(fc < cap), "b_")
-    residual = (F.col("a_showtime_id") != F.col("b_showtime_id")) & (
-        F.col("b_screen_capacity") > F.col("a_screen_capacity")
-    )
+    a = _side(enriched.where("unconstrained_demand_forecast > screen_capacity"), "a_", POLICY_COLUMNS)
+    b = _side(enriched.where("unconstrained_demand_forecast < screen_capacity"), "b_")
+    residual = "a_showtime_id <> b_showtime_id AND b_screen_capacity > a_screen_capacity"
     return band_join(
         a, b, ["a_theatre_id"], ["b_theatre_id"], "a_show_start_ts", "b_show_start_ts",
         p.band_seconds, condition=residual, hot_rows=hot_rows,
     )
 
 
-def failure_reason(p: Params = Params()):
+def failure_reason_sql() -> str:
     """First failing rule, or '' when the pair passes every rule."""
-    return first_failure(
+    return first_failure_sql(
         [
-            (F.col("showtime_a_locked") | F.col("showtime_b_locked"), LOCKED),
-            (F.col("min_hours_to_show") <= F.col("freeze_window_hours"), FREEZE),
-            (~F.col("movie_a_target_compatible") | ~F.col("movie_b_target_compatible"), FORMAT),
-            (F.col("proposed_expected_ticket_revenue") <= F.col("current_expected_ticket_revenue"), NON_POSITIVE),
+            ("showtime_a_locked OR showtime_b_locked", LOCKED),
+            ("min_hours_to_show <= freeze_window_hours", FREEZE),
+            ("NOT movie_a_target_compatible OR NOT movie_b_target_compatible", FORMAT),
+            ("proposed_expected_ticket_revenue <= current_expected_ticket_revenue", NON_POSITIVE),
         ]
     )
 
 
+# (output column, SQL over the a_/b_ pair columns), in output order.
+def _pair_columns(p: Params) -> list[tuple[str, str]]:
+    fa, fb = "a_unconstrained_demand_forecast", "b_unconstrained_demand_forecast"
+    ca, cb = "a_screen_capacity", "b_screen_capacity"
+    pa, pb = "a_average_ticket_price", "b_average_ticket_price"
+    return [
+        ("candidate_id", candidate_id_sql("a_showtime_id", "b_showtime_id", p.run_date)),
+        ("theatre_id", "a_theatre_id"),
+        ("showtime_a_id", "a_showtime_id"),
+        ("showtime_b_id", "b_showtime_id"),
+        ("movie_a_id", "a_movie_id"),
+        ("movie_b_id", "b_movie_id"),
+        ("movie_a_title", "a_movie_title"),
+        ("movie_b_title", "b_movie_title"),
+        ("current_screen_a_id", "a_screen_id"),
+        ("current_screen_b_id", "b_screen_id"),
+        ("proposed_screen_a_id", "b_screen_id"),
+        ("proposed_screen_b_id", "a_screen_id"),
+        ("current_screen_a", "a_screen_name"),
+        ("current_screen_b", "b_screen_name"),
+        ("recommended_screen_a", "b_screen_name"),
+        ("recommended_screen_b", "a_screen_name"),
+        ("forecast_a", fa),
+        ("forecast_b", fb),
+        ("current_capacity_a", ca),
+        ("current_capacity_b", cb),
+        ("proposed_capacity_a", cb),
+        ("proposed_capacity_b", ca),
+        ("price_a", pa),
+        ("price_b", pb),
+        ("movie_a_format", "a_movie_format"),
+        ("movie_b_format", "b_movie_format"),
+        ("proposed_screen_a_format", "b_screen_format"),
+        ("proposed_screen_b_format", "a_screen_format"),
+        ("show_start_ts", "a_show_start_ts"),
+        ("forecast_confidence_score", "least(a_forecast_confidence_score, b_forecast_confidence_score)"),
+        ("minimum_revenue_uplift", "a_minimum_revenue_uplift"),
+        ("minimum_confidence_score", "a_minimum_confidence_score"),
+        ("maximum_recommendations_per_day", "a_maximum_recommendations_per_day"),
+        ("showtime_a_locked", "a_is_locked"),
+        ("showtime_b_locked", "b_is_locked"),
+        ("min_hours_to_show", "least(a_hours_to_show, b_hours_to_show)"),
+        ("freeze_window_hours", "a_freeze_window_hours"),
+        ("current_expected_ticket_revenue", pair_revenue_sql(fa, ca, pa, fb, cb, pb)),
+        ("proposed_expected_ticket_revenue", pair_revenue_sql(fa, cb, pa, fb, ca, pb)),
+        ("movie_a_target_compatible", format_compatible_sql("a_movie_format", "b_screen_format", p)),
+        ("movie_b_target_compatible", format_compatible_sql("b_movie_format", "a_screen_format", p)),
+    ]
+
+
 def candidates(
     enriched: DataFrame, p: Params = Params(), hot_rows: int | None = None, with_run_ts: bool = True
 ) -> DataFrame:
     """Every band pair with revenue, uplift, compatibility and verdict."""
-    pr = band_pairs(enriched, p, hot_rows)
-    a, b = (lambda c: F.col("a_" + c)), (lambda c: F.col("b_" + c))
-    fa, fb = a("unconstrained_demand_forecast"), b("unconstrained_demand_forecast")
-    ca, cb = a("screen_capacity"), b("screen_capacity")
-    pa, pb = a("average_ticket_price"), b("average_ticket_price")
-    paired = pr.select(
-        candidate_id(a("showtime_id"), b("showtime_id"), p.run_date).alias("candidate_id"),
-        a("theatre_id").alias("theatre_id"),
-        a("showtime_id").alias("showtime_a_id"),
-        b("showtime_id").alias("showtime_b_id"),
-        a("movie_id").alias("movie_a_id"),
-        b("movie_id").alias("movie_b_id"),
-        a("movie_title").alias("movie_a_title"),
-        b("movie_title").alias("movie_b_title"),
-        a("screen_id").alias("current_screen_a_id"),
-        b("screen_id").alias("current_screen_b_id"),
-        b("screen_id").alias("proposed_screen_a_id"),
-        a("screen_id").alias("proposed_screen_b_id"),
-        a("screen_name").alias("current_screen_a"),
-        b("screen_name").alias("current_screen_b"),
-        b("screen_name").alias("recommended_screen_a"),
-        a("screen_name").alias("recommended_screen_b"),
-        fa.alias("forecast_a"),
-        fb.alias("forecast_b"),
-        ca.alias("current_capacity_a"),
-        cb.alias("current_capacity_b"),
-        cb.alias("proposed_capacity_a"),
-        ca.alias("proposed_capacity_b"),
-        pa.alias("price_a"),
-        pb.alias("price_b"),
-        a("movie_format").alias("movie_a_format"),
-        b("movie_format").alias("movie_b_format"),
-        b("screen_format").alias("proposed_screen_a_format"),
-        a("screen_format").alias("proposed_screen_b_format"),
-        a("show_start_ts").alias("show_start_ts"),
-        F.least(a("forecast_confidence_score"), b("forecast_confidence_score")).alias("forecast_confidence_score"),
-        a("minimum_revenue_uplift").alias("minimum_revenue_uplift"),
-        a("minimum_confidence_score").alias("minimum_confidence_score"),
-        a("maximum_recommendations_per_day").alias("maximum_recommendations_per_day"),
-        a("is_locked").alias("showtime_a_locked"),
-        b("is_locked").alias("showtime_b_locked"),
-        F.least(a("hours_to_show"), b("hours_to_show")).alias("min_hours_to_show"),
-        a("freeze_window_hours").alias("freeze_window_hours"),
-        pair_revenue(fa, ca, pa, fb, cb, pb).alias("current_expected_ticket_revenue"),
-        pair_revenue(fa, cb, pa, fb, ca, pb).alias("proposed_expected_ticket_revenue"),
-        format_compatible(a("movie_format"), b("screen_format"), p).alias("movie_a_target_compatible"),
-        format_compatible(b("movie_format"), a("screen_format"), p).alias("movie_b_target_compatible"),
-    )
-    uplift = (money("proposed_expected_ticket_revenue") - money("current_expected_ticket_revenue")).cast(DoubleType())
-    reason = failure_reason(p)
-    cols = [
+    paired = band_pairs(enriched, p, hot_rows).selectExpr(*[f"{sql} AS {name}" for name, sql in _pair_columns(p)])
+    judged = paired.selectExpr(
         "*",
-        uplift.alias("estimated_ticket_revenue_uplift"),
-        F.when(reason == F.lit(""), F.lit(VALID)).otherwise(F.lit(INVALID)).alias("constraint_validation_status"),
-        reason.alias("constraint_failure_reason"),
+        f"{money_diff_sql('proposed_expected_ticket_revenue', 'current_expected_ticket_revenue')} AS estimated_ticket_revenue_uplift",
+        f"{failure_reason_sql()} AS constraint_failure_reason",
+    )
+    cols = [c for c in judged.columns if c != "constraint_failure_reason"]
+    out = [
+        *cols,
+        f"CASE WHEN constraint_failure_reason = '' THEN {quote(VALID)} ELSE {quote(INVALID)} END AS constraint_validation_status",
+        "constraint_failure_reason",
     ]
     if with_run_ts:
-        cols.append(F.current_timestamp().alias("candidate_run_ts"))
-    return paired.select(*cols)
+        out.append("current_timestamp() AS candidate_run_ts")
+    return judged.selectExpr(*out)

@@ -3,58 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from slotwise.functions.exprs import quote
 from slotwise.params import Params
 from slotwise.plans.pairing import INVALID
 
+# SUM over no rows is NULL, so an empty candidate set fails with a NULL detail.
+INVALID_SUM = f"sum(CASE WHEN constraint_validation_status = {quote(INVALID)} THEN 1 ELSE 0 END)"
+
 
 class QualityGateError(AssertionError):
     """Raised when a published run breaks a hard output rule."""
 
 
-def _invalid_count():
-    # SUM over no rows is NULL, so an empty candidate set fails with a NULL detail.
-    return F.sum(F.when(F.col("constraint_validation_status") == F.lit(INVALID), 1).otherwise(0))
-
-
 def audit(recommendations: DataFrame, candidates: DataFrame, p: Params = Params(), with_run_ts: bool = True) -> DataFrame:
     """K1: one row per check with PASS/FAIL and a detail text (two global aggregates)."""
-    n = recommendations.agg(F.count(F.lit(1)).alias("n"))
-    inv = candidates.agg(_invalid_count().alias("n"))
-    first = n.select(
-        F.lit("gold_recommendations_min_count").alias("check_name"),
-        F.when(F.col("n") >= p.min_recommendations, "PASS").otherwise("FAIL").alias("status"),
-        F.concat(F.lit("recommendation_count="), F.col("n").cast("string")).alias("detail"),
+    first = recommendations.selectExpr("count(1) AS n").selectExpr(
+        "'gold_recommendations_min_count' AS check_name",
+        f"CASE WHEN n >= {int(p.min_recommendations)} THEN 'PASS' ELSE 'FAIL' END AS status",
+        "concat('recommendation_count=', CAST(n AS STRING)) AS detail",
     )
-    second = inv.select(
-        F.lit("gold_candidates_invalid_present").alias("check_name"),
-        F.when(F.col("n") >= p.min_invalid_candidates, "PASS").otherwise("FAIL").alias("status"),
-        F.concat(F.lit("invalid_candidate_count="), F.col("n").cast("string")).alias("detail"),
+    second = candidates.selectExpr(f"{INVALID_SUM} AS n").selectExpr(
+        "'gold_candidates_invalid_present' AS check_name",
+        f"CASE WHEN n >= {int(p.min_invalid_candidates)} THEN 'PASS' ELSE 'FAIL' END AS status",
+        "concat('invalid_candidate_count=', CAST(n AS STRING)) AS detail",
     )
     out = first.unionByName(second)
-    if with_run_ts:
-        out = out.select(F.current_timestamp().alias("check_ts"), "*")
-    return out
+    return out.selectExpr("current_timestamp() AS check_ts", "*") if with_run_ts else out
 
 
 def check_counts(recommendations: DataFrame, candidates: DataFrame) -> DataFrame:
     """K3 inputs as one row: each side is a single pass with ``count_if`` columns."""
-    r = recommendations.agg(
-        F.count(F.lit(1)).alias("recommendation_count"),
-        F.count_if(
-            (F.col("estimated_ticket_revenue_uplift") <= 0)
-            | F.col("recommendation_reason").isNull()
-            | (F.col("recommendation_reason") == "")
-        ).alias("bad_recommendation_count"),
+    r = recommendations.selectExpr(
+        "count(1) AS recommendation_count",
+        "count_if(estimated_ticket_revenue_uplift <= 0 OR recommendation_reason IS NULL OR recommendation_reason = '')"
+        " AS bad_recommendation_count",
     )
-    c = candidates.agg(F.count_if(F.col("constraint_validation_status") == F.lit(INVALID)).alias("invalid_candidate_count"))
+    c = candidates.selectExpr(f"count_if(constraint_validation_status = {quote(INVALID)}) AS invalid_candidate_count")
     return r.crossJoin(c)  # one row x one row
 
 
 def enforce(recommendations: DataFrame, candidates: DataFrame, p: Params = Params()) -> dict[str, int]:
     """K2 + K3: raise :class:`QualityGateError` when a hard rule fails; return the counts."""
-    row = check_counts(recommendations, candidates).first().asDict()
+    row = check_counts(recommendations, candidates).collect()[0].asDict()
     if row["recommendation_count"] < p.min_recommendations:
         raise QualityGateError(
             f"Expected at least {p.min_recommendations} recommendations, found {row['recommendation_count']}"

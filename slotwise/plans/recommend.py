@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from slotwise.functions.exprs import reason_text, recommendation_id
+from slotwise.functions.exprs import quote, reason_text_sql, recommendation_id_sql
 from slotwise.operators.topn import top_n_per_group
 from slotwise.params import Params
 from slotwise.plans.pairing import VALID
 
+GATE = (
+    f"constraint_validation_status = {quote(VALID)}"
+    " AND estimated_ticket_revenue_uplift >= minimum_revenue_uplift"
+    " AND forecast_confidence_score >= minimum_confidence_score"
+)
+
 
 def publish_gate(candidates: DataFrame) -> DataFrame:
     """Valid pairs meeting their site's uplift and confidence minimums (inclusive)."""
-    return candidates.where(
-        (F.col("constraint_validation_status") == F.lit(VALID))
-        & (F.col("estimated_ticket_revenue_uplift") >= F.col("minimum_revenue_uplift"))
-        & (F.col("forecast_confidence_score") >= F.col("minimum_confidence_score"))
-    )
+    return candidates.where(GATE)
 
 
 def daily_top_n(gated: DataFrame, cap: int | None = None, rank_col: str | None = None) -> DataFrame:
@@ -27,16 +28,12 @@ def daily_top_n(gated: DataFrame, cap: int | None = None, rank_col: str | None =
     a literal bound on every site's maximum (the largest policy value); it
     lets Spark keep only ``cap`` rows per group on the map side.
     """
-    g = gated.withColumn("show_date", F.to_date(F.col("show_start_ts")))
+    g = gated.selectExpr("*", "CAST(show_start_ts AS DATE) AS show_date")
     return top_n_per_group(
         g,
         ["theatre_id", "show_date"],
-        [
-            F.col("estimated_ticket_revenue_uplift").desc_nulls_last(),
-            F.col("showtime_a_id").asc_nulls_last(),
-            F.col("showtime_b_id").asc_nulls_last(),
-        ],
-        F.col("maximum_recommendations_per_day"),
+        ["estimated_ticket_revenue_uplift DESC NULLS LAST", "showtime_a_id ASC NULLS LAST", "showtime_b_id ASC NULLS LAST"],
+        "maximum_recommendations_per_day",
         cap=cap,
         rank_col=rank_col,
     )
@@ -44,7 +41,7 @@ def daily_top_n(gated: DataFrame, cap: int | None = None, rank_col: str | None =
 
 def policy_cap(policy: DataFrame) -> int | None:
     """Largest daily maximum over all sites (one scalar from a small table)."""
-    rows = policy.agg(F.max("maximum_recommendations_per_day").alias("m")).collect()
+    rows = policy.selectExpr("max(maximum_recommendations_per_day) AS m").collect()
     return None if not rows or rows[0]["m"] is None else int(rows[0]["m"])
 
 
@@ -53,34 +50,22 @@ def recommendations(
 ) -> DataFrame:
     """The published list of advisory swaps with a plain-English reason."""
     top = daily_top_n(publish_gate(candidates), cap)
+    reason = reason_text_sql(
+        "movie_a_title", "current_screen_a", "recommended_screen_a", "forecast_a", "current_capacity_a",
+        "movie_b_title", "forecast_b", "current_capacity_b", "estimated_ticket_revenue_uplift",
+    )
     cols = [
-        recommendation_id("candidate_id").alias("recommendation_id"),
-        F.lit(p.recommendation_run_id).alias("recommendation_run_id"),
-        F.lit("PROPOSED").alias("recommendation_status"),
-        "theatre_id",
-        "show_date",
-        "show_start_ts",
-        "showtime_a_id",
-        "showtime_b_id",
-        "movie_a_title",
-        "movie_b_title",
-        "current_screen_a",
-        "current_screen_b",
-        "recommended_screen_a",
-        "recommended_screen_b",
-        "forecast_a",
-        "forecast_b",
-        "current_capacity_a",
-        "current_capacity_b",
-        "estimated_ticket_revenue_uplift",
-        "forecast_confidence_score",
-        reason_text(
-            "movie_a_title", "current_screen_a", "recommended_screen_a", "forecast_a", "current_capacity_a",
-            "movie_b_title", "forecast_b", "current_capacity_b", "estimated_ticket_revenue_uplift",
-        ).alias("recommendation_reason"),
-        F.lit(p.rules_version).alias("rules_version"),
-        F.lit(p.forecast_version).alias("forecast_version"),
+        f"{recommendation_id_sql('candidate_id')} AS recommendation_id",
+        f"{quote(p.recommendation_run_id)} AS recommendation_run_id",
+        "'PROPOSED' AS recommendation_status",
+        "theatre_id", "show_date", "show_start_ts", "showtime_a_id", "showtime_b_id",
+        "movie_a_title", "movie_b_title", "current_screen_a", "current_screen_b",
+        "recommended_screen_a", "recommended_screen_b", "forecast_a", "forecast_b",
+        "current_capacity_a", "current_capacity_b", "estimated_ticket_revenue_uplift", "forecast_confidence_score",
+        f"{reason} AS recommendation_reason",
+        f"{quote(p.rules_version)} AS rules_version",
+        f"{quote(p.forecast_version)} AS forecast_version",
     ]
     if with_run_ts:
-        cols += [F.current_timestamp().alias("data_freshness_ts"), F.current_timestamp().alias("created_ts")]
-    return top.select(*cols)
+        cols += ["current_timestamp() AS data_freshness_ts", "current_timestamp() AS created_ts"]
+    return top.selectExpr(*cols)

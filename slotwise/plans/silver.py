@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from slotwise.operators.latest import latest_by_key
 from slotwise.schemas import AVAILABILITY, BOOKING, ID_COLUMNS, MOVIE, POLICY, SCHEDULE, SCREEN, THEATRE, Feed
 
 DEDUP_MODES = ("latest", "distinct")
+NEWEST = "source_updated_ts DESC NULLS LAST"
 
 
 def typed(df: DataFrame, feed: Feed) -> DataFrame:
@@ -21,37 +20,35 @@ def typed(df: DataFrame, feed: Feed) -> DataFrame:
     dtypes = dict(df.dtypes)
     cols = []
     for name, dtype in feed.columns:
-        c = F.col(name)
-        if name not in ID_COLUMNS and dtypes.get(name) != dtype.simpleString():
-            c = c.cast(dtype)
-        cols.append(c.alias(name))
-    return df.select(*cols)
+        t = dtype.simpleString()
+        if name in ID_COLUMNS or dtypes.get(name) == t:
+            cols.append(f"`{name}`")
+        else:
+            cols.append(f"CAST(`{name}` AS {t}) AS `{name}`")
+    return df.selectExpr(*cols)
 
 
 def _dedup_dim(df: DataFrame, key: str, mode: str) -> DataFrame:
     if mode == "distinct":
         return df.distinct()
     if mode == "latest":
-        return latest_by_key(df, [key], [F.col("source_updated_ts").desc_nulls_last()])
+        return latest_by_key(df, [key], [NEWEST])
     raise ValueError(f"dedup must be one of {DEDUP_MODES}")
 
 
 def conform_theatre(bronze: DataFrame, dedup: str = "latest") -> DataFrame:
     """B1: one row per site."""
-    t = typed(bronze, THEATRE).where(F.col("theatre_id").isNotNull())
-    return _dedup_dim(t, "theatre_id", dedup)
+    return _dedup_dim(typed(bronze, THEATRE).where("theatre_id IS NOT NULL"), "theatre_id", dedup)
 
 
 def conform_screen(bronze: DataFrame, dedup: str = "latest") -> DataFrame:
     """B2: screens with a positive capacity."""
-    t = typed(bronze, SCREEN).where(F.col("screen_id").isNotNull() & (F.col("capacity") > 0))
-    return _dedup_dim(t, "screen_id", dedup)
+    return _dedup_dim(typed(bronze, SCREEN).where("screen_id IS NOT NULL AND capacity > 0"), "screen_id", dedup)
 
 
 def conform_movie(bronze: DataFrame, dedup: str = "latest") -> DataFrame:
     """Films."""
-    t = typed(bronze, MOVIE).where(F.col("movie_id").isNotNull())
-    return _dedup_dim(t, "movie_id", dedup)
+    return _dedup_dim(typed(bronze, MOVIE).where("movie_id IS NOT NULL"), "movie_id", dedup)
 
 
 def current_schedule(bronze: DataFrame) -> DataFrame:
@@ -60,16 +57,14 @@ def current_schedule(bronze: DataFrame) -> DataFrame:
     Rank first, validate second: a bad newest version removes the showtime,
     it does not fall back to an older one.
     """
-    t = typed(bronze, SCHEDULE)
-    latest = latest_by_key(t, ["showtime_id"], [F.col("source_updated_ts").desc_nulls_last()])
-    return latest.where(F.col("show_end_ts") > F.col("show_start_ts"))
+    latest = latest_by_key(typed(bronze, SCHEDULE), ["showtime_id"], [NEWEST])
+    return latest.where("show_end_ts > show_start_ts")
 
 
 def booking_snapshots(bronze: DataFrame) -> DataFrame:
     """B5 + E2: newest version per (showtime, snapshot time), then drop negative seats."""
-    t = typed(bronze, BOOKING)
-    latest = latest_by_key(t, ["showtime_id", "snapshot_ts"], [F.col("source_updated_ts").desc_nulls_last()])
-    return latest.where(F.col("booked_seats") >= 0)
+    latest = latest_by_key(typed(bronze, BOOKING), ["showtime_id", "snapshot_ts"], [NEWEST])
+    return latest.where("booked_seats >= 0")
 
 
 def conform_availability(bronze: DataFrame) -> DataFrame:
@@ -81,9 +76,7 @@ def conform_policy(bronze: DataFrame, dedup: str | None = "latest") -> DataFrame
     """Projection; by default one row per policy id (newest), so a
     re-ingested policy does not multiply candidates."""
     t = typed(bronze, POLICY)
-    if dedup is None:
-        return t
-    return _dedup_dim(t, "policy_id", dedup)
+    return t if dedup is None else _dedup_dim(t, "policy_id", dedup)
 
 
 SILVER_SOURCES = {
@@ -99,21 +92,16 @@ SILVER_SOURCES = {
 
 def silver_table(name: str, feed: DataFrame, dims: str = "latest") -> DataFrame:
     """One silver table from its bronze feed."""
-    if name == "dim_theatre":
-        return conform_theatre(feed, dims)
-    if name == "dim_screen":
-        return conform_screen(feed, dims)
-    if name == "dim_movie":
-        return conform_movie(feed, dims)
-    if name == "fact_showtime_schedule_current":
-        return current_schedule(feed)
-    if name == "fact_booking_snapshot":
-        return booking_snapshots(feed)
-    if name == "fact_screen_availability":
-        return conform_availability(feed)
-    if name == "fact_schedule_policy":
-        return conform_policy(feed, dims)
-    raise KeyError(name)
+    build = {
+        "dim_theatre": lambda: conform_theatre(feed, dims),
+        "dim_screen": lambda: conform_screen(feed, dims),
+        "dim_movie": lambda: conform_movie(feed, dims),
+        "fact_showtime_schedule_current": lambda: current_schedule(feed),
+        "fact_booking_snapshot": lambda: booking_snapshots(feed),
+        "fact_screen_availability": lambda: conform_availability(feed),
+        "fact_schedule_policy": lambda: conform_policy(feed, dims),
+    }
+    return build[name]()
 
 
 def silver_tables(feeds, dims: str = "latest") -> dict[str, DataFrame]:
@@ -123,4 +111,4 @@ def silver_tables(feeds, dims: str = "latest") -> dict[str, DataFrame]:
 
 def as_text_ids(df: DataFrame) -> DataFrame:
     """Cast id columns to text (for feeds written as CSV)."""
-    return df.select(*[F.col(c).cast(StringType()).alias(c) if c in ID_COLUMNS else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"CAST(`{c}` AS STRING) AS `{c}`" if c in ID_COLUMNS else f"`{c}`" for c in df.columns])

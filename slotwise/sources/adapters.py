@@ -23,7 +23,6 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType
 
 from slotwise.operators.broadcast import sized_broadcast
 from slotwise.params import Params
@@ -47,121 +46,98 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READS[key]
 
 
-def _ts(text: str):
-    return F.lit(text).cast("timestamp_ntz")
-
-
-def _updated(p: Params):
-    return _ts(f"{p.run_date} 08:00:00")
+def _updated(p: Params) -> str:
+    return f"TIMESTAMP_NTZ'{p.run_date} 08:00:00'"
 
 
 def site_of_nation(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
     """(nationkey, site_id): the site each nation belongs to."""
-    nation = read_table(spark, sf_dir, "nation")
-    key = F.col("n_nationkey") if site == "nation" else F.col("n_regionkey")
-    return nation.select(F.col("n_nationkey").alias("_nk"), key.alias("_site"))
+    key = "n_nationkey" if site == "nation" else "n_regionkey"
+    return read_table(spark, sf_dir, "nation").selectExpr("n_nationkey AS _nk", f"{key} AS _site")
 
 
 def supplier_sites(spark: SparkSession, sf_dir: str, site: str, p: Params) -> DataFrame:
-    """(s_suppkey, site): one row per supplier (screen)."""
-    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    """(s_suppkey, s_name, site): one row per supplier (screen)."""
+    sup = read_table(spark, sf_dir, "supplier")
     if site == "nation":
-        return sup.withColumn("_site", F.col("s_nationkey"))
-    nations = site_of_nation(spark, sf_dir, site)
-    return sup.join(sized_broadcast(nations, p.broadcast_max_rows), F.col("s_nationkey") == F.col("_nk")).drop("_nk")
+        return sup.selectExpr("s_suppkey", "s_name", "s_nationkey AS _site")
+    nations = sized_broadcast(site_of_nation(spark, sf_dir, site), p.broadcast_max_rows)
+    return sup.join(nations, F.expr("s_nationkey = _nk")).selectExpr("s_suppkey", "s_name", "_site")
 
 
 def theatres(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params()) -> DataFrame:
     if site == "nation":
-        t = read_table(spark, sf_dir, "nation")
-        return t.select(
-            F.col("n_nationkey").alias("theatre_id"), F.col("n_name").alias("theatre_name"),
-            F.col("n_name").alias("city"), F.col("n_name").alias("state"),
-            F.col("n_regionkey").cast("string").alias("region"), F.lit("UTC").alias("timezone"),
-            F.lit("ACTIVE").alias("theatre_status"), _updated(p).alias("source_updated_ts"),
+        return read_table(spark, sf_dir, "nation").selectExpr(
+            "n_nationkey AS theatre_id", "n_name AS theatre_name", "n_name AS city", "n_name AS state",
+            "CAST(n_regionkey AS STRING) AS region", "'UTC' AS timezone", "'ACTIVE' AS theatre_status",
+            f"{_updated(p)} AS source_updated_ts",
         )
-    t = read_table(spark, sf_dir, "region")
-    return t.select(
-        F.col("r_regionkey").alias("theatre_id"), F.col("r_name").alias("theatre_name"),
-        F.col("r_name").alias("city"), F.col("r_name").alias("state"), F.col("r_name").alias("region"),
-        F.lit("UTC").alias("timezone"), F.lit("ACTIVE").alias("theatre_status"),
-        _updated(p).alias("source_updated_ts"),
+    return read_table(spark, sf_dir, "region").selectExpr(
+        "r_regionkey AS theatre_id", "r_name AS theatre_name", "r_name AS city", "r_name AS state",
+        "r_name AS region", "'UTC' AS timezone", "'ACTIVE' AS theatre_status", f"{_updated(p)} AS source_updated_ts",
     )
 
 
 def screens(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params()) -> DataFrame:
-    s = supplier_sites(spark, sf_dir, site, p)
-    return s.select(
-        F.col("s_suppkey").alias("screen_id"),
-        F.col("_site").alias("theatre_id"),
-        F.col("s_name").alias("screen_name"),
-        (F.lit(20) + (F.col("s_suppkey") % 8) * 10).cast(IntegerType()).alias("capacity"),
-        F.when(F.col("s_suppkey") % 3 == 0, "PREMIUM").otherwise("STANDARD").alias("screen_format"),
-        F.lit(True).alias("is_active"),
-        _updated(p).alias("source_updated_ts"),
+    return supplier_sites(spark, sf_dir, site, p).selectExpr(
+        "s_suppkey AS screen_id",
+        "_site AS theatre_id",
+        "s_name AS screen_name",
+        "CAST(20 + (s_suppkey % 8) * 10 AS INT) AS capacity",
+        "CASE WHEN s_suppkey % 3 = 0 THEN 'PREMIUM' ELSE 'STANDARD' END AS screen_format",
+        "TRUE AS is_active",
+        f"{_updated(p)} AS source_updated_ts",
     )
 
 
 def movies(spark: SparkSession, sf_dir: str, p: Params = Params()) -> DataFrame:
-    m = read_table(spark, sf_dir, "part")
-    return m.select(
-        F.col("p_partkey").alias("movie_id"),
-        F.col("p_name").alias("movie_title"),
-        F.col("p_type").alias("genre"),
-        F.lit("English").alias("language"),
-        F.lit(115).alias("runtime_minutes"),
-        F.when(F.col("p_size") <= 10, "PREMIUM").otherwise("STANDARD").alias("movie_format"),
-        F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_partkey") % 365).cast(IntegerType())).alias("release_date"),
-        F.col("p_brand").alias("distributor"),
-        (F.lit(5) + F.col("p_size") % 10).cast(DoubleType()).alias("average_ticket_price"),
-        (F.col("p_size") * 2).cast(DoubleType()).alias("seeded_baseline_demand"),
-        _updated(p).alias("source_updated_ts"),
+    return read_table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS movie_id",
+        "p_name AS movie_title",
+        "p_type AS genre",
+        "'English' AS language",
+        "115 AS runtime_minutes",
+        "CASE WHEN p_size <= 10 THEN 'PREMIUM' ELSE 'STANDARD' END AS movie_format",
+        "date_add(DATE'1995-01-01', CAST(p_partkey % 365 AS INT)) AS release_date",
+        "p_brand AS distributor",
+        "CAST(5 + p_size % 10 AS DOUBLE) AS average_ticket_price",
+        "CAST(p_size * 2 AS DOUBLE) AS seeded_baseline_demand",
+        f"{_updated(p)} AS source_updated_ts",
     )
 
 
-def _show_start():
-    return (
-        F.col("l_shipdate")
-        + F.make_dt_interval(hours=F.lit(19), mins=(F.col("l_partkey") % 12 * 5).cast(IntegerType()))
-    )
+SHOW_START = "l_shipdate + make_dt_interval(0, 19, CAST((l_partkey % 12) * 5 AS INT), 0)"
+SHOWTIME_ID = "l_orderkey * 10 + l_linenumber"
 
 
 def showtimes(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params()) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus"
-    )
-    sites = supplier_sites(spark, sf_dir, site, p).select(F.col("s_suppkey").alias("_sk"), "_site")
+    li = read_table(spark, sf_dir, "lineitem")
+    sites = supplier_sites(spark, sf_dir, site, p).selectExpr("s_suppkey AS _sk", "_site")
     sites_b = sized_broadcast(sites, p.broadcast_max_rows, bound_by=read_table(spark, sf_dir, "supplier"))
-    j = li.join(sites_b, F.col("l_suppkey") == F.col("_sk"))
-    start = _show_start()
-    return j.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("showtime_id"),
-        F.col("_site").alias("theatre_id"),
-        F.col("l_suppkey").alias("screen_id"),
-        F.col("l_partkey").alias("movie_id"),
-        start.alias("show_start_ts"),
-        (start + F.make_dt_interval(mins=F.lit(135))).alias("show_end_ts"),
-        F.when(F.col("l_linestatus") == "F", "PUBLISHED").otherwise("DRAFT").alias("schedule_status"),
-        (F.col("l_returnflag") == "R").alias("is_locked"),
-        F.col("l_shipdate").alias("published_ts"),
-        F.col("l_shipdate").alias("source_updated_ts"),
+    return li.join(sites_b, F.expr("l_suppkey = _sk")).selectExpr(
+        f"{SHOWTIME_ID} AS showtime_id",
+        "_site AS theatre_id",
+        "l_suppkey AS screen_id",
+        "l_partkey AS movie_id",
+        f"{SHOW_START} AS show_start_ts",
+        f"{SHOW_START} + make_dt_interval(0, 0, 135, 0) AS show_end_ts",
+        "CASE WHEN l_linestatus = 'F' THEN 'PUBLISHED' ELSE 'DRAFT' END AS schedule_status",
+        "l_returnflag = 'R' AS is_locked",
+        "l_shipdate AS published_ts",
+        "l_shipdate AS source_updated_ts",
     )
 
 
 def bookings(spark: SparkSession, sf_dir: str, p: Params = Params()) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_discount") > 0.01)
-    sid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    hours = F.col("l_linenumber") * 12
-    seats = F.col("l_quantity").cast(IntegerType())
-    return li.select(
-        F.concat(F.lit("BS-"), sid.cast("string")).alias("snapshot_id"),
-        sid.alias("showtime_id"),
-        (_show_start() - F.make_dt_interval(hours=hours)).alias("snapshot_ts"),
-        seats.alias("booked_seats"),
-        F.greatest(F.lit(1), F.floor(seats / 2).cast(IntegerType())).alias("booking_count"),
-        F.col("l_extendedprice").alias("gross_booking_revenue"),
-        hours.cast(DoubleType()).alias("hours_to_show"),
-        F.col("l_shipdate").alias("source_updated_ts"),
+    return read_table(spark, sf_dir, "lineitem").where("l_discount > 0.01").selectExpr(
+        f"concat('BS-', CAST({SHOWTIME_ID} AS STRING)) AS snapshot_id",
+        f"{SHOWTIME_ID} AS showtime_id",
+        f"{SHOW_START} - make_dt_interval(0, l_linenumber * 12, 0, 0) AS snapshot_ts",
+        "CAST(l_quantity AS INT) AS booked_seats",
+        "greatest(1, CAST(floor(CAST(l_quantity AS INT) / 2) AS INT)) AS booking_count",
+        "l_extendedprice AS gross_booking_revenue",
+        "CAST(l_linenumber * 12 AS DOUBLE) AS hours_to_show",
+        "l_shipdate AS source_updated_ts",
     )
 
 
@@ -171,47 +147,41 @@ def booking_export(spark: SparkSession, sf_dir: str, p: Params = Params()) -> Da
     Open lines (linestatus O) have no confirmed show time yet and report
     hours-to-show as 'TBD', which a typed reader cannot parse.
     """
-    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_discount") > 0.01)
-    sid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    hours = F.col("l_linenumber") * 12
-    seats = F.col("l_quantity").cast(IntegerType())
-    return li.select(
-        F.concat(F.lit("BS-"), sid.cast("string")).alias("snapshot_id"),
-        sid.cast("string").alias("showtime_id"),
-        (_show_start() - F.make_dt_interval(hours=hours)).cast("string").alias("snapshot_ts"),
-        seats.cast("string").alias("booked_seats"),
-        F.greatest(F.lit(1), F.floor(seats / 2).cast(IntegerType())).cast("string").alias("booking_count"),
-        F.col("l_extendedprice").cast("string").alias("gross_booking_revenue"),
-        F.when(F.col("l_linestatus") == "O", F.lit("TBD")).otherwise(hours.cast(DoubleType()).cast("string")).alias("hours_to_show"),
-        F.col("l_shipdate").cast("string").alias("source_updated_ts"),
+    return read_table(spark, sf_dir, "lineitem").where("l_discount > 0.01").selectExpr(
+        f"concat('BS-', CAST({SHOWTIME_ID} AS STRING)) AS snapshot_id",
+        f"CAST({SHOWTIME_ID} AS STRING) AS showtime_id",
+        f"CAST({SHOW_START} - make_dt_interval(0, l_linenumber * 12, 0, 0) AS STRING) AS snapshot_ts",
+        "CAST(CAST(l_quantity AS INT) AS STRING) AS booked_seats",
+        "CAST(greatest(1, CAST(floor(CAST(l_quantity AS INT) / 2) AS INT)) AS STRING) AS booking_count",
+        "CAST(l_extendedprice AS STRING) AS gross_booking_revenue",
+        "CASE WHEN l_linestatus = 'O' THEN 'TBD' ELSE CAST(CAST(l_linenumber * 12 AS DOUBLE) AS STRING) END AS hours_to_show",
+        "CAST(l_shipdate AS STRING) AS source_updated_ts",
     )
 
 
 def availability(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params()) -> DataFrame:
-    s = supplier_sites(spark, sf_dir, site, p)
-    return s.select(
-        F.concat(F.lit("AV-"), F.col("s_suppkey").cast("string")).alias("availability_id"),
-        F.col("_site").alias("theatre_id"),
-        F.col("s_suppkey").alias("screen_id"),
-        _ts(f"{p.run_date} 00:00:00").alias("available_from_ts"),
-        (_ts(f"{p.run_date} 23:59:00") + F.make_dt_interval(days=F.lit(8))).alias("available_to_ts"),
-        F.lit(True).alias("is_available"),
-        F.lit(None).cast("string").alias("blackout_reason"),
-        F.lit(20).alias("minimum_turnaround_minutes"),
-        _updated(p).alias("source_updated_ts"),
+    return supplier_sites(spark, sf_dir, site, p).selectExpr(
+        "concat('AV-', CAST(s_suppkey AS STRING)) AS availability_id",
+        "_site AS theatre_id",
+        "s_suppkey AS screen_id",
+        f"TIMESTAMP_NTZ'{p.run_date} 00:00:00' AS available_from_ts",
+        f"TIMESTAMP_NTZ'{p.run_date} 23:59:00' + make_dt_interval(8, 0, 0, 0) AS available_to_ts",
+        "TRUE AS is_available",
+        "CAST(NULL AS STRING) AS blackout_reason",
+        "20 AS minimum_turnaround_minutes",
+        f"{_updated(p)} AS source_updated_ts",
     )
 
 
 def policies(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params()) -> DataFrame:
-    t = theatres(spark, sf_dir, site, p).select("theatre_id")
-    return t.select(
-        F.concat(F.lit("POL-"), F.col("theatre_id").cast("string")).alias("policy_id"),
-        F.col("theatre_id"),
-        ((F.col("theatre_id") % 3) * 12).cast(DoubleType()).alias("freeze_window_hours"),
-        F.lit(100.0).alias("minimum_revenue_uplift"),
-        F.lit(0.6).alias("minimum_confidence_score"),
-        F.lit(2).alias("maximum_recommendations_per_day"),
-        _updated(p).alias("source_updated_ts"),
+    return theatres(spark, sf_dir, site, p).selectExpr(
+        "concat('POL-', CAST(theatre_id AS STRING)) AS policy_id",
+        "theatre_id",
+        "CAST((theatre_id % 3) * 12 AS DOUBLE) AS freeze_window_hours",
+        "100.0D AS minimum_revenue_uplift",
+        "0.6D AS minimum_confidence_score",
+        "2 AS maximum_recommendations_per_day",
+        f"{_updated(p)} AS source_updated_ts",
     )
 
 

@@ -60,16 +60,18 @@ def rescue(raw: DataFrame, schema: StructType) -> DataFrame:
     """
     typed, bad = [], []
     for f in schema.fields:
-        text = F.col(f.name)
-        value = text if isinstance(f.dataType, StringType) else text.try_cast(f.dataType)
-        typed.append(value.alias(f.name))
-        bad.append(F.when(text.isNotNull() & value.isNull(), text).alias(f.name))
+        n, t = f"`{f.name}`", f.dataType.simpleString()
+        if isinstance(f.dataType, StringType):
+            typed.append(n)
+            continue
+        typed.append(f"try_cast({n} AS {t}) AS {n}")
+        bad.append(f"'{f.name}', CASE WHEN {n} IS NOT NULL AND try_cast({n} AS {t}) IS NULL THEN {n} END")
     if CORRUPT in raw.columns:
-        bad.append(F.col(CORRUPT).alias(CORRUPT))
-    blob = F.to_json(F.struct(*bad))
-    rescued = F.when(blob == F.lit("{}"), F.lit(None).cast(StringType())).otherwise(blob)
-    keep = [c for c in raw.columns if c not in {f.name for f in schema.fields} and c != CORRUPT]
-    return raw.select(*typed, *keep, rescued.alias("_rescued_data"))
+        bad.append(f"'{CORRUPT}', `{CORRUPT}`")
+    rescued = f"nullif(to_json(named_struct({', '.join(bad)})), '{{}}')" if bad else "CAST(NULL AS STRING)"
+    names = {f.name for f in schema.fields}
+    keep = [f"`{c}`" for c in raw.columns if c not in names and c != CORRUPT]
+    return raw.selectExpr(*typed, *keep, f"{rescued} AS _rescued_data")
 
 
 def read_feed_rescued(spark: SparkSession, root: str, feed: Feed, schema: StructType) -> DataFrame:
@@ -86,17 +88,16 @@ def read_feed_rescued(spark: SparkSession, root: str, feed: Feed, schema: Struct
 
 def with_ingest_metadata(df: DataFrame, batch_id: str) -> DataFrame:
     """A3 + A4: ingest time, source file, batch id and the snapshot date of the file's directory."""
-    path = F.col("_metadata.file_path")
-    out = df.select(
+    cols = [
         "*",
-        F.current_timestamp().alias("_ingest_ts"),
-        path.alias("_source_file"),
-        F.lit(batch_id).alias("_batch_id"),
-        F.regexp_extract(path, SNAPSHOT_PATH_PATTERN, 2).alias("_source_snapshot_date"),
-    )
-    if "_rescued_data" not in out.columns:
-        out = out.withColumn("_rescued_data", F.lit(None).cast(StringType()))
-    return out
+        "current_timestamp() AS _ingest_ts",
+        "_metadata.file_path AS _source_file",
+        f"'{batch_id}' AS _batch_id",
+        F.regexp_extract(F.col("_metadata.file_path"), SNAPSHOT_PATH_PATTERN, 2).alias("_source_snapshot_date"),
+    ]
+    if "_rescued_data" not in df.columns:
+        cols.append("CAST(NULL AS STRING) AS _rescued_data")
+    return df.select(*[F.expr(c) if isinstance(c, str) else c for c in cols])
 
 
 def schema_of(df: DataFrame, overrides: dict[str, DataType] | None = None) -> StructType:

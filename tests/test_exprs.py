@@ -1,7 +1,5 @@
 """Domain Column functions on literal rows."""
 
-from pyspark.sql import functions as F
-
 from slotwise.functions import (
     candidate_id, completion_pct, confidence_score, format_compatible, pair_revenue, swap_uplift,
 )
@@ -12,13 +10,13 @@ def one(spark, col, schema="x int", rows=((1,),)):
 
 
 def test_swap_uplift_known_pair(spark):
-    r = one(spark, swap_uplift(F.lit(225.0), F.lit(120), F.lit(14.0), F.lit(70.0), F.lit(280), F.lit(10.0)))
+    r = one(spark, swap_uplift(225.0, 120, 14.0, 70.0, 280, 10.0))
     assert r[0]["v"] == 1470.0
 
 
 def test_pair_revenue_rounds_half_up_in_decimal(spark):
     # 223.81 * 13.5 + 66.67 * 11 = 3754.805 -> 3754.81
-    r = one(spark, pair_revenue(F.lit(223.81), F.lit(280), F.lit(13.5), F.lit(66.67), F.lit(120), F.lit(11.0)))
+    r = one(spark, pair_revenue(223.81, 280, 13.5, 66.67, 120, 11.0))
     assert r[0]["v"] == 3754.81
 
 
@@ -37,7 +35,7 @@ def test_completion_curve_edges(spark):
 
 def test_confidence_levels(spark):
     rows = [("OK", 96.0), ("OK", 96.5), ("NO_BOOKING_SNAPSHOT", 999.0)]
-    got = [r["v"] for r in one(spark, confidence_score(F.col("q") == "OK", "h"), "q string, h double", rows)]
+    got = [r["v"] for r in one(spark, confidence_score("q = 'OK'", "h"), "q string, h double", rows)]
     assert got == [0.86, 0.72, 0.50]
 
 

@@ -27,8 +27,7 @@ def _band(spark, rows, seconds, hot_rows=None):
     df = spark.createDataFrame(rows, "id long, k int, ts timestamp_ntz")
     a = df.select(*[F.col(c).alias("a_" + c) for c in df.columns])
     b = df.select(*[F.col(c).alias("b_" + c) for c in df.columns])
-    j = band_join(a, b, ["a_k"], ["b_k"], "a_ts", "b_ts", seconds,
-                  condition=F.col("a_id") != F.col("b_id"), hot_rows=hot_rows)
+    j = band_join(a, b, ["a_k"], ["b_k"], "a_ts", "b_ts", seconds, condition="a_id <> b_id", hot_rows=hot_rows)
     got = [(r["a_id"], r["b_id"]) for r in j.select("a_id", "b_id").collect()]
     assert len(got) == len(set(got)), "each pair must meet exactly once"
     return set(got)
@@ -57,7 +56,7 @@ def test_latest_by_key_orders_then_breaks_ties(spark):
     df = spark.createDataFrame(
         [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", None, "p"), ("b", 0, "q")], "k string, v int, s string"
     )
-    got = {r["k"]: (r["v"], r["s"]) for r in latest_by_key(df, ["k"], [F.col("v").desc_nulls_last()]).collect()}
+    got = {r["k"]: (r["v"], r["s"]) for r in latest_by_key(df, ["k"], ["v DESC NULLS LAST"]).collect()}
     assert got == {"a": (2, "z"), "b": (0, "q")}  # NULL sorts last; tie -> other columns descending
 
 
@@ -66,7 +65,7 @@ def test_top_n_with_column_limit_and_cap(spark):
         [("s", 5, 1, 2), ("s", 9, 2, 2), ("s", 9, 3, 2), ("s", 1, 4, 2), ("t", 3, 5, 1), ("t", 4, 6, 1)],
         "g string, score int, id int, n int",
     )
-    out = top_n_per_group(df, ["g"], [F.col("score").desc(), F.col("id").asc()], "n", cap=2, rank_col="rk")
+    out = top_n_per_group(df, ["g"], ["score DESC", "id ASC"], "n", cap=2, rank_col="rk")
     got = sorted((r["g"], r["id"], r["rk"]) for r in out.collect())
     assert got == [("s", 2, 1), ("s", 3, 2), ("t", 6, 1)]
     plan = out._jdf.queryExecution().executedPlan().toString()
@@ -75,7 +74,7 @@ def test_top_n_with_column_limit_and_cap(spark):
 
 def test_first_failure_null_falls_through(spark):
     df = spark.createDataFrame([(None, True), (True, False), (False, None), (False, False)], "a boolean, b boolean")
-    out = df.select(first_failure([(F.col("a"), "A"), (F.col("b"), "B")]).alias("r"))
+    out = df.select(first_failure([("a", "A"), ("b", "B")]).alias("r"))
     assert [r["r"] for r in out.collect()] == ["B", "A", "", ""]
 
 
