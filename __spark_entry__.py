@@ -23,7 +23,8 @@ from slotwise.plans import quality, reports  # noqa: E402
 from slotwise.plans.features import latest_booking  # noqa: E402
 from slotwise.plans.forecast import forecast_columns  # noqa: E402
 from slotwise.plans.pairing import band_pairs  # noqa: E402
-from slotwise.plans.pipeline import Pipeline  # noqa: E402
+from slotwise.operators.band import band_join  # noqa: E402
+from slotwise.plans.pipeline import DEFAULT_HOT_ROWS, Pipeline  # noqa: E402
 from slotwise.plans.recommend import daily_top_n, publish_gate  # noqa: E402
 from slotwise.plans.silver import conform_screen  # noqa: E402
 from slotwise.schemas import BOOKING, SCHEDULE, SCREEN, SILVER_NAMES  # noqa: E402
@@ -82,6 +83,17 @@ def q_band_pairs(spark, sf_dir):
     )
 
 
+def q_band_pairs_events(spark, sf_dir):
+    """C5 as a generic operator: ordered pairs of one user's events at most 900 s apart."""
+    ev = adapters.read_table(spark, sf_dir, "events")
+    a = ev.selectExpr("event_id AS a_event_id", "user_id AS a_user_id", "ts AS a_ts")
+    b = ev.selectExpr("event_id AS b_event_id", "user_id AS b_user_id", "ts AS b_ts")
+    pr = band_join(a, b, ["a_user_id"], ["b_user_id"], "a_ts", "b_ts", P.band_seconds,
+                   condition="a_event_id <> b_event_id", hot_rows=DEFAULT_HOT_ROWS)
+    return pr.selectExpr("a_user_id AS user_id", "a_event_id AS event_a_id", "b_event_id AS event_b_id",
+                         "unix_timestamp(b_ts) - unix_timestamp(a_ts) AS gap_seconds")
+
+
 def q_publish_gate(spark, sf_dir):
     g = publish_gate(_pipe(spark, sf_dir).candidates)
     return g.select("candidate_id", "theatre_id", "showtime_a_id", "showtime_b_id",
