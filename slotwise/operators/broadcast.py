@@ -15,19 +15,31 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_many(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """``bounded_rows`` for several DataFrames in one Spark job."""
-    if not dfs:
-        return {}
+def bounded_many(
+    dfs: dict[str, DataFrame], max_rows: int, extra: dict[str, DataFrame] | None = None
+) -> tuple[dict[str, bool], dict[str, object]]:
+    """``bounded_rows`` for several DataFrames in one Spark job.
+
+    ``extra`` maps names to one-row, one-column aggregates (e.g. a max over a
+    small table) evaluated in the same job; their values are returned too.
+    """
     parts = [
-        df.limit(max_rows + 1).groupBy().count().select(F.lit(name).alias("name"), "count")
+        df.limit(max_rows + 1).selectExpr(f"'{name}' AS name", "count(1) AS n", "CAST(NULL AS STRING) AS v")
         for name, df in dfs.items()
     ]
+    parts += [
+        df.selectExpr(f"'{name}' AS name", "CAST(NULL AS BIGINT) AS n", f"CAST(`{df.columns[0]}` AS STRING) AS v")
+        for name, df in (extra or {}).items()
+    ]
+    if not parts:
+        return {}, {}
     u = parts[0]
     for part in parts[1:]:
         u = u.unionByName(part)
-    got = {r["name"]: r["count"] for r in u.collect()}
-    return {name: got.get(name, 0) <= max_rows for name in dfs}
+    got = {r["name"]: (r["n"], r["v"]) for r in u.collect()}
+    bounded = {name: (got.get(name, (0, None))[0] or 0) <= max_rows for name in dfs}
+    values = {name: got.get(name, (None, None))[1] for name in (extra or {})}
+    return bounded, values
 
 
 def sized_broadcast(df: DataFrame, max_rows: int, bound_by: DataFrame | None = None) -> DataFrame:

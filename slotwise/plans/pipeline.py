@@ -21,7 +21,7 @@ from slotwise.params import Params
 from slotwise.plans.features import demand_features
 from slotwise.plans.forecast import demand_forecast, enrich
 from slotwise.plans.pairing import candidates
-from slotwise.plans.recommend import policy_cap, recommendations
+from slotwise.plans.recommend import recommendations
 from slotwise.plans.silver import SILVER_SOURCES, silver_table
 from slotwise.sources.adapters import domain_feeds
 from slotwise.sources.tables import parquet_materializer
@@ -83,14 +83,16 @@ class Pipeline:
         return self.materialize(df, name) if self.materialize else df
 
     @cached_property
-    def _lookup_bounded(self) -> dict[str, bool]:
-        """One job sizes every lookup dimension by its (larger) raw feed."""
-        return bounded_many({t: self.feeds[f] for t, f in LOOKUPS.items()}, self.p.broadcast_max_rows)
+    def _small_facts(self) -> tuple[dict[str, bool], dict[str, object]]:
+        """One job sizes every lookup dimension by its (larger) raw feed and
+        reads the largest daily maximum from the raw policy feed."""
+        cap = self.feeds["schedule_policy"].selectExpr("max(try_cast(maximum_recommendations_per_day AS INT)) AS m")
+        return bounded_many({t: self.feeds[f] for t, f in LOOKUPS.items()}, self.p.broadcast_max_rows, {"cap": cap})
 
     def lookup(self, table: str) -> DataFrame:
         """A dimension for joining: broadcast when its size bound is proven."""
         df = self.silver[table]
-        return F.broadcast(df) if self._lookup_bounded[table] else df
+        return F.broadcast(df) if self._small_facts[0][table] else df
 
     @cached_property
     def features(self) -> DataFrame:
@@ -119,7 +121,11 @@ class Pipeline:
 
     @cached_property
     def cap(self) -> int | None:
-        return policy_cap(self.silver["fact_schedule_policy"])
+        """Literal bound on every site's daily maximum. The raw feed's maximum
+        bounds the conformed one (conforming only removes rows), and the cap is
+        a redundant filter, so an upper bound is all it needs to be."""
+        v = self._small_facts[1]["cap"]
+        return None if v is None else int(v)
 
     @cached_property
     def recommendations(self) -> DataFrame:
