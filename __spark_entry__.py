@@ -24,23 +24,26 @@ from slotwise.plans.features import latest_booking  # noqa: E402
 from slotwise.plans.forecast import forecast_columns  # noqa: E402
 from slotwise.plans.pairing import band_pairs  # noqa: E402
 from slotwise.operators.band import band_join  # noqa: E402
-from slotwise.plans.pipeline import DEFAULT_HOT_ROWS, Pipeline  # noqa: E402
+from slotwise.plans.pipeline import BARRIERS, DEFAULT_HOT_ROWS, SINGLE_CONSUMER, Pipeline  # noqa: E402
 from slotwise.plans.recommend import daily_top_n, publish_gate  # noqa: E402
 from slotwise.plans.silver import conform_screen  # noqa: E402
-from slotwise.schemas import BOOKING, SCHEDULE, SCREEN, SILVER_NAMES  # noqa: E402
+from slotwise.schemas import BOOKING, SCHEDULE, SCREEN  # noqa: E402
 from slotwise.session import run_dir  # noqa: E402
 from slotwise.sources import adapters  # noqa: E402
 from slotwise.sources.csv_feeds import (  # noqa: E402
     read_feed, read_feed_rescued, schema_of, with_ingest_metadata, write_feed,
 )
-from slotwise.sources.tables import create_namespace, list_tables, save_table  # noqa: E402
+from slotwise.sources.tables import list_tables  # noqa: E402
 from slotwise.streaming.bronze import BronzeLayout, ingest_all  # noqa: E402
 
 P = Params()
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
-def _pipe(spark: SparkSession, sf_dir: str, site: str = "nation", **kw) -> Pipeline:
+def _pipe(spark: SparkSession, sf_dir: str, site: str = "nation", shared: bool = False, **kw) -> Pipeline:
+    """Stages for one query. Candidates are written to the shared folder only
+    when the query reads them more than once (``shared``)."""
+    kw.setdefault("barriers", BARRIERS if shared else SINGLE_CONSUMER)
     return Pipeline.from_driver_tables(spark, sf_dir, site, P, **kw)
 
 
@@ -272,33 +275,32 @@ def q_stream_reingest_idempotent(spark, sf_dir):
 
 
 def q_table_layers(spark, sf_dir):
-    """Silver tables saved in a namespace, listed and counted."""
-    pl = _pipe(spark, sf_dir)
+    """Every silver, gold and ops table saved in its
+    namespace, listed from the catalog and counted."""
+    pl = _pipe(spark, sf_dir, shared=True)
     root = run_dir(spark, "tables")
-    ns = "silver_" + root.rsplit("-", 1)[-1]
-    create_namespace(spark, ns, f"{root}/{ns}")
-    for name in SILVER_NAMES:
-        save_table(pl.silver[name], f"{ns}.{name}", f"{root}/{ns}/{name}")
-    return reports.stage_counts({t: spark.table(f"{ns}.{t}") for t in list_tables(spark, ns)}).withColumnRenamed(
-        "stage", "table_name"
-    )
+    tag = root.rsplit("-", 1)[-1]
+    ns = {layer: f"{layer}_{tag}" for layer in ("silver", "gold", "ops")}
+    pl.publish(spark, root, ns, gate=False)
+    tables = {t: spark.table(f"{n}.{t}") for n in ns.values() for t in list_tables(spark, n)}
+    return reports.stage_counts(tables).withColumnRenamed("stage", "table_name")
 
 
 # ---------------------------------------------------------------- quality and reports
 
 
 def q_dq_audit(spark, sf_dir):
-    pl = _pipe(spark, sf_dir)
+    pl = _pipe(spark, sf_dir, shared=True)
     return quality.audit(pl.recommendations, pl.candidates, P, with_run_ts=False)
 
 
 def q_dq_checks(spark, sf_dir):
-    pl = _pipe(spark, sf_dir)
+    pl = _pipe(spark, sf_dir, shared=True)
     return quality.check_counts(pl.recommendations, pl.candidates)
 
 
 def q_stage_counts(spark, sf_dir):
-    pl = _pipe(spark, sf_dir)
+    pl = _pipe(spark, sf_dir, shared=True)
     tables = {f"bronze_{k}": v for k, v in pl.feeds.items()}
     tables.update(pl.silver)
     tables.update({

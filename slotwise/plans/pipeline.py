@@ -24,7 +24,8 @@ from slotwise.plans.pairing import candidates
 from slotwise.plans.recommend import recommendations
 from slotwise.plans.silver import SILVER_SOURCES, silver_table
 from slotwise.sources.adapters import domain_feeds
-from slotwise.sources.tables import parquet_materializer
+from slotwise.plans.quality import audit, enforce
+from slotwise.sources.tables import create_namespace, list_tables, parquet_materializer, save_table
 
 Materializer = Callable[[DataFrame, str], DataFrame]
 
@@ -32,6 +33,13 @@ Materializer = Callable[[DataFrame, str], DataFrame]
 # the band join splits the group into salted sub-groups.
 DEFAULT_HOT_ROWS = 2_000_000
 
+# Stages written to the shared folder by default: the enriched showtimes are
+# read by both band-join sides and the hot-group count; the candidates are an
+# output table read by gating, ranking, audit and reports. A job that needs
+# only one consumer of the candidates can drop the second barrier.
+BARRIERS = ("enriched", "candidates")
+SINGLE_CONSUMER = ("enriched",)
+
 # Dimensions joined by lookup, and the feed that bounds each one's size.
 LOOKUPS = {"dim_screen": "screen_master", "dim_movie": "movie_master", "fact_schedule_policy": "schedule_policy"}
 
@@ -62,25 +70,32 @@ class Pipeline:
         dims: str = "latest",
         materialize: Materializer | None = None,
         hot_rows: int | None = DEFAULT_HOT_ROWS,
+        barriers: tuple[str, ...] = BARRIERS,
     ) -> None:
         self.feeds = feeds
         self.p = p
         self.dims = dims
         self.materialize = materialize
         self.hot_rows = hot_rows
+        self.barriers = tuple(barriers)
         self.silver = _Silver(feeds, dims)
 
     @classmethod
     def from_driver_tables(
         cls, spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params(),
-        barriers: bool = True, **kw,
+        barriers: tuple[str, ...] | bool = BARRIERS, **kw,
     ) -> "Pipeline":
+        """Pipeline over the driver tables. ``barriers`` names the stages written to
+        the shared folder (``True`` = all, ``False`` = none)."""
+        if barriers is True:
+            barriers = BARRIERS
+        barriers = tuple(barriers or ())
         if barriers and "materialize" not in kw:
             kw["materialize"] = parquet_materializer(spark)
-        return cls(domain_feeds(spark, sf_dir, site, p), p, **kw)
+        return cls(domain_feeds(spark, sf_dir, site, p), p, barriers=barriers, **kw)
 
     def _barrier(self, df: DataFrame, name: str) -> DataFrame:
-        return self.materialize(df, name) if self.materialize else df
+        return self.materialize(df, name) if self.materialize and name in self.barriers else df
 
     @cached_property
     def _small_facts(self) -> tuple[dict[str, bool], dict[str, object]]:
@@ -116,7 +131,8 @@ class Pipeline:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        hot = self.hot_rows if self.materialize else None
+        # Counting hot groups reads the enriched rows once more: only worth it from a written table.
+        hot = self.hot_rows if self.materialize and "enriched" in self.barriers else None
         return self._barrier(candidates(self.enriched, self.p, hot), "candidates")
 
     @cached_property
@@ -130,3 +146,50 @@ class Pipeline:
     @cached_property
     def recommendations(self) -> DataFrame:
         return recommendations(self.candidates, self.p, self.cap)
+
+    # ---- publishing ------------------------------------------------------
+
+    def layers(self) -> dict[str, dict[str, DataFrame]]:
+        """Every table of a run, by layer (names as the medallion tables)."""
+        return {
+            "silver": dict(self.silver.items()),
+            "gold": {
+                "gold_showtime_demand_features": self.features,
+                "gold_showtime_demand_forecast": self.forecast,
+                "gold_screen_allocation_candidates": self.candidates,
+                "gold_screen_allocation_recommendations": self.recommendations,
+            },
+            "ops": {"ops_data_quality_audit": audit(self.recommendations, self.candidates, self.p)},
+        }
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every table as a temp view for SQL users."""
+        names = []
+        for tables in self.layers().values():
+            for name, df in tables.items():
+                df.createOrReplaceTempView(prefix + name)
+                names.append(prefix + name)
+        return names
+
+    def publish(self, spark: SparkSession, root: str, namespaces: dict[str, str] | None = None,
+                gate: bool = True) -> dict[str, int]:
+        """Write every layer as catalog tables, then enforce the gate.
+
+        Tables are external parquet tables under ``root`` (a shared folder);
+        ``namespaces`` maps layer -> schema name. Returns row counts per table.
+        """
+        namespaces = namespaces or {layer: layer for layer in ("silver", "gold", "ops")}
+        counts = {}
+        for layer, tables in self.layers().items():
+            ns = namespaces[layer]
+            create_namespace(spark, ns, f"{root}/{ns}")
+            for name, df in tables.items():
+                save_table(df, f"{ns}.{name}", f"{root}/{ns}/{name}")
+        for layer, tables in self.layers().items():
+            ns = namespaces[layer]
+            for t in list_tables(spark, ns):
+                counts[f"{ns}.{t}"] = spark.table(f"{ns}.{t}").count()
+        if gate:
+            enforce(spark.table(f"{namespaces['gold']}.gold_screen_allocation_recommendations"),
+                    spark.table(f"{namespaces['gold']}.gold_screen_allocation_candidates"), self.p)
+        return counts

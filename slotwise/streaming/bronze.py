@@ -56,25 +56,33 @@ def stream_feed(spark: SparkSession, landing: str, feed: Feed, schema: StructTyp
     return with_ingest_metadata(df, batch_id)
 
 
-def start_ingest(df: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
-    """Append to a parquet table, one checkpoint per source, drain and stop."""
-    return (
+def start_ingest(df: DataFrame, table_path: str, checkpoint: str, table_name: str | None = None) -> StreamingQuery:
+    """Append to a parquet table, one checkpoint per source, drain and stop.
+
+    With ``table_name`` the sink is also registered in the catalog (an
+    external table at ``table_path``), so later jobs read it with ``spark.table``.
+    """
+    w = (
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("path", table_path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    return w.toTable(table_name) if table_name else w.start()
 
 
 def ingest_all(spark: SparkSession, layout: BronzeLayout, feeds: Mapping[Feed, StructType], batch_id: str,
-               rescue_fields: bool = True) -> dict[str, str]:
-    """Start every feed's stream, then wait for each; returns feed name -> table path."""
+               rescue_fields: bool = True, namespace: str | None = None) -> dict[str, str]:
+    """Start every feed's stream, then wait for each; returns feed name -> table path.
+
+    With ``namespace`` each bronze table is also a catalog table ``<namespace>.bronze_<feed>``.
+    """
     running = []
     for feed, schema in feeds.items():
         df = stream_feed(spark, layout.landing, feed, schema, batch_id, rescue_fields)
-        running.append((feed, start_ingest(df, layout.table(feed), layout.checkpoint(feed))))
+        name = f"{namespace}.bronze_{feed.name}" if namespace else None
+        running.append((feed, start_ingest(df, layout.table(feed), layout.checkpoint(feed), name)))
     out = {}
     for feed, q in running:
         q.awaitTermination()

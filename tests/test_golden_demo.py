@@ -98,3 +98,20 @@ def test_salted_hot_groups_give_identical_candidates(spark):
     assert sorted(plain.recommendations.select("recommendation_id").collect()) == sorted(
         salted.recommendations.select("recommendation_id").collect()
     )
+
+
+def test_publish_writes_every_layer_and_views(spark):
+    import tempfile
+
+    from slotwise.sources.tables import parquet_materializer
+
+    pl = Pipeline(demo_feeds(spark), materialize=parquet_materializer(spark))
+    root = tempfile.mkdtemp(prefix="publish-")
+    counts = pl.publish(spark, root, {"silver": "silver_d", "gold": "gold_d", "ops": "ops_d"})
+    assert counts["gold_d.gold_screen_allocation_candidates"] == 4
+    assert counts["gold_d.gold_screen_allocation_recommendations"] == 3
+    assert counts["silver_d.fact_showtime_schedule_current"] == 22
+    assert counts["ops_d.ops_data_quality_audit"] == 2
+    views = pl.register_views("demo_")
+    assert "demo_gold_screen_allocation_recommendations" in views
+    assert spark.sql("SELECT count(*) AS n FROM demo_gold_screen_allocation_candidates").collect()[0]["n"] == 4

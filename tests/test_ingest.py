@@ -65,3 +65,13 @@ def test_stream_ingest_is_incremental_and_refresh_rebuilds(spark):
     assert conform_screen(bronze).count() == 8  # re-ingested versions collapse to the newest
     fresh = ingest_all(spark, layout.refreshed(), schemas, "b4")[SCREEN.name]
     assert fresh != t and spark.read.parquet(fresh).count() == 16
+
+
+def test_stream_to_catalog_table(spark):
+    base = tempfile.mkdtemp(prefix="stream-cat-")
+    layout = BronzeLayout(os.path.join(base, "landing"), os.path.join(base, "bronze"))
+    screens = demo_feeds(spark)["screen_master"]
+    write_feed(screens, layout.landing, SCREEN, "2026-07-01")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS bronze_t LOCATION '{base}/ns'")
+    ingest_all(spark, layout, {SCREEN: schema_of(screens)}, "b1", namespace="bronze_t")
+    assert spark.table("bronze_t.bronze_screen_master").count() == 8
