@@ -19,6 +19,7 @@ Derivation rules (fixed, mirrored by the oracle SQL):
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ from slotwise.params import Params
 SITE_LEVELS = ("nation", "region")
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,10 +41,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema are reused instead of re-read by every query.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    per_session = _READS.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 def _updated(p: Params) -> str:

@@ -43,9 +43,22 @@ def write_feed(df: DataFrame, root: str, feed: Feed, load: str | Column) -> str:
     return path
 
 
-def read_feed(spark: SparkSession, root: str, feed: Feed, schema: StructType) -> DataFrame:
-    """A1: batch scan with an explicit schema; the partition column is discovered from paths."""
-    return spark.read.schema(schema).option("header", True).csv(feed_path(root, feed))
+def only_loads(df: DataFrame, feed: Feed, loads: list[str] | tuple[str, ...] | None) -> DataFrame:
+    """Keep the given load dates; a filter on the partition column prunes whole
+    directories at planning time (``PartitionFilters`` in the scan)."""
+    if not loads:
+        return df
+    dates = ", ".join(f"DATE'{d}'" for d in loads)
+    return df.where(f"{feed.partition_column} IN ({dates})")
+
+
+def read_feed(spark: SparkSession, root: str, feed: Feed, schema: StructType, loads=None) -> DataFrame:
+    """A1: batch scan with an explicit schema; the partition column is discovered from paths.
+
+    ``loads`` restricts an incremental run to some load dates (partition pruning).
+    """
+    df = spark.read.schema(schema).option("header", True).csv(feed_path(root, feed))
+    return only_loads(df, feed, loads)
 
 
 def raw_schema(schema: StructType) -> StructType:
@@ -74,7 +87,7 @@ def rescue(raw: DataFrame, schema: StructType) -> DataFrame:
     return raw.selectExpr(*typed, *keep, f"{rescued} AS _rescued_data")
 
 
-def read_feed_rescued(spark: SparkSession, root: str, feed: Feed, schema: StructType) -> DataFrame:
+def read_feed_rescued(spark: SparkSession, root: str, feed: Feed, schema: StructType, loads=None) -> DataFrame:
     """A1 + A5: PERMISSIVE text scan, then per-field safe casts."""
     raw = (
         spark.read.schema(raw_schema(schema))
@@ -83,7 +96,7 @@ def read_feed_rescued(spark: SparkSession, root: str, feed: Feed, schema: Struct
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(feed_path(root, feed))
     )
-    return rescue(raw, schema)
+    return rescue(only_loads(raw, feed, loads), schema)
 
 
 def with_ingest_metadata(df: DataFrame, batch_id: str) -> DataFrame:

@@ -73,14 +73,17 @@ def start_ingest(df: DataFrame, table_path: str, checkpoint: str, table_name: st
 
 
 def ingest_all(spark: SparkSession, layout: BronzeLayout, feeds: Mapping[Feed, StructType], batch_id: str,
-               rescue_fields: bool = True, namespace: str | None = None) -> dict[str, str]:
+               rescue_fields: bool = True, namespace: str | None = None,
+               max_files_per_trigger: int | None = None) -> dict[str, str]:
     """Start every feed's stream, then wait for each; returns feed name -> table path.
 
     With ``namespace`` each bronze table is also a catalog table ``<namespace>.bronze_<feed>``.
+    ``max_files_per_trigger`` bounds each micro-batch, so a large backlog is
+    drained in several committed batches instead of one.
     """
     running = []
     for feed, schema in feeds.items():
-        df = stream_feed(spark, layout.landing, feed, schema, batch_id, rescue_fields)
+        df = stream_feed(spark, layout.landing, feed, schema, batch_id, rescue_fields, max_files_per_trigger)
         name = f"{namespace}.bronze_{feed.name}" if namespace else None
         running.append((feed, start_ingest(df, layout.table(feed), layout.checkpoint(feed), name)))
     out = {}

@@ -75,3 +75,25 @@ def test_stream_to_catalog_table(spark):
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS bronze_t LOCATION '{base}/ns'")
     ingest_all(spark, layout, {SCREEN: schema_of(screens)}, "b1", namespace="bronze_t")
     assert spark.table("bronze_t.bronze_screen_master").count() == 8
+
+
+def test_incremental_read_prunes_load_directories(spark):
+    root = tempfile.mkdtemp(prefix="prune-")
+    screens = demo_feeds(spark)["screen_master"]
+    write_feed(screens, root, SCREEN, "2026-07-01")
+    write_feed(screens, root, SCREEN, "2026-07-02")
+    df = read_feed(spark, root, SCREEN, schema_of(screens), loads=["2026-07-02"])
+    assert df.count() == 8
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
+    assert "PartitionFilters: [isnotnull(snapshot_date" in scan and "= 2026-07-02)]" in scan
+
+
+def test_stream_drains_backlog_in_bounded_batches(spark):
+    base = tempfile.mkdtemp(prefix="stream-mf-")
+    layout = BronzeLayout(os.path.join(base, "landing"), os.path.join(base, "bronze"))
+    screens = demo_feeds(spark)["screen_master"]
+    for day in ("2026-07-01", "2026-07-02", "2026-07-03"):
+        write_feed(screens, layout.landing, SCREEN, day)
+    t = ingest_all(spark, layout, {SCREEN: schema_of(screens)}, "b1", max_files_per_trigger=1)[SCREEN.name]
+    assert spark.read.parquet(t).count() == 24
