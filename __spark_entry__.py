@@ -27,13 +27,13 @@ from slotwise.operators.band import band_join  # noqa: E402
 from slotwise.plans.pipeline import BARRIERS, DEFAULT_HOT_ROWS, SINGLE_CONSUMER, Pipeline  # noqa: E402
 from slotwise.plans.recommend import daily_top_n, publish_gate  # noqa: E402
 from slotwise.plans.silver import conform_screen  # noqa: E402
-from slotwise.schemas import BOOKING, SCHEDULE, SCREEN  # noqa: E402
+from slotwise.schemas import BOOKING, FEEDS, SCHEDULE, SCREEN  # noqa: E402
 from slotwise.session import run_dir  # noqa: E402
 from slotwise.sources import adapters  # noqa: E402
 from slotwise.sources.csv_feeds import (  # noqa: E402
     read_feed, read_feed_rescued, schema_of, with_ingest_metadata, write_feed,
 )
-from slotwise.sources.tables import list_tables  # noqa: E402
+from slotwise.sources.tables import list_tables, parquet_materializer  # noqa: E402
 from slotwise.streaming.bronze import BronzeLayout, ingest_all  # noqa: E402
 
 P = Params()
@@ -77,7 +77,7 @@ def q_constraint_reasons(spark, sf_dir):
 
 def q_band_pairs(spark, sf_dir):
     pl = _pipe(spark, sf_dir)
-    pr = band_pairs(pl.enriched, P, pl.hot_rows)
+    pr = band_pairs(pl.pair_inputs, P, pl.hot_rows)
     return pr.selectExpr(
         "a_theatre_id AS theatre_id",
         "a_showtime_id AS showtime_a_id",
@@ -274,6 +274,22 @@ def q_stream_reingest_idempotent(spark, sf_dir):
     )
 
 
+def q_medallion_recommendations(spark, sf_dir):
+    """The whole flow: all seven feeds landed as CSV, streamed into bronze tables
+    (with rescue and ingest metadata), conformed and paired from bronze."""
+    feeds = adapters.domain_feeds(spark, sf_dir, "nation", P)
+    layout = BronzeLayout(run_dir(spark, "landing"), run_dir(spark, "bronze"))
+    schemas = {}
+    for name, feed in FEEDS.items():
+        df = feeds[name]
+        write_feed(df, layout.landing, feed, P.run_date)
+        schemas[feed] = schema_of(df)
+    tables = ingest_all(spark, layout, schemas, P.run_date)
+    bronze = {name: spark.read.parquet(path) for name, path in tables.items()}
+    pl = Pipeline(bronze, P, materialize=parquet_materializer(spark), barriers=SINGLE_CONSUMER)
+    return pl.recommendations.drop("data_freshness_ts", "created_ts")
+
+
 def q_table_layers(spark, sf_dir):
     """Every silver, gold and ops table saved in its
     namespace, listed from the catalog and counted."""

@@ -29,6 +29,12 @@ LOCKED, FREEZE, FORMAT, NON_POSITIVE = "LOCKED_SHOWTIME", "FREEZE_WINDOW", "FORM
 VALID, INVALID = "VALID", "INVALID"
 
 
+def pair_inputs(enriched: DataFrame) -> DataFrame:
+    """The columns pairing reads, for showtimes that can be in a pair at all
+    (over or under capacity; a show exactly at capacity is neither)."""
+    return enriched.where("unconstrained_demand_forecast <> screen_capacity").selectExpr(*SIDE_COLUMNS, *POLICY_COLUMNS)
+
+
 def _side(enriched: DataFrame, prefix: str, extra: tuple[str, ...] = ()) -> DataFrame:
     return enriched.selectExpr(*[f"{c} AS {prefix}{c}" for c in (*SIDE_COLUMNS, *extra)])
 

@@ -20,7 +20,7 @@ from slotwise.operators.broadcast import bounded_many
 from slotwise.params import Params
 from slotwise.plans.features import demand_features
 from slotwise.plans.forecast import demand_forecast, enrich
-from slotwise.plans.pairing import candidates
+from slotwise.plans.pairing import candidates, pair_inputs
 from slotwise.plans.recommend import recommendations
 from slotwise.plans.silver import SILVER_SOURCES, silver_table
 from slotwise.sources.adapters import domain_feeds
@@ -33,12 +33,13 @@ Materializer = Callable[[DataFrame, str], DataFrame]
 # the band join splits the group into salted sub-groups.
 DEFAULT_HOT_ROWS = 2_000_000
 
-# Stages written to the shared folder by default: the enriched showtimes are
-# read by both band-join sides and the hot-group count; the candidates are an
+# Stages written to the shared folder by default: the pair inputs (enriched
+# showtimes that can pair, narrowed to the columns pairing reads) are read by
+# both band-join sides and the hot-group count; the candidates are an
 # output table read by gating, ranking, audit and reports. A job that needs
 # only one consumer of the candidates can drop the second barrier.
-BARRIERS = ("enriched", "candidates")
-SINGLE_CONSUMER = ("enriched",)
+BARRIERS = ("pair_inputs", "candidates")
+SINGLE_CONSUMER = ("pair_inputs",)
 
 # Dimensions joined by lookup, and the feed that bounds each one's size.
 LOOKUPS = {"dim_screen": "screen_master", "dim_movie": "movie_master", "fact_schedule_policy": "schedule_policy"}
@@ -126,14 +127,17 @@ class Pipeline:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        e = enrich(self.features, self.lookup("fact_schedule_policy"), p=self.p)
-        return self._barrier(e, "enriched")
+        return enrich(self.features, self.lookup("fact_schedule_policy"), p=self.p)
+
+    @cached_property
+    def pair_inputs(self) -> DataFrame:
+        return self._barrier(pair_inputs(self.enriched), "pair_inputs")
 
     @cached_property
     def candidates(self) -> DataFrame:
-        # Counting hot groups reads the enriched rows once more: only worth it from a written table.
-        hot = self.hot_rows if self.materialize and "enriched" in self.barriers else None
-        return self._barrier(candidates(self.enriched, self.p, hot), "candidates")
+        # Counting hot groups reads the pair inputs once more: only worth it from a written table.
+        hot = self.hot_rows if self.materialize and "pair_inputs" in self.barriers else None
+        return self._barrier(candidates(self.pair_inputs, self.p, hot), "candidates")
 
     @cached_property
     def cap(self) -> int | None:

@@ -91,8 +91,8 @@ def test_salted_hot_groups_give_identical_candidates(spark):
     mat = parquet_materializer(spark)
     plain = Pipeline(demo_feeds(spark, rows), hot_rows=None)
     salted = Pipeline(demo_feeds(spark, rows), materialize=mat, hot_rows=1)
-    hot = salted.enriched.where("unconstrained_demand_forecast > screen_capacity AND theatre_id = 'T001'")
-    assert hot.where("show_date = DATE'2026-07-02' AND hour(show_start_ts) = 19").count() == 3  # one hot bucket
+    hot = salted.pair_inputs.where("unconstrained_demand_forecast > screen_capacity AND theatre_id = 'T001'")
+    assert hot.where("CAST(show_start_ts AS DATE) = DATE'2026-07-02' AND hour(show_start_ts) = 19").count() == 3
     cols = ["candidate_id", "estimated_ticket_revenue_uplift", "constraint_failure_reason"]
     assert sorted(plain.candidates.select(*cols).collect()) == sorted(salted.candidates.select(*cols).collect())
     assert sorted(plain.recommendations.select("recommendation_id").collect()) == sorted(
