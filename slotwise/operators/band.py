@@ -85,8 +85,13 @@ def band_join(
             ).drop(_NS)
             on.append(f"{_LS} = {_RS}")
 
-    on.append(f"abs({_LE} - {_RE}) <= {s}")
+    # The exact band test and the residual go in a filter right above the
+    # equi join rather than in its condition: Catalyst folds both (and any
+    # filter a caller adds later, e.g. a costly publish gate) into the join
+    # condition, and puts filter predicates first in their original order, so
+    # the cheap band test runs before anything a caller stacks on top.
+    test = [f"abs({_LE} - {_RE}) <= {s}"]
     if condition:
-        on.append(f"({condition})")
-    out = lt.join(rt, F.expr(" AND ".join(on)), "inner")
+        test.append(f"({condition})")
+    out = lt.join(rt, F.expr(" AND ".join(on)), "inner").where(" AND ".join(test))
     return out.drop(_LE, _RE, _LB, _RB, _LS, _RS)
