@@ -47,6 +47,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SLOTWISE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Whole-stage code is compiled on the driver; the default cache (100
+        # classes) is smaller than one run of the gold queries, so repeated
+        # runs recompiled most stages. A cluster config would set this too.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
