@@ -108,7 +108,3 @@ def silver_tables(feeds, dims: str = "latest") -> dict[str, DataFrame]:
     """All seven silver tables from bronze feeds keyed by feed name."""
     return {name: silver_table(name, feeds[src], dims) for name, src in SILVER_SOURCES.items()}
 
-
-def as_text_ids(df: DataFrame) -> DataFrame:
-    """Cast id columns to text (for feeds written as CSV)."""
-    return df.selectExpr(*[f"CAST(`{c}` AS STRING) AS `{c}`" if c in ID_COLUMNS else f"`{c}`" for c in df.columns])
