@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_sql as O  # noqa: E402
-from slotwise.functions.exprs import capped_revenue_sql, format_compatible_sql  # noqa: E402
+from slotwise.functions.exprs import capped_revenue_sql, format_compatible_sql, pair_revenue_sql  # noqa: E402
 from slotwise.params import Params  # noqa: E402
 from slotwise.plans import quality, reports  # noqa: E402
 from slotwise.plans.features import latest_booking  # noqa: E402
@@ -137,6 +137,29 @@ def q_showtime_revenue(spark, sf_dir):
     return e.selectExpr("showtime_id", "theatre_id", f"CAST(round({rev}, 2) AS DOUBLE) AS capped_ticket_revenue")
 
 
+def q_capped_and_pair_revenue(spark, sf_dir):
+    """J6, J7 on every band pair: each show's capped revenue now and after the swap, and the pair totals."""
+    pl = _pipe(spark, sf_dir)
+    pr = band_pairs(pl.pair_inputs, P, pl.hot_rows)
+    fa, fb = "a_unconstrained_demand_forecast", "b_unconstrained_demand_forecast"
+    ca, cb = "a_screen_capacity", "b_screen_capacity"
+    pa, pb = "a_average_ticket_price", "b_average_ticket_price"
+
+    def cents(x):
+        return f"CAST(round({x}, 2) AS DOUBLE)"
+
+    return pr.selectExpr(
+        "a_showtime_id AS showtime_a_id",
+        "b_showtime_id AS showtime_b_id",
+        f"{cents(capped_revenue_sql(fa, ca, pa))} AS revenue_a_now",
+        f"{cents(capped_revenue_sql(fb, cb, pb))} AS revenue_b_now",
+        f"{cents(capped_revenue_sql(fa, cb, pa))} AS revenue_a_swapped",
+        f"{cents(capped_revenue_sql(fb, ca, pb))} AS revenue_b_swapped",
+        f"{pair_revenue_sql(fa, ca, pa, fb, cb, pb)} AS pair_revenue_now",
+        f"{pair_revenue_sql(fa, cb, pa, fb, ca, pb)} AS pair_revenue_swapped",
+    )
+
+
 def q_swap_uplift(spark, sf_dir):
     c = _pipe(spark, sf_dir).candidates
     return c.select("candidate_id", "current_expected_ticket_revenue", "proposed_expected_ticket_revenue",
@@ -315,6 +338,13 @@ def q_dq_checks(spark, sf_dir):
     return quality.check_counts(pl.recommendations, pl.candidates)
 
 
+def q_dq_gate(spark, sf_dir):
+    """K2 + K3: the hard gate's counts, verdict and first failure message
+    (``quality.enforce`` raises on the same verdict)."""
+    pl = _pipe(spark, sf_dir, shared=True)
+    return quality.gate(pl.recommendations, pl.candidates, P)
+
+
 def q_stage_counts(spark, sf_dir):
     pl = _pipe(spark, sf_dir, shared=True)
     tables = {f"bronze_{k}": v for k, v in pl.feeds.items()}

@@ -43,15 +43,23 @@ def check_counts(recommendations: DataFrame, candidates: DataFrame) -> DataFrame
     return r.crossJoin(c)  # one row x one row
 
 
+def gate(recommendations: DataFrame, candidates: DataFrame, p: Params = Params()) -> DataFrame:
+    """K2 + K3 verdict as one row: the counts, ``gate_passed`` and the first failure message."""
+    rc, ic, bad = "recommendation_count", "invalid_candidate_count", "bad_recommendation_count"
+    message = (
+        f"CASE WHEN {rc} < {int(p.min_recommendations)} "
+        f"THEN concat('Expected at least {int(p.min_recommendations)} recommendations, found ', CAST({rc} AS STRING)) "
+        f"WHEN {ic} < {int(p.min_invalid_candidates)} THEN 'Expected at least one invalid candidate' "
+        f"WHEN {bad} > 0 THEN concat('Found ', CAST({bad} AS STRING), ' invalid recommendation rows') END"
+    )
+    return check_counts(recommendations, candidates).selectExpr(
+        rc, ic, bad, f"({message}) IS NULL AS gate_passed", f"{message} AS gate_message"
+    )
+
+
 def enforce(recommendations: DataFrame, candidates: DataFrame, p: Params = Params()) -> dict[str, int]:
     """K2 + K3: raise :class:`QualityGateError` when a hard rule fails; return the counts."""
-    row = check_counts(recommendations, candidates).collect()[0].asDict()
-    if row["recommendation_count"] < p.min_recommendations:
-        raise QualityGateError(
-            f"Expected at least {p.min_recommendations} recommendations, found {row['recommendation_count']}"
-        )
-    if row["invalid_candidate_count"] < p.min_invalid_candidates:
-        raise QualityGateError("Expected at least one invalid candidate")
-    if row["bad_recommendation_count"]:
-        raise QualityGateError(f"Found {row['bad_recommendation_count']} invalid recommendation rows")
-    return row
+    row = gate(recommendations, candidates, p).collect()[0].asDict()
+    if not row["gate_passed"]:
+        raise QualityGateError(row["gate_message"])
+    return {k: row[k] for k in ("recommendation_count", "bad_recommendation_count", "invalid_candidate_count")}
