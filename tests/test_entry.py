@@ -20,7 +20,7 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", ["recommendations_region", "candidates", "current_schedule", "latest_booking",
-                                  "rescued_rows", "stream_ingest", "dq_audit", "band_pairs"])
+                                  "rescued_rows", "stream_ingest", "dq_audit", "dq_gate", "band_pairs"])
 def test_query_matches_oracle(spark, name):
     r = compare(E.queries()[name](spark, SF), duck(SF), E.oracle_sql()[name])
     assert r["columns_match"], (r["spark_cols"], r["duck_cols"])
