@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import quality_rules
+from slotwise.llm import quality_rules, secret_scan
+from slotwise.llm import spans as S
 from slotwise.llm.common import table
 
 
+def _span_digest(found: DataFrame, kinds: tuple[str, ...], n_base: int) -> DataFrame:
+    """Counts, base hash and span list from base and all spans."""
+    return found.select(
+        "doc_id",
+        *(S.n_of(F.col("base"), k).alias(f"n_{kinds[k]}") for k in range(n_base)),
+        F.sha2(S.listed(F.col("base"), kinds), 256).alias("base_sha256"),
+        S.listed(F.col("spans"), kinds).alias("spans"),
+    )
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(secret_scan.find(table(spark, sf_dir, "documents")), secret_scan.KINDS, 3)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
