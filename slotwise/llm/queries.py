@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import quality_rules, secret_scan
+from slotwise.llm import pii, quality_rules, secret_scan
 from slotwise.llm import spans as S
 from slotwise.llm.common import table
 
@@ -24,6 +24,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secret_scan.find(table(spark, sf_dir, "documents")), secret_scan.KINDS, 3)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(pii.find(table(spark, sf_dir, "documents")), pii.KINDS, 4)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
