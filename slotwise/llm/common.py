@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,5 +45,30 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    The archive holds source code only; Spark's own file server delivers it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    import slotwise
+
+    package = os.path.dirname(os.path.abspath(slotwise.__file__ or slotwise.__path__[0] + "/__init__.py"))
+    archive = os.path.join(tempfile.mkdtemp(prefix="slotwise-code-"), "slotwise_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

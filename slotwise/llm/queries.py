@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import pii, quality_rules, secret_scan
+from slotwise.llm import packing, pii, quality_rules, secret_scan, token_files
 from slotwise.llm import spans as S
 from slotwise.llm.common import table
 
@@ -20,6 +20,20 @@ def _span_digest(found: DataFrame, kinds: tuple[str, ...], n_base: int) -> DataF
     )
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secret_scan.find(table(spark, sf_dir, "documents")), secret_scan.KINDS, 3)
 
