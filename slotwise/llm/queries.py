@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import packing, pii, quality_rules, secret_scan, token_files, topk, toxicity
+from slotwise.llm import bpe_reuse, packing, pii, quality_rules, secret_scan, token_files, topk, toxicity
 from slotwise.llm import spans as S
 from slotwise.llm.common import table
 
@@ -50,6 +50,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(secret_scan.find(table(spark, sf_dir, "documents")), secret_scan.KINDS, 3)
 
 
+def op7_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_reuse.encode(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("byte_bpe_50k.tiktoken"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digest(pii.find(table(spark, sf_dir, "documents")), pii.KINDS, 4)
 
