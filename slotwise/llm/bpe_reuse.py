@@ -34,6 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.llm import bitmap
 from slotwise.llm.common import ship, written
 
 FILTER_BITS = 1 << 26
@@ -235,14 +236,7 @@ def shared_filter(docs: DataFrame, bits: int = FILTER_BITS, mean: int = MEAN_CHU
             yield pd.DataFrame({"h": list(seen.keys()), "n": list(seen.values())})
 
     counts = docs.select("text").mapInPandas(hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
-    rows = counts.groupBy(F.expr(f"bitmap_bucket_number(pmod(h, {bits}L) + 1)").alias("bucket")).agg(
-        F.expr(f"bitmap_construct_agg(bitmap_bit_position(pmod(h, {bits}L) + 1))").alias("bitmap")
-    )
-    out = np.zeros(bits // 8, np.uint8)
-    for r in rows.toLocalIterator():  # at most bits / 32768 rows of 4 KB
-        part = np.frombuffer(r["bitmap"], np.uint8)
-        out[(r["bucket"] - 1) * 4096 : (r["bucket"] - 1) * 4096 + len(part)] = part
-    return out
+    return bitmap.collect(counts, bits)
 
 
 def encode(docs: DataFrame, tokenizer: str, ranks: str | None = None, bits: int = FILTER_BITS, mean: int = MEAN_CHUNK) -> DataFrame:
@@ -250,14 +244,14 @@ def encode(docs: DataFrame, tokenizer: str, ranks: str | None = None, bits: int
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    bitmap = spark.sparkContext.broadcast(shared_filter(docs, bits, mean))
+    shared_chunks = spark.sparkContext.broadcast(shared_filter(docs, bits, mean))
 
     def first(batches: Iterator) -> Iterator:
         """Finished documents, and of the others the parts and the shared chunks' texts."""
         import pandas as pd
         from pyspark import TaskContext
 
-        own, table = codec(tokenizer, ranks), bitmap.value
+        own, table = codec(tokenizer, ranks), shared_chunks.value
         task, n, told = TaskContext.get().partitionId(), 0, set()
 
         def passes(k: bytes) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import bpe_reuse, packing, pii, quality_rules, secret_scan, token_files, topk, toxicity
+from slotwise.llm import bpe_reuse, packing, pii, quality_rules, secret_scan, substring_dedup, token_files, topk, toxicity
 from slotwise.llm import spans as S
 from slotwise.llm.common import table
 
@@ -42,6 +42,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"), 13)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
