@@ -39,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from slotwise.llm import bitmap
 from slotwise.llm.common import ship, written
@@ -150,6 +151,17 @@ def linked(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BI
     return done.unionByName(waiting.select("k", "doc_id", F.col("n").alias("n_shingles")).join(of_set, "k").select("doc_id", "n_shingles", "component_id"))
 
 
+def one_of_each(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``docs`` whose doc_id names their component, one row each, and those without a doc_id."""
+    kept = linked(docs, n, percent, bits).where("doc_id = component_id").select("doc_id").distinct()
+    spare = "_nth"
+    while spare in docs.columns:
+        spare += "_"
+    nth = F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    named = docs.join(written(kept, "ngram_kept"), "doc_id", "left_semi").withColumn(spare, nth).where(F.col(spare) == 1).drop(spare)
+    return named.unionByName(docs.where("doc_id IS NULL"))
+
+
 def _joined(percent: int):
     """Links that connect the sets of one block: rows (rep, grams, part, component)."""
 

@@ -5,6 +5,65 @@ from __future__ import annotations
 #: Words of a text, for use inside the statements.
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
+OP1 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+  WHERE a.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+OP4 = f"""
+WITH w AS (SELECT doc_id, {WORDS} AS words FROM documents),
+starts AS (
+  SELECT doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w WHERE len(words) >= 13
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS win FROM starts
+), marked AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY win) AS lo FROM windows) WHERE doc_id > lo
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM marked
+), each AS (
+  SELECT doc_id, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM w
+), kept AS (
+  SELECT e.doc_id, count(*) AS n, string_agg(e.word, ' ' ORDER BY e.i) AS kept
+  FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+OP10 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS g
+  FROM w
+), e AS (SELECT doc_id, len(g) AS n, unnest(g) AS gram FROM s),
+often AS (SELECT gram, row_number() OVER () AS id FROM (SELECT gram FROM e GROUP BY gram HAVING count(*) > 1)),
+t AS MATERIALIZED (SELECT doc_id, n, id FROM e JOIN often USING (gram)),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM t a JOIN t b ON a.id = b.id AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT doc_id AS node, doc_id AS low FROM s
+  UNION
+  SELECT p.b, r.low FROM reach r JOIN pairs p ON p.a = r.node
+)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, l.low AS component_id
+FROM s JOIN (SELECT node, min(low) AS low FROM reach GROUP BY node) l ON l.node = s.doc_id
+"""
+
 
 def oracle_queries() -> dict[str, str]:
-    return {}
+    return {"op1_exact_topk": OP1, "op4_substring_dedup": OP4, "op10_ngram_join": OP10}

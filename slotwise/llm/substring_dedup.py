@@ -113,13 +113,18 @@ def half_windows(docs: DataFrame, size: int) -> DataFrame:
     return _shared(docs.select("doc_id", "text").mapInArrow(look, "h long, doc long"))
 
 
-def deduplicated(docs: DataFrame, size: int = 13, keep: list[str] = (), with_text: bool = False, bits: int = FILTER_BITS) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of every row, ``keep`` columns and, if asked, the kept text."""
+def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits: int = FILTER_BITS) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every row of ``docs``.
+
+    ``with_rows`` adds ``text``, the kept words joined by one space, and
+    ``extra``, a struct of the row's other columns under their names.
+    """
     import pyarrow as pa
 
     spark = docs.sparkSession
     ship(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(F.lit(0).alias("_"), *keep).alias("extra"))
+    others = [c for c in docs.columns if with_rows and c not in ("doc_id", "text")]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(F.lit(0), *(F.col(f"`{c}`") for c in others)).alias("extra"))
     extra = docs.schema["extra"].dataType.simpleString()
     table = spark.sparkContext.broadcast(bitmap.collect(half_windows(docs, size), bits))
     half = _half(size)
@@ -177,7 +182,7 @@ def deduplicated(docs: DataFrame, size: int = 13, keep: list[str] = (), with_tex
                 kept = [b" ".join(texts[i].split()) for i in others]
                 yield made(
                     len(others), what=pa.array(np.zeros(len(others), np.int32)), doc_id=part["doc_id"].take(pa.array(others)), extra=part["extra"].take(pa.array(others)),
-                    text=pa.array([k.decode() for k in kept] if with_text else [None] * len(kept), pa.string()), n_words=pa.array(counts[others]),
+                    text=pa.array([k.decode() for k in kept] if with_rows else [None] * len(kept), pa.string()), n_words=pa.array(counts[others]),
                     n_removed=pa.array(np.zeros(len(others), np.int64)), kept_sha256=pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
                 )
 
@@ -207,7 +212,7 @@ def deduplicated(docs: DataFrame, size: int = 13, keep: list[str] = (), with_tex
                     edge[size:] -= starts
                     gone = np.cumsum(edge)[: counts[i]] > 0
                     kept = b" ".join(compress(text.split(), ~gone))
-                    out["text"].append(kept.decode() if with_text else None)
+                    out["text"].append(kept.decode() if with_rows else None)
                     out["n_words"].append(int(counts[i]))
                     out["n_removed"].append(int(gone.sum()))
                     out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
@@ -217,8 +222,13 @@ def deduplicated(docs: DataFrame, size: int = 13, keep: list[str] = (), with_tex
     done = texts.join(marks, "row", "left").select("doc_id", "extra", "text", "known", "marks").mapInArrow(finish, final)
     rest = met.where("what = 0").select("doc_id", "extra", "text", "n_words", "n_removed", "kept_sha256")
     every = rest.unionByName(done)
-    columns = ["doc_id", "n_words", "n_removed", "kept_sha256", *(F.col(f"extra.{c}").alias(c) for c in keep)]
-    return every.select(*columns, *(["text"] if with_text else []))
+    return every.select("doc_id", "n_words", "n_removed", "kept_sha256", *(["text", "extra"] if with_rows else []))
+
+
+def without_repeats(docs: DataFrame, size: int = 13, bits: int = FILTER_BITS) -> DataFrame:
+    """``docs``, all columns, with repeated words taken from ``text`` and white space made single spaces."""
+    got = deduplicated(docs, size, True, bits)
+    return got.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"extra.`{c}`").alias(c) for c in docs.columns))
 
 
 def longest(docs: DataFrame, size: int = 13, bits: int = FILTER_BITS) -> DataFrame:
