@@ -1,17 +1,13 @@
 """Generic, reusable DataFrame operators (column names are parameters)."""
 
 from slotwise.operators.band import band_join
-from slotwise.operators.broadcast import bounded_many, bounded_rows, sized_broadcast
 from slotwise.operators.latest import latest_by_key
 from slotwise.operators.rules import first_failure
 from slotwise.operators.topn import top_n_per_group
 
 __all__ = [
     "band_join",
-    "bounded_many",
-    "bounded_rows",
     "first_failure",
     "latest_by_key",
-    "sized_broadcast",
     "top_n_per_group",
 ]

@@ -36,8 +36,6 @@ class Params:
     min_invalid_candidates: int = 1
     rules_version: str = "mvp_rules_v1"
     forecast_version: str = "baseline_forecast_v1"
-    # Largest dimension (rows) we agree to broadcast; bigger sides shuffle.
-    broadcast_max_rows: int = 2_000_000
 
     @property
     def forecast_run_id(self) -> str:

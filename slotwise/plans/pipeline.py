@@ -14,9 +14,7 @@ from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from slotwise.operators.broadcast import bounded_many
 from slotwise.params import Params
 from slotwise.plans.features import demand_features
 from slotwise.plans.forecast import demand_forecast, enrich
@@ -41,10 +39,6 @@ DEFAULT_HOT_ROWS = 2_000_000
 BARRIERS = ("pair_inputs", "candidates")
 SINGLE_CONSUMER = ("pair_inputs",)
 
-# Dimensions joined by lookup, and the feed that bounds each one's size.
-LOOKUPS = {"dim_screen": "screen_master", "dim_movie": "movie_master", "fact_schedule_policy": "schedule_policy"}
-
-
 class _Silver(Mapping):
     def __init__(self, feeds: Mapping[str, DataFrame], dims: str) -> None:
         self._feeds, self._dims, self._built = feeds, dims, {}
@@ -98,25 +92,13 @@ class Pipeline:
     def _barrier(self, df: DataFrame, name: str) -> DataFrame:
         return self.materialize(df, name) if self.materialize and name in self.barriers else df
 
-    @cached_property
-    def _small_facts(self) -> tuple[dict[str, bool], dict[str, object]]:
-        """One job sizes every lookup dimension by its (larger) raw feed and
-        reads the largest daily maximum from the raw policy feed."""
-        cap = self.feeds["schedule_policy"].selectExpr("max(try_cast(maximum_recommendations_per_day AS INT)) AS m")
-        return bounded_many({t: self.feeds[f] for t, f in LOOKUPS.items()}, self.p.broadcast_max_rows, {"cap": cap})
-
-    def lookup(self, table: str) -> DataFrame:
-        """A dimension for joining: broadcast when its size bound is proven."""
-        df = self.silver[table]
-        return F.broadcast(df) if self._small_facts[0][table] else df
-
     @cached_property
     def features(self) -> DataFrame:
         s = self.silver
         return demand_features(
             s["fact_showtime_schedule_current"],
-            self.lookup("dim_screen"),
-            self.lookup("dim_movie"),
+            s["dim_screen"],
+            s["dim_movie"],
             s["fact_booking_snapshot"],
             self.p,
         )
@@ -127,7 +109,7 @@ class Pipeline:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich(self.features, self.lookup("fact_schedule_policy"), p=self.p)
+        return enrich(self.features, self.silver["fact_schedule_policy"], p=self.p)
 
     @cached_property
     def pair_inputs(self) -> DataFrame:
@@ -144,7 +126,8 @@ class Pipeline:
         """Literal bound on every site's daily maximum. The raw feed's maximum
         bounds the conformed one (conforming only removes rows), and the cap is
         a redundant filter, so an upper bound is all it needs to be."""
-        v = self._small_facts[1]["cap"]
+        policy = self.feeds["schedule_policy"]
+        v = policy.selectExpr("max(try_cast(maximum_recommendations_per_day AS INT)) AS m").first()["m"]
         return None if v is None else int(v)
 
     @cached_property

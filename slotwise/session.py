@@ -13,7 +13,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage every executor can
-    reach. Only when it is unset (local tests) do we create one.
+    reach. Only with a local master (tests) do we create one where it is unset.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
@@ -22,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - Spark Connect has no context
             path = None
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="slotwise-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
     return path

@@ -19,44 +19,19 @@ Derivation rules (fixed, mirrored by the oracle SQL):
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.operators.broadcast import bounded_rows
 from slotwise.params import Params
 
 SITE_LEVELS = ("nation", "region")
 
 
-_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table, listed and schema-read once per session.
-
-    The driver tables are read-only inputs, so the file listing and footer
-    schema are reused instead of re-read by every query.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    per_session = _READS.setdefault(spark, {})
-    if path not in per_session:
-        per_session[path] = spark.read.parquet(path)
-    return per_session[path]
-
-
-_BOUNDS: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, int], bool]]" = weakref.WeakKeyDictionary()
-
-
-def table_is_small(spark: SparkSession, sf_dir: str, name: str, max_rows: int) -> bool:
-    """Proven row bound of a driver table, checked once per session (the inputs are read-only)."""
-    per_session = _BOUNDS.setdefault(spark, {})
-    key = (f"{sf_dir.rstrip('/')}/{name}", max_rows)
-    if key not in per_session:
-        per_session[key] = bounded_rows(read_table(spark, sf_dir, name), max_rows)
-    return per_session[key]
+    """Scan of one driver table; files are listed anew, so a table that grew is read whole."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _updated(p: Params) -> str:
@@ -75,8 +50,6 @@ def supplier_sites(spark: SparkSession, sf_dir: str, site: str, p: Params) -> Da
     if site == "nation":
         return sup.selectExpr("s_suppkey", "s_name", "s_nationkey AS _site")
     nations = site_of_nation(spark, sf_dir, site)
-    if table_is_small(spark, sf_dir, "nation", p.broadcast_max_rows):
-        nations = F.broadcast(nations)
     return sup.join(nations, F.expr("s_nationkey = _nk")).selectExpr("s_suppkey", "s_name", "_site")
 
 
@@ -128,8 +101,7 @@ SHOWTIME_ID = "l_orderkey * 10 + l_linenumber"
 def showtimes(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params = Params()) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     sites = supplier_sites(spark, sf_dir, site, p).selectExpr("s_suppkey AS _sk", "_site")
-    sites_b = F.broadcast(sites) if table_is_small(spark, sf_dir, "supplier", p.broadcast_max_rows) else sites
-    return li.join(sites_b, F.expr("l_suppkey = _sk")).selectExpr(
+    return li.join(sites, F.expr("l_suppkey = _sk")).selectExpr(
         f"{SHOWTIME_ID} AS showtime_id",
         "_site AS theatre_id",
         "l_suppkey AS screen_id",

@@ -7,10 +7,14 @@ header row, one directory per load.
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StringType, StructField, StructType
 
+from slotwise.functions.exprs import quote
 from slotwise.schemas import Feed
 
 # Fixed value that must equal the reference's: the path pattern a snapshot date
@@ -45,11 +49,11 @@ def write_feed(df: DataFrame, root: str, feed: Feed, load: str | Column) -> str:
 
 def only_loads(df: DataFrame, feed: Feed, loads: list[str] | tuple[str, ...] | None) -> DataFrame:
     """Keep the given load dates; a filter on the partition column prunes whole
-    directories at planning time (``PartitionFilters`` in the scan)."""
-    if not loads:
+    directories at planning time (``PartitionFilters`` in the scan). None keeps
+    all loads, an empty list none."""
+    if loads is None:
         return df
-    dates = ", ".join(f"DATE'{d}'" for d in loads)
-    return df.where(f"{feed.partition_column} IN ({dates})")
+    return df.where(F.col(feed.partition_column).isin([dt.date.fromisoformat(d) for d in loads]))
 
 
 def read_feed(spark: SparkSession, root: str, feed: Feed, schema: StructType, loads=None) -> DataFrame:
@@ -57,46 +61,75 @@ def read_feed(spark: SparkSession, root: str, feed: Feed, schema: StructType, lo
 
     ``loads`` restricts an incremental run to some load dates (partition pruning).
     """
-    df = spark.read.schema(schema).option("header", True).csv(feed_path(root, feed))
-    return only_loads(df, feed, loads)
+    path = feed_path(root, feed)
+    raw = raw_schema(header_columns(spark, path, feed, schema))
+    df = spark.read.schema(raw).options(**CSV_OPTIONS).csv(path)
+    found = set(df.columns)
+    typed = [
+        F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in found else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    return only_loads(df.select(*typed, feed.partition_column), feed, loads)
+
 
+#: Headers are checked against the schema the scan was given, in every file.
+CSV_OPTIONS = {"header": True, "enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
-def raw_schema(schema: StructType) -> StructType:
-    """Every field as text, plus the malformed-row column."""
-    return StructType([StructField(f.name, StringType(), True) for f in schema.fields] + [StructField(CORRUPT, StringType(), True)])
 
+def header_columns(spark: SparkSession, path: str, feed: Feed, schema: StructType) -> list[str]:
+    """The columns of a feed's files in the order of their header.
 
-def rescue(raw: DataFrame, schema: StructType) -> DataFrame:
-    """A5: typed columns from text; values that do not parse become NULL and
-    are kept, as text, in ``_rescued_data`` (a JSON object, NULL when the row
-    is clean). A malformed row keeps its raw line under ``_corrupt_record``.
+    A feed's files share one header; a file with another one fails the scan
+    instead of having its values put under wrong names. Before the first load
+    the schema's own order is assumed.
+    """
+    try:
+        found = spark.read.option("header", True).csv(path).columns
+    except AnalysisException:
+        found = []
+    found = [c for c in found if c != feed.partition_column]
+    return found or [f.name for f in schema.fields]
+
+
+def raw_schema(columns: list[str]) -> StructType:
+    """Every column as text, plus the malformed-row column."""
+    return StructType([StructField(c, StringType(), True) for c in [*columns, CORRUPT]])
+
+
+def rescue(raw: DataFrame, schema: StructType, partition_column: str | None = None) -> DataFrame:
+    """A5: typed columns from text, by name; values that do not parse become
+    NULL and are kept, as text, in ``_rescued_data`` (a JSON object, NULL when
+    the row is clean), and so are columns outside the schema. A column the
+    files lack is NULL. A malformed row keeps its raw line under
+    ``_corrupt_record``.
     """
     typed, bad = [], []
+    found = set(raw.columns)
     for f in schema.fields:
         n, t = f"`{f.name}`", f.dataType.simpleString()
+        if f.name not in found:
+            typed.append(f"CAST(NULL AS {t}) AS {n}")
+            continue
         if isinstance(f.dataType, StringType):
             typed.append(n)
             continue
         typed.append(f"try_cast({n} AS {t}) AS {n}")
-        bad.append(f"'{f.name}', CASE WHEN {n} IS NOT NULL AND try_cast({n} AS {t}) IS NULL THEN {n} END")
-    if CORRUPT in raw.columns:
+        bad.append(f"{quote(f.name)}, CASE WHEN {n} IS NOT NULL AND try_cast({n} AS {t}) IS NULL THEN {n} END")
+    names = {f.name for f in schema.fields} | {CORRUPT, partition_column}
+    extra = [c for c in raw.columns if c not in names]
+    keep = [f"`{partition_column}`"] if partition_column in found else []
+    bad += [f"{quote(c)}, `{c}`" for c in extra]
+    if CORRUPT in found:
         bad.append(f"'{CORRUPT}', `{CORRUPT}`")
     rescued = f"nullif(to_json(named_struct({', '.join(bad)})), '{{}}')" if bad else "CAST(NULL AS STRING)"
-    names = {f.name for f in schema.fields}
-    keep = [f"`{c}`" for c in raw.columns if c not in names and c != CORRUPT]
     return raw.selectExpr(*typed, *keep, f"{rescued} AS _rescued_data")
 
 
 def read_feed_rescued(spark: SparkSession, root: str, feed: Feed, schema: StructType, loads=None) -> DataFrame:
     """A1 + A5: PERMISSIVE text scan, then per-field safe casts."""
-    raw = (
-        spark.read.schema(raw_schema(schema))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(feed_path(root, feed))
-    )
-    return rescue(only_loads(raw, feed, loads), schema)
+    path = feed_path(root, feed)
+    raw = spark.read.schema(raw_schema(header_columns(spark, path, feed, schema))).options(**CSV_OPTIONS).csv(path)
+    return rescue(only_loads(raw, feed, loads), schema, feed.partition_column)
 
 
 def with_ingest_metadata(df: DataFrame, batch_id: str) -> DataFrame:
@@ -105,7 +138,7 @@ def with_ingest_metadata(df: DataFrame, batch_id: str) -> DataFrame:
         "*",
         "current_timestamp() AS _ingest_ts",
         "_metadata.file_path AS _source_file",
-        f"'{batch_id}' AS _batch_id",
+        F.lit(batch_id).alias("_batch_id"),
         F.regexp_extract(F.col("_metadata.file_path"), SNAPSHOT_PATH_PATTERN, 2).alias("_source_snapshot_date"),
     ]
     if "_rescued_data" not in df.columns:

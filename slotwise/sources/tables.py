@@ -42,6 +42,18 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
     w.saveAsTable(name)
 
 
+def point_table(spark: SparkSession, name: str, path: str) -> None:
+    """Make catalog table ``name`` an external parquet table at ``path``.
+
+    A name that stands for another folder is re-pointed; its files stay.
+    """
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} is a managed table; it can't be pointed at {path}")
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+
+
 def list_tables(spark: SparkSession, namespace: str) -> list[str]:
     """Table names in a namespace."""
     return sorted(t.name for t in spark.catalog.listTables(namespace))

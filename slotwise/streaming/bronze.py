@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from slotwise.schemas import Feed
-from slotwise.sources.csv_feeds import CORRUPT, feed_path, raw_schema, rescue, with_ingest_metadata
+from slotwise.sources.csv_feeds import CSV_OPTIONS, feed_path, header_columns, raw_schema, rescue, with_ingest_metadata
+from slotwise.sources.tables import point_table
 
 
 @dataclass(frozen=True)
@@ -45,31 +46,24 @@ class BronzeLayout:
 def stream_feed(spark: SparkSession, landing: str, feed: Feed, schema: StructType, batch_id: str,
                 rescue_fields: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
     """A2: streaming scan of one feed directory with metadata (A3, A4) and rescue (A5)."""
-    reader = spark.readStream.option("header", True)
+    path = feed_path(landing, feed)
+    reader = spark.readStream.schema(raw_schema(header_columns(spark, path, feed, schema))).options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if rescue_fields:
-        reader = reader.schema(raw_schema(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        df = rescue(reader.csv(feed_path(landing, feed)), schema)
-    else:
-        df = reader.schema(schema).csv(feed_path(landing, feed))
-    return with_ingest_metadata(df, batch_id)
+    df = rescue(reader.csv(path), schema, feed.partition_column)
+    return with_ingest_metadata(df if rescue_fields else df.drop("_rescued_data"), batch_id)
 
 
-def start_ingest(df: DataFrame, table_path: str, checkpoint: str, table_name: str | None = None) -> StreamingQuery:
-    """Append to a parquet table, one checkpoint per source, drain and stop.
-
-    With ``table_name`` the sink is also registered in the catalog (an
-    external table at ``table_path``), so later jobs read it with ``spark.table``.
-    """
-    w = (
+def start_ingest(df: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
+    """Append to a parquet table, one checkpoint per source, drain and stop."""
+    return (
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("path", table_path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
+        .start()
     )
-    return w.toTable(table_name) if table_name else w.start()
 
 
 def ingest_all(spark: SparkSession, layout: BronzeLayout, feeds: Mapping[Feed, StructType], batch_id: str,
@@ -78,18 +72,21 @@ def ingest_all(spark: SparkSession, layout: BronzeLayout, feeds: Mapping[Feed, S
     """Start every feed's stream, then wait for each; returns feed name -> table path.
 
     With ``namespace`` each bronze table is also a catalog table ``<namespace>.bronze_<feed>``.
+    The name is pointed at this generation's folder once the stream has ended,
+    so after a refresh it shows the new generation, whole.
     ``max_files_per_trigger`` bounds each micro-batch, so a large backlog is
     drained in several committed batches instead of one.
     """
     running = []
     for feed, schema in feeds.items():
         df = stream_feed(spark, layout.landing, feed, schema, batch_id, rescue_fields, max_files_per_trigger)
-        name = f"{namespace}.bronze_{feed.name}" if namespace else None
-        running.append((feed, start_ingest(df, layout.table(feed), layout.checkpoint(feed), name)))
+        running.append((feed, start_ingest(df, layout.table(feed), layout.checkpoint(feed))))
     out = {}
     for feed, q in running:
         q.awaitTermination()
         if q.exception() is not None:  # pragma: no cover - surfaced to the caller
             raise q.exception()
         out[feed.name] = layout.table(feed)
+        if namespace:
+            point_table(spark, f"{namespace}.bronze_{feed.name}", layout.table(feed))
     return out

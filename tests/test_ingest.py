@@ -97,3 +97,42 @@ def test_stream_drains_backlog_in_bounded_batches(spark):
         write_feed(screens, layout.landing, SCREEN, day)
     t = ingest_all(spark, layout, {SCREEN: schema_of(screens)}, "b1", max_files_per_trigger=1)[SCREEN.name]
     assert spark.read.parquet(t).count() == 24
+
+
+def test_columns_are_read_by_header_name(spark, tmp_path):
+    from slotwise.schemas import SCREEN
+    from slotwise.sources.csv_feeds import read_feed, read_feed_rescued
+
+    folder = tmp_path / SCREEN.name / f"{SCREEN.partition_column}=2026-01-01"
+    folder.mkdir(parents=True)
+    names = sorted(f.name for f in SCREEN.schema().fields)
+    values = {"screen_id": "7", "theatre_id": "3", "capacity": "80", "is_active": "true"}
+    (folder / "a.csv").write_text(",".join([*names, "new_col"]) + "\n" + ",".join([values.get(n, "") for n in names] + ["extra"]) + "\n")
+    for got in (read_feed(spark, str(tmp_path), SCREEN, SCREEN.schema()), read_feed_rescued(spark, str(tmp_path), SCREEN, SCREEN.schema())):
+        row = got.first()
+        assert str(row["screen_id"]) == "7" and str(row["theatre_id"]) == "3" and row["capacity"] == 80
+    assert row["_rescued_data"] == '{"new_col":"extra"}'
+    assert read_feed(spark, str(tmp_path), SCREEN, SCREEN.schema(), loads=[]).count() == 0
+    assert read_feed(spark, str(tmp_path), SCREEN, SCREEN.schema(), loads=["2026-01-01"]).count() == 1
+
+
+def test_refresh_of_a_named_table_shows_every_load(spark, tmp_path):
+    from slotwise.schemas import SCREEN
+    from slotwise.sources.csv_feeds import write_feed
+    from slotwise.sources.tables import create_namespace
+    from slotwise.streaming.bronze import BronzeLayout, ingest_all
+
+    landing = str(tmp_path / "landing")
+    rows = spark.range(8).selectExpr(*(f"CAST(id AS {f.dataType.simpleString()}) AS {f.name}" if f.dataType.simpleString() not in ("timestamp", "timestamp_ntz", "boolean", "date")
+                                       else f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in SCREEN.schema().fields))
+    create_namespace(spark, "refreshed_bronze", str(tmp_path / "ns"))
+    layout = BronzeLayout(landing, str(tmp_path / "bronze"))
+    write_feed(rows, landing, SCREEN, "2026-01-01")
+    ingest_all(spark, layout, {SCREEN: SCREEN.schema()}, "b1", namespace="refreshed_bronze")
+    write_feed(rows, landing, SCREEN, "2026-01-02")
+    out = ingest_all(spark, layout.refreshed(), {SCREEN: SCREEN.schema()}, "o'brien", namespace="refreshed_bronze")
+    name = f"refreshed_bronze.bronze_{SCREEN.name}"
+    assert spark.table(name).count() == 16 == spark.read.parquet(out[SCREEN.name]).count()
+    assert {r["_batch_id"] for r in spark.table(name).select("_batch_id").distinct().collect()} == {"o'brien"}
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql("DROP SCHEMA refreshed_bronze")

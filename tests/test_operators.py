@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from slotwise.operators import band_join, bounded_rows, first_failure, latest_by_key, sized_broadcast, top_n_per_group
+from slotwise.operators import band_join, first_failure, latest_by_key, top_n_per_group
 
 
 def _events(n, seed):
@@ -76,11 +76,3 @@ def test_first_failure_null_falls_through(spark):
     df = spark.createDataFrame([(None, True), (True, False), (False, None), (False, False)], "a boolean, b boolean")
     out = df.select(first_failure([("a", "A"), ("b", "B")]).alias("r"))
     assert [r["r"] for r in out.collect()] == ["B", "A", "", ""]
-
-
-def test_sized_broadcast_checks_bound(spark):
-    small = spark.range(10)
-    assert bounded_rows(small, 10) and not bounded_rows(small, 9)
-    big_side = sized_broadcast(spark.range(100), 50)
-    assert "broadcast" not in big_side._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" in sized_broadcast(small, 50)._jdf.queryExecution().logical().toString().lower()

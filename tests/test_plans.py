@@ -71,3 +71,13 @@ def test_gate_is_pushed_into_the_candidates_scan(spark):
     p = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     scan = p[p.index("Scan parquet"):]
     assert "EqualTo(constraint_validation_status,VALID)" in scan[: scan.index("ReadSchema")], p
+
+
+def test_no_sizing_funnel_in_any_stage(spark):
+    """Lookups are plain joins: no limit is counted in one task to size a side."""
+    from slotwise.plans.pipeline import Pipeline
+
+    pl = Pipeline.from_driver_tables(spark, "/root/testdata/sf0.001", barriers=False)
+    for df in (pl.features, pl.forecast, pl.enriched, pl.candidates):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "GlobalLimit" not in plan and "CollectLimit" not in plan
