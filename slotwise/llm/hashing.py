@@ -37,9 +37,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, words per text); words are parted by ASCII white space as bytes.split does."""
-    parts = [t.split() for t in texts]
-    counts = np.fromiter(map(len, parts), np.int64, len(parts))
-    joined = b" ".join([w for p in parts for w in p])
+    counts = np.zeros(len(texts), np.int64)
+    parts = []
+    for i, t in enumerate(texts):
+        words = t.split()
+        counts[i] = len(words)
+        if words:
+            parts.append(b" ".join(words))
+    joined = b" ".join(parts)
     if not joined:
         return np.zeros(0, np.uint64), counts
     data = np.frombuffer(joined, np.uint8)

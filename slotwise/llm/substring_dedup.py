@@ -17,8 +17,7 @@ of smaller doc_id; every word it covers goes. Levels double the length:
 halves of the next, until none survives.
 
 Texts of documents without a surviving half window are finished where they are
-read; only the others are written with what is known about them and meet their
-marks again by row. Windows are compared by 64 + 32 bits of hash.
+read; only the others are shuffled, to meet the marks of their doc_id. Windows are compared by 64 bits of hash.
 
 Defined cases: a null or empty text has no words; a row with a null doc_id
 keeps its words and counts for nobody; rows of one doc_id are one document as
@@ -28,7 +27,6 @@ to "smaller" and each keep their row; texts shorter than a window keep all.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 from itertools import compress
 
@@ -42,7 +40,8 @@ from slotwise.llm.common import ship, written
 from slotwise.llm.hashing import sliding_min, whole, window_hashes, word_hashes
 
 FILTER_BITS = 1 << 27
-MOST_BYTES = 1 << 25  #: text handled at a time
+MOST_BYTES = 1 << 22  #: text handled at a time
+MOST_HELD = 1 << 22  #: hashes a task gathers before it passes them on
 
 
 def _runs(batch) -> Iterator:
@@ -91,6 +90,18 @@ def _by_document(h: np.ndarray, doc: np.ndarray):
     return pa.record_batch([pa.array(_signed(np.concatenate([h, h[more]]))), pa.array(np.concatenate([lo, hi[more]]))], names=["h", "doc"])
 
 
+def _gathered(parts: Iterator) -> Iterator:
+    """(hashes, documents) of many slices, grouped together up to MOST_HELD at a time."""
+    held: list[tuple] = []
+    for part in parts:
+        held.append(part)
+        if sum(len(h) for h, _ in held) > MOST_HELD:
+            yield _by_document(*map(np.concatenate, zip(*held, strict=True)))
+            held = []
+    if held:
+        yield _by_document(*map(np.concatenate, zip(*held, strict=True)))
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """Hashes of (h, doc) that more than one document holds."""
     return rows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
@@ -100,16 +111,17 @@ def half_windows(docs: DataFrame, size: int) -> DataFrame:
     """Level 1: hashes of the half-length windows that name full windows of two documents or more."""
     half = _half(size)
 
-    def look(batches: Iterator) -> Iterator:
+    def named(batches: Iterator) -> Iterator:
         for batch in batches:
             for part in _runs(batch):
                 _, words, counts, row, ids, known = _words(part)
-                named = sliding_min(window_hashes(words, half), size - half + 1)
+                names = sliding_min(window_hashes(words, half), size - half + 1)
                 use = whole(counts, size) & known[row]
-                named, row = named[use], row[use]
-                new = np.concatenate([[True], (named[1:] != named[:-1]) | (row[1:] != row[:-1])]) if len(row) else use[:0]
-                yield _by_document(named[new], ids[row[new]])
+                names, row = names[use], row[use]
+                new = np.concatenate([[True], (names[1:] != names[:-1]) | (row[1:] != row[:-1])]) if len(row) else use[:0]
+                yield names[new], ids[row[new]]
 
+    look = lambda batches: _gathered(named(batches))
     return _shared(docs.select("doc_id", "text").mapInArrow(look, "h long, doc long"))
 
 
@@ -128,72 +140,65 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
     extra = docs.schema["extra"].dataType.simpleString()
     table = spark.sparkContext.broadcast(bitmap.collect(half_windows(docs, size), bits))
     half = _half(size)
-    fields = {"what": "int", "row": "long", "doc_id": "long", "extra": extra, "text": "string", "known": "binary", "h": "long", "g": "int"}
-    fields |= {"n_words": "long", "n_removed": "long", "kept_sha256": "string"}
-
-    def made(n: int, **columns):
-        """An Arrow batch with the given columns and nulls for the others."""
-        types = {"what": pa.int32(), "row": pa.int64(), "doc_id": pa.int64(), "extra": None, "text": pa.string(), "known": pa.binary(), "h": pa.int64(),
-                 "g": pa.int32(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string()}
-        types["extra"] = made.extra
-        return pa.record_batch([columns[c] if c in columns else pa.nulls(n, t) for c, t in types.items()], names=list(types))
 
-    def look(batches: Iterator) -> Iterator:
-        from pyspark import TaskContext
+    def candidates(part):
+        """The words of a slice, and the places of full windows whose half window survived."""
+        texts, words, counts, row, ids, known = _words(part)
+        use = whole(counts, size) & known[row]
+        use &= bitmap.holds(table.value, sliding_min(window_hashes(words, half), size - half + 1))
+        return texts, words, counts, row, ids, np.flatnonzero(use)
 
-        task, n = TaskContext.get().partitionId(), 0
+    def ask(batches: Iterator) -> Iterator:
+        """Once per window and document of a slice: h, doc, first place, and whether a smaller one is here."""
         for batch in batches:
-            made.extra = batch.schema.field("extra").type
             for part in _runs(batch):
-                texts, words, counts, row, ids, known = _words(part)
-                numbers = (task << 36) + n + np.arange(len(texts))
-                n += len(texts)
-                use = whole(counts, size) & known[row]
-                use &= bitmap.holds(table.value, sliding_min(window_hashes(words, half), size - half + 1))
-                at = np.flatnonzero(use)
-                h = window_hashes(words, size)[at]
-                g = (window_hashes(words, size, 1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                doc = ids[row[at]]
-                order = np.lexsort((doc, g, h))
-                h, g, doc, place = h[order], g[order], doc[order], at[order]
-                new = np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])]) if len(h) else np.zeros(0, bool)
-                group = np.cumsum(new) - 1
-                smallest = doc[new][group] if len(h) else doc
-                marked = np.zeros(len(words), bool)
-                marked[place[doc > smallest]] = True
-                # The smallest document's windows wait for the other tasks, once per row.
-                wait = doc == smallest
-                asked_row, asked_h, asked_g = row[place[wait]], h[wait], g[wait]
-                once = np.concatenate([[True], (asked_h[1:] != asked_h[:-1]) | (asked_g[1:] != asked_g[:-1]) | (asked_row[1:] != asked_row[:-1])]) if len(asked_h) else wait[:0]
-                asked_row, asked_h, asked_g = asked_row[once], asked_h[once], asked_g[once]
-                yield made(
-                    len(asked_h), what=pa.array(np.full(len(asked_h), 2, np.int32)), row=pa.array(numbers[asked_row]), doc_id=pa.array(ids[asked_row]),
-                    h=pa.array(_signed(asked_h)), g=pa.array(asked_g),
-                )
-                has = np.zeros(len(texts), bool)
-                has[row[at]] = True
-                ends = np.cumsum(counts)
-                mine, others = np.flatnonzero(has), np.flatnonzero(~has)
-                masks = [zlib.compress(np.packbits(marked[ends[i] - counts[i] : ends[i]]).tobytes(), 1) for i in mine]
-                yield made(
-                    len(mine), what=pa.array(np.ones(len(mine), np.int32)), row=pa.array(numbers[mine]), doc_id=part["doc_id"].take(pa.array(mine)),
-                    extra=part["extra"].take(pa.array(mine)), text=part["text"].take(pa.array(mine)), known=pa.array(masks, pa.binary()),
-                )
-                kept = [b" ".join(texts[i].split()) for i in others]
-                yield made(
-                    len(others), what=pa.array(np.zeros(len(others), np.int32)), doc_id=part["doc_id"].take(pa.array(others)), extra=part["extra"].take(pa.array(others)),
-                    text=pa.array([k.decode() for k in kept] if with_rows else [None] * len(kept), pa.string()), n_words=pa.array(counts[others]),
-                    n_removed=pa.array(np.zeros(len(others), np.int64)), kept_sha256=pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-                )
-
-    met = written(docs.mapInArrow(look, ", ".join(f"{c} {t}" for c, t in fields.items())), "repeats")
-    # One row per window, task and row of the smallest document there.
-    waiting = met.where("what = 2").select("h", "g", "doc_id", "row")
-    smallest = F.min("doc_id").over(W.partitionBy("h", "g"))
-    marks = waiting.withColumn("lo", smallest).where("doc_id > lo").groupBy("row").agg(F.collect_list("h").alias("marks"))
-    texts = met.where("what = 1").select("row", "doc_id", "extra", "text", "known")
+                _, words, counts, row, ids, at = candidates(part)
+                h, doc = window_hashes(words, size)[at], ids[row[at]]
+                place = at - (np.cumsum(counts) - counts)[row[at]]
+                order = np.lexsort((place, doc, h))
+                h, doc, place = h[order], doc[order], place[order]
+                edge = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+                once = edge | np.concatenate([[True], doc[1:] != doc[:-1]]) if len(h) else edge
+                first = doc[edge][np.cumsum(edge) - 1] if len(h) else doc
+                waits = doc == first
+                # Places of windows with a smaller document here need no answer.
+                for some, settled in ((once & waits, False), (once & ~waits, True)):
+                    n = int(some.sum())
+                    hashes = pa.nulls(n, pa.int64()) if settled else pa.array(_signed(h[some]))
+                    yield pa.record_batch([hashes, pa.array(doc[some]), pa.array(place[some].astype(np.int32))], names=["h", "doc", "place"])
+
+    asked = docs.select("doc_id", "text").mapInArrow(ask, "h long, doc long, place int")
+    # A window has one row per slice of its smallest document there.
+    low = F.min("doc").over(W.partitionBy("h"))
+    late = asked.where("h IS NOT NULL").withColumn("low", low).where("doc > low").select("doc", "place")
+    marks = late.unionByName(asked.where("h IS NULL").select("doc", "place")).groupBy("doc").agg(F.array_sort(F.collect_list("place")).alias("marks"))
+    marks = written(marks.select(F.col("doc").alias("doc_id"), "marks"), "repeat_marks")
     final = f"doc_id long, extra {extra}, text string, n_words long, n_removed long, kept_sha256 string"
 
+    def sort_out(mine: bool):
+        """Rows that hold a candidate window, or the finished others."""
+
+        def look(batches: Iterator) -> Iterator:
+            for batch in batches:
+                for part in _runs(batch):
+                    texts, _, counts, row, _, at = candidates(part)
+                    has = np.zeros(len(texts), bool)
+                    has[row[at]] = True
+                    if mine:
+                        yield part.filter(pa.array(has))
+                        continue
+                    rest = np.flatnonzero(~has)
+                    kept = [b" ".join(texts[i].split()) for i in rest]
+                    columns = [pa.array([k.decode() if with_rows else None for k in kept], pa.string()), pa.array(counts[rest]), pa.array(np.zeros(len(rest), np.int64)),
+                               pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
+                    taken = part.take(pa.array(rest))
+                    yield pa.record_batch([taken["doc_id"], taken["extra"], *columns], names=["doc_id", "extra", "text", "n_words", "n_removed", "kept_sha256"])
+
+        return look
+
+    rest = docs.select("doc_id", "text", "extra").mapInArrow(sort_out(False), final)
+    texts = docs.select("doc_id", "text", "extra").mapInArrow(sort_out(True), f"doc_id long, text string, extra {extra}")
+
     def finish(batches: Iterator) -> Iterator:
         for batch in batches:
             for part in _runs(batch):
@@ -202,11 +207,11 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
                 inside = whole(counts, size)
                 ends = np.cumsum(counts)
                 out: dict[str, list] = {"text": [], "n_words": [], "n_removed": [], "kept_sha256": []}
-                for i, (text, mask, marked) in enumerate(zip(texts, part["known"], part["marks"], strict=True)):
+                for i, (text, marked) in enumerate(zip(texts, part["marks"], strict=True)):
                     a, b = ends[i] - counts[i], ends[i]
-                    starts = np.unpackbits(np.frombuffer(zlib.decompress(mask.as_py()), np.uint8))[: counts[i]].astype(np.int64)
-                    if marked.is_valid:
-                        starts |= np.isin(full[a:b], marked.values.to_numpy()) & inside[a:b]
+                    starts = np.zeros(counts[i], np.int64)
+                    if marked.is_valid:  # every place of the marked windows
+                        starts |= np.isin(full[a:b], full[a + marked.values.to_numpy()]) & inside[a:b]
                     edge = np.zeros(counts[i] + size, np.int64)
                     edge[: counts[i]] += starts
                     edge[size:] -= starts
@@ -219,8 +224,7 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
                 types = {"text": pa.string(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string()}
                 yield pa.record_batch([part["doc_id"], part["extra"], *(pa.array(out[c], t) for c, t in types.items())], names=["doc_id", "extra", *types])
 
-    done = texts.join(marks, "row", "left").select("doc_id", "extra", "text", "known", "marks").mapInArrow(finish, final)
-    rest = met.where("what = 0").select("doc_id", "extra", "text", "n_words", "n_removed", "kept_sha256")
+    done = texts.join(marks, "doc_id", "left").select("doc_id", "extra", "text", "marks").mapInArrow(finish, final)
     every = rest.unionByName(done)
     return every.select("doc_id", "n_words", "n_removed", "kept_sha256", *(["text", "extra"] if with_rows else []))
 
