@@ -88,6 +88,7 @@ def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     out, width = values.copy(), 1
     while width < size:
         step = min(width, size - width)
-        out[: len(out) - step] = np.minimum(out[: len(out) - step], out[step:])
+        if step < len(out):
+            out[: len(out) - step] = np.minimum(out[: len(out) - step], out[step:])
         width += step
     return out

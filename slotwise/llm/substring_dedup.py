@@ -34,6 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StructType
 
 from slotwise.llm import bitmap
 from slotwise.llm.common import ship, written
@@ -137,7 +138,6 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
     ship(spark)
     others = [c for c in docs.columns if with_rows and c not in ("doc_id", "text")]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(F.lit(0), *(F.col(f"`{c}`") for c in others)).alias("extra"))
-    extra = docs.schema["extra"].dataType.simpleString()
     table = spark.sparkContext.broadcast(bitmap.collect(half_windows(docs, size), bits))
     half = _half(size)
 
@@ -173,7 +173,10 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
     late = asked.where("h IS NOT NULL").withColumn("low", low).where("doc > low").select("doc", "place")
     marks = late.unionByName(asked.where("h IS NULL").select("doc", "place")).groupBy("doc").agg(F.array_sort(F.collect_list("place")).alias("marks"))
     marks = written(marks.select(F.col("doc").alias("doc_id"), "marks"), "repeat_marks")
-    final = f"doc_id long, extra {extra}, text string, n_words long, n_removed long, kept_sha256 string"
+    # A schema, not its text: the row's own columns may have any names.
+    extra, text = docs.schema["extra"], docs.schema["text"]
+    doc_id = docs.schema["doc_id"]
+    final = StructType([doc_id, extra, text, *StructType.fromDDL("n_words long, n_removed long, kept_sha256 string").fields])
 
     def sort_out(mine: bool):
         """Rows that hold a candidate window, or the finished others."""
@@ -197,7 +200,7 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
         return look
 
     rest = docs.select("doc_id", "text", "extra").mapInArrow(sort_out(False), final)
-    texts = docs.select("doc_id", "text", "extra").mapInArrow(sort_out(True), f"doc_id long, text string, extra {extra}")
+    texts = docs.select("doc_id", "text", "extra").mapInArrow(sort_out(True), StructType([doc_id, text, extra]))
 
     def finish(batches: Iterator) -> Iterator:
         for batch in batches:

@@ -23,6 +23,8 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 
 #: Characters whose lower case, composition and class need no tables.
 UNPLAIN = re.compile("[^\n -~À-ÖØ-öø-įıĲ-ſ]|<\\|")
+#: The compiled encoder's time grows with the square of a word's length.
+LONG_WORD = 1000
 #: What the pattern splits off besides runs of letters.
 SPLIT_OFF = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-z0-9À-ÖØ-öø-ſ]+")
 
@@ -93,7 +95,7 @@ class Encoder:
         texts = [t or "" for t in texts]
         if self.fast is None:
             return self.by_library(texts)
-        plain = [UNPLAIN.search(t) is None for t in texts]
+        plain = [UNPLAIN.search(t) is None and max(map(len, t.split()), default=0) <= LONG_WORD for t in texts]
         other = iter(self.by_library([t for t, p in zip(texts, plain, strict=True) if not p]))
         out = [self._plain(t) if p else next(other) for t, p in zip(texts, plain, strict=True)]
         probe = next((i for i, p in enumerate(plain) if p and texts[i]), None)
