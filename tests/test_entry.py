@@ -16,7 +16,10 @@ def test_entry_returns_recommendations(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """The llm operators that SQL cannot express are held against brute force in tests/llm."""
+    llm = {n for n in E.queries() if n == "pipeline" or n.startswith("op") and n[2:].split("_")[0].isdigit()}
+    assert set(E.queries()) - llm == set(E.oracle_sql()) - llm
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", ["recommendations_region", "candidates", "current_schedule", "latest_booking",
