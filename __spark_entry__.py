@@ -366,7 +366,7 @@ def q_report_schedule(spark, sf_dir):
 
 def q_report_forecast(spark, sf_dir):
     pl = _pipe(spark, sf_dir)
-    return reports.report_forecast(pl.features, pl.forecast, pl.silver["dim_movie"])
+    return reports.report_forecast(pl.features, P)
 
 
 def q_report_candidates(spark, sf_dir):

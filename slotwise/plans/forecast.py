@@ -19,16 +19,19 @@ def forecast_columns(p: Params = Params()) -> list[str]:
     ]
 
 
-def demand_forecast(features: DataFrame, p: Params = Params(), with_run_ts: bool = True) -> DataFrame:
-    """Booking-curve forecast floored by the film's baseline, rounded to 2."""
-    cols = [
-        "showtime_id",
-        f"{quote(p.forecast_run_id)} AS forecast_run_id",
+def explained_columns(p: Params = Params()) -> list[str]:
+    """:func:`forecast_columns` and the values that explain them."""
+    return [
         *forecast_columns(p),
         f"round({CURVE}, 2) AS booking_curve_forecast",
         "historical_avg_attendance_movie AS historical_demand_baseline",
         f"{forecast_drivers_sql('current_booked_seats', 'historical_avg_attendance_movie', 'expected_booking_completion_pct')} AS top_forecast_drivers",
     ]
+
+
+def demand_forecast(features: DataFrame, p: Params = Params(), with_run_ts: bool = True) -> DataFrame:
+    """Booking-curve forecast floored by the film's baseline, rounded to 2."""
+    cols = ["showtime_id", f"{quote(p.forecast_run_id)} AS forecast_run_id", *explained_columns(p)]
     if with_run_ts:
         cols.append("current_timestamp() AS forecast_run_ts")
     return features.selectExpr(*cols)
@@ -40,8 +43,7 @@ def enrich(features: DataFrame, policy: DataFrame, forecast: DataFrame | None =
     The forecast is a per-row function of the features, so by default it is
     computed inline instead of joined back (one less shuffle). Pass
     ``forecast`` to join a stored forecast table on showtime_id instead.
-    The policy table has one row per site and is broadcast by the caller
-    once its size is checked; a site without a policy drops its showtimes.
+    A site without a policy drops its showtimes.
     """
     feats = features.drop("feature_run_ts")
     if forecast is None:
