@@ -81,3 +81,16 @@ def test_no_sizing_funnel_in_any_stage(spark):
     for df in (pl.features, pl.forecast, pl.enriched, pl.candidates):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "GlobalLimit" not in plan and "CollectLimit" not in plan
+
+
+def test_reports_come_in_their_stated_order(spark):
+    """leading keys of every report, read from collected rows."""
+    import __spark_entry__ as E
+
+    sf, q = "/root/testdata/sf0.001", E.queries()
+    rows = [(r["theatre_id"], r["show_start_ts"], r["capacity"], r["showtime_id"]) for r in q["report_schedule"](spark, sf).collect()]
+    assert len(rows) > 1 and rows == sorted(rows)
+    rows = [(-r["unconstrained_demand_forecast"], r["showtime_id"]) for r in q["report_forecast"](spark, sf).collect()]
+    assert len(rows) > 1 and rows == sorted(rows)
+    rows = [r["constraint_validation_status"] for r in q["report_candidates"](spark, sf).collect()]
+    assert rows == sorted(rows, reverse=True)
