@@ -10,7 +10,7 @@ and a document's parts meet again, as ids, to be joined.
 A cut may fall inside a token. A join is repaired by decoding tokens on both
 sides of it and encoding that text again; the window grows until the new ids
 agree with the old ones at both of its ends beyond a place where the tokenizer
-always parts, a letter or digit before a space or line break. Splitting looks
+always parts, a visible ASCII character before a space or line break. Splitting looks
 at most one character past such a place, so the agreement is exact.
 
 The set of shared chunks is passed on as a bitmap of ``filter_bits`` bits. It
@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,6 +82,16 @@ def _short(k: bytes) -> int:
     return int.from_bytes(k[:8], "little", signed=True)
 
 
+#: Characters without, or of, white space beyond which the library's encoder,
+#: whose time does not grow with the square of a run, is used.
+LONG_RUN = 1000
+_SPACES = re.compile(r"\s{%d}" % LONG_RUN)
+
+
+def longest_run(text: str) -> int:
+    return LONG_RUN + 1 if _SPACES.search(text) else max(map(len, text.split()), default=0)
+
+
 class Codec:
     """Encodes and decodes with a byte-level BPE file of the tokenizers library."""
 
@@ -90,12 +101,16 @@ class Codec:
             spec = json.load(f)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.fast = self._ranked(ranks) if ranks else None
-        self.library = self._library(path) if self.fast is None else None
+        self.library = self._library(path)
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
         symbol = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in set(shown))}
         vocab = {i: bytes(symbol[c] for c in t) for t, i in spec["model"]["vocab"].items() if t not in self.special}
         vocab |= {i: t.encode() for t, i in self.special.items()}
         self.token = [vocab.get(i, b"") for i in range(max(vocab) + 1)]
+        # The tokenizer always parts after a visible ASCII character, before a
+        # space or line break.
+        self.closes = [t != b"" and 32 < t[-1] < 127 for t in self.token]
+        self.opens = [t[:1] in (b" ", b"\n") for t in self.token]
 
     @staticmethod
     def _library(path: str):
@@ -118,12 +133,12 @@ class Codec:
         return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=self.special)
 
     def encode(self, text: str) -> np.ndarray:
-        if self.fast is not None:
+        if self.fast is not None and (len(text) <= LONG_RUN or longest_run(text) <= LONG_RUN):
             return self.fast.encode_to_numpy(text, allowed_special="all")
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def raw(self, ids) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids.tolist()))
+        return b"".join(map(self.token.__getitem__, ids if isinstance(ids, list) else ids.tolist()))
 
     def decode(self, ids) -> str:
         return self.raw(ids).decode("utf-8", "replace")
@@ -138,18 +153,11 @@ def codec(path: str, ranks: str | None) -> Codec:
     return _CODECS[path, ranks]
 
 
-_WORD = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
-
-
-def _parts(before: bytes, after: bytes) -> bool:
-    """Whether the tokenizer always parts between these bytes."""
-    return before[-1:] != b"" and before[-1] in _WORD and after[:1] in (b" ", b"\n")
-
-
-def _anchor(codec: Codec, ids, order: range) -> int | None:
+def _anchor(codec: Codec, ids: list[int], order: range) -> int | None:
     """The first i of ``order`` such that ids[:i] and ids[i:] always part."""
+    closes, opens = codec.closes, codec.opens
     for i in order:
-        if _parts(codec.token[ids[i - 1]], codec.token[ids[i]]):
+        if closes[ids[i - 1]] and opens[ids[i]]:
             return i
     return None
 
@@ -159,65 +167,70 @@ def _inside(token: bytes) -> bool:
     return token[:1] != b"" and token[0] & 0xC0 == 0x80
 
 
-def join(codec: Codec, left: np.ndarray, right: np.ndarray, window: int = 16) -> np.ndarray:
+def join(codec: Codec, left: list[int], right: list[int], window: int = 16) -> list[int]:
     """Ids of the joined texts from the ids of two neighbours."""
-    if not len(left) or not len(right):
-        return np.concatenate([left, right])
+    if not left or not right:
+        return left + right
     while True:
         a, b = max(0, len(left) - window), min(len(right), window)
         while a and _inside(codec.token[left[a]]):
             a -= 1
         while b < len(right) and _inside(codec.token[right[b]]):
             b += 1
-        old = np.concatenate([left[a:], right[:b]])
-        new = codec.encode(codec.raw(old).decode("utf-8"))
+        before, after = left[a:], right[:b]
+        new = codec.encode(codec.raw(before + after).decode("utf-8")).tolist()
         # From the edges inwards: up to the first sure parting the ids must
         # agree; without one the window must reach the text's end.
-        head = 0 if a == 0 else _anchor(codec, left[a:], range(1, len(left) - a))
-        tail = b if b == len(right) else _anchor(codec, right[:b], range(b - 1, 0, -1))
+        head = 0 if a == 0 else _anchor(codec, before, range(1, len(before)))
+        tail = b if b == len(right) else _anchor(codec, after, range(b - 1, 0, -1))
         if head is not None and tail is not None:
             kept = b - tail
-            same_head = np.array_equal(new[:head], old[:head])
-            same_tail = kept == 0 or np.array_equal(new[len(new) - kept :], old[len(old) - kept :])
-            if same_head and same_tail:
-                return np.concatenate([left[:a], new, right[b:]])
+            if new[:head] == before[:head] and (kept == 0 or new[-kept:] == after[tail:]):
+                return left[:a] + new + right[b:]
         if a == 0 and b == len(right):
             return new
         window *= 4
 
 
-def join_all(codec: Codec, parts: list[np.ndarray]) -> np.ndarray:
+def join_all(codec: Codec, parts: list[list[int]]) -> list[int]:
     """All parts in order; settled ids are set aside so that long texts stay linear."""
-    done: list[np.ndarray] = []
-    open_ = parts[0] if parts else np.zeros(0, np.uint32)
-    for part in parts[1:]:
+    done: list[int] = []
+    open_: list[int] = []
+    for part in parts:
         # Only the end of what is joined so far can change: back to a sure parting.
-        at = len(open_) - 512
+        at = len(open_) - 64
         cut = _anchor(codec, open_, range(at, 0, -1)) if at > 0 else None
         if cut:
-            done.append(open_[:cut])
+            done += open_[:cut]
             open_ = open_[cut:]
         open_ = join(codec, open_, part)
-    return np.concatenate([*done, open_])
+    return done + open_
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    import zstandard
+_ZSTD: list = []
 
-    return zstandard.ZstdCompressor(level=1).compress(ids.astype("<u4" if len(ids) and ids.max() > 0xFFFF else "<u2").tobytes())
 
+def _zstd():
+    if not _ZSTD:
+        import zstandard
 
-def _unpacked(blob: bytes, wide: bool) -> np.ndarray:
-    import zstandard
+        _ZSTD.extend([zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()])
+    return _ZSTD
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u4" if wide else "<u2").astype(np.uint32)
+
+def _packed(ids: np.ndarray) -> bytes:
+    return _zstd()[0].compress(ids.astype("<u4" if len(ids) and ids.max() > 0xFFFF else "<u2").tobytes())
+
+
+def _unpacked(blob: bytes, wide: bool) -> list[int]:
+    return np.frombuffer(_zstd()[1].decompress(blob), "<u4" if wide else "<u2").tolist()
 
 
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def _digest(codec: Codec, ids: np.ndarray) -> tuple:
-    return len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest()
+    return len(ids), hashlib.sha256(np.asarray(ids, dtype="<u4").tobytes()).hexdigest(), hashlib.sha256(codec.decode(ids).encode()).hexdigest()
 
 
 def shared_filter(docs: DataFrame, bits: int = FILTER_BITS, mean: int = MEAN_CHUNK) -> np.ndarray:
@@ -309,13 +322,31 @@ def encode(docs: DataFrame, tokenizer: str, ranks: str | None = None, bits: int
     )
     together = held.unionByName(parts.where("k IS NULL").select("row", "doc_id", "at", "ids", "wide"))
 
-    def assemble(frame):
-        import pandas as pd
+    def assemble(batches: Iterator) -> Iterator:
+        """Parts come sorted by row and place; a document may span batches."""
+        import pyarrow as pa
 
-        own = codec(tokenizer, ranks)
-        frame = frame.sort_values("at")
-        ids = join_all(own, [_unpacked(b, w) for b, w in zip(frame["ids"], frame["wide"], strict=True)])
-        return pd.DataFrame([(frame["doc_id"].iloc[0], *_digest(own, ids))], columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        own, now, doc, parts = codec(tokenizer, ranks), None, None, []
+        kinds: list = []
 
-    joined = together.groupBy("row").applyInPandas(assemble, f"doc_id {kind}, {DIGEST}")
+        def out(rows: list[tuple]):
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            types = [kinds[0], pa.int64(), pa.string(), pa.string()]
+            return pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+        for batch in batches:
+            kinds[:] = [batch.schema.field("doc_id").type]
+            rows = []
+            for row, d, blob, wide in zip(*(batch[c].to_pylist() for c in ("row", "doc_id", "ids", "wide")), strict=True):
+                if row != now:
+                    if now is not None:
+                        rows.append((doc, *_digest(own, join_all(own, parts))))
+                    now, doc, parts = row, d, []
+                parts.append(_unpacked(blob, wide))
+            yield out(rows)
+        if now is not None:
+            yield out([(doc, *_digest(own, join_all(own, parts)))])
+
+    ordered = together.repartition("row").sortWithinPartitions("row", "at")
+    joined = ordered.mapInArrow(assemble, f"doc_id {kind}, {DIGEST}")
     return met.where("what = 0").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").unionByName(joined)
