@@ -18,8 +18,10 @@ is each document's component under links.
   prefix tree of its ordered sets (:mod:`slotwise.llm.set_trie`). Only links
   that connect are returned, so a group of copies costs a line per document.
 * Rest. N-grams whose documents are still in different components are joined
-  by prefix trees again, all pairs of blocks where a group is larger than one,
-  until every pair of different components is settled. No partner is dropped.
+  again, all pairs of blocks where a group is larger than one. Parity bitmaps of
+  the sets, a bit for every other n-gram, bound the difference of two sets from
+  below and rule out almost all pairs before any set is moved; what they leave
+  is joined by prefix trees. No partner is dropped.
 
 The classes travel as bitmaps of ``filter_bits`` bits. A bitmap may put an
 n-gram into a later class, for all documents alike, so the order stays one.
@@ -34,6 +36,7 @@ Columns other than doc_id and text are never read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +78,18 @@ def _key(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def parity(grams: np.ndarray) -> bytes:
+    """A bit per slot: whether an odd number of n-grams hash to it.
+
+    Two sets' bits differ in at most as many slots as n-grams are in only one
+    of them. Bits of a set of n fill 2 n slots or more, a power of two, and
+    fold to half as many by exclusive or.
+    """
+    slots = max(256, 1 << int(2 * len(grams) - 1).bit_length())
+    odd = np.bincount((grams & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _first(n: int, percent: int) -> int:
     """How many first n-grams of a set of n any similar set must share one of."""
     return n - -(-percent * n // 100) + 1
@@ -85,12 +100,14 @@ def held(docs: DataFrame, n: int) -> DataFrame:
     import pyarrow as pa
 
     def look(batches: Iterator) -> Iterator:
-        for batch in batches:
+        for batch in batches:  # a batch's picked n-grams are a quarter of its words
+            held = []
             for part in _runs(batch):
                 known = part["doc_id"].is_valid().to_pylist()
                 sets = [s for s, k in zip(shingle_sets(part["text"].to_pylist(), n), known, strict=True) if k]
-                grams = np.concatenate([s[s % np.uint64(PICK) == 0] for s in sets] or [np.zeros(0, np.uint64)])
-                h, count = np.unique(grams, return_counts=True)
+                held += [s[s % np.uint64(PICK) == 0] for s in sets]
+            if held:
+                h, count = np.unique(np.concatenate(held), return_counts=True)
                 yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(count.astype(np.int32))], names=["h", "n"])
 
     return docs.mapInArrow(look, "h long, n int").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= CLASSES[0])
@@ -125,21 +142,21 @@ def linked(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BI
                     a = int(ends[i]) - size
                     to = a + _first(size, percent)
                     if not size or ids[i] is None or rank[to - 1] == 0:
-                        rows.append((ids[i], size, None, None, None))
+                        rows.append((ids[i], size, None, None, None, None))
                         continue
                     k = _key(sets[i])
                     new = k not in told
                     told.add(k)
                     shared = grams[a:to][rank[a:to] > 0]
-                    rows.append((ids[i], size, k, grams[a : ends[i]].tobytes() if new else None, shared.tolist() if new else None))
-                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
-                columns = zip(*rows, strict=True) if rows else [[]] * 5
-                yield pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n", "k", "grams", "first"])
+                    rows.append((ids[i], size, k, grams[a : ends[i]].tobytes() if new else None, parity(sets[i]) if new else None, shared.tolist() if new else None))
+                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+                columns = zip(*rows, strict=True) if rows else [[]] * 6
+                yield pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n", "k", "grams", "parity", "first"])
 
-    read = written(docs.mapInArrow(look, "doc_id long, n long, k binary, grams binary, first array<long>"), "ngram_sets")
+    read = written(docs.mapInArrow(look, "doc_id long, n long, k binary, grams binary, parity binary, first array<long>"), "ngram_sets")
     waiting = read.where("k IS NOT NULL")
     sets = written(
-        waiting.groupBy("k").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("grams").alias("grams"), F.max("first").alias("first")), "ngram_reps"
+        waiting.groupBy("k").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("grams").alias("grams"), F.max("parity").alias("parity"), F.max("first").alias("first")), "ngram_reps"
     )
     links = _links(sets, percent)
     nodes = components(links)
@@ -188,13 +205,32 @@ def _joined(percent: int):
     return join
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links u, v between representatives that connect all that are similar."""
-    members = written(sets.select("rep", "n", F.explode("first").alias("h")), "ngram_members")
-    centres = members.groupBy("h").agg(F.min("rep").alias("centre"), F.count("*").alias("m")).where("m > 1")
-    centres = written(centres, "ngram_centres")
-    stars = members.join(centres, "h").groupBy("centre", "rep").agg(F.max("n").alias("n")).select("centre", "rep", "n")
-    stars = written(stars, "ngram_stars")
+def _close(percent: int):
+    """Pairs of a block in different components whose parities do not rule a link out."""
+
+    def pairs(frame):
+        import pandas as pd
+
+        frame = frame.drop_duplicates("rep")
+        n, reps, component = (frame[c].to_numpy() for c in ("n", "rep", "component"))
+        bits = [np.frombuffer(p, np.uint8) for p in frame["parity"]]
+        least = min(map(len, bits))
+        table = np.stack([np.bitwise_xor.reduce(b.reshape(-1, least), axis=0) for b in bits])
+        out = []
+        for i in range(len(reps)):
+            differ = np.bitwise_count(table[i + 1 :] ^ table[i]).sum(axis=1, dtype=np.int64)
+            both = n[i + 1 :] + n[i]
+            fits = (100 + percent) * differ <= (100 - percent) * both
+            fits &= 100 * np.minimum(n[i + 1 :], n[i]) >= percent * np.maximum(n[i + 1 :], n[i])
+            for j in np.flatnonzero(fits & (component[i + 1 :] != component[i])) + i + 1:
+                out.append((min(reps[i], reps[j]), max(reps[i], reps[j])))
+        return pd.DataFrame(out, columns=["centre", "rep"]).astype("int64")
+
+    return pairs
+
+
+def _star_links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links found by joining each centre with the documents paired with it, block by block."""
     blocks = stars.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     # Each block has the centre and its share of the centre's documents.
     dealt = stars.join(written(blocks, "ngram_blocks"), "centre").where("rep <> centre").select(
@@ -202,30 +238,41 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     )
     heads = dealt.select("centre", "block").distinct().select("centre", F.col("centre").alias("rep"), "block")
     grouped = written(dealt.unionByName(heads), "ngram_blocked")
-    bodies = sets.select("rep", "n", "grams")
-    first = written(
-        grouped.join(bodies, "rep").withColumn("component", F.col("rep"))
-        .groupBy("centre", "block").applyInPandas(_joined(percent), "u long, v long"), "ngram_links",
-    )
+    joined = grouped.join(sets.select("rep", "n", "grams"), "rep").withColumn("component", F.col("rep"))
+    return written(joined.groupBy("centre", "block").applyInPandas(_joined(percent), "u long, v long"), "ngram_links")
+
+
+def _links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links u, v between representatives that connect all that are similar."""
+    members = written(sets.select("rep", "n", F.explode("first").alias("h")), "ngram_members")
+    centres = members.groupBy("h").agg(F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("m")).where("m > 1")
+    centres = written(centres.select("h", F.col("c.rep").alias("centre"), F.col("c.n").alias("n_centre")), "ngram_centres")
+    near = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    stars = members.join(centres, "h").where(near(F.col("n"), F.col("n_centre"))).select("centre", "rep").distinct()
+    stars = written(stars, "ngram_stars")
+    first = _star_links(stars, sets, percent)
     nodes = components(first)
     labelled = written(
         members.join(nodes.select(F.col("u").alias("rep"), "v"), "rep", "left").select("rep", "n", "h", F.coalesce("v", "rep").alias("component")), "ngram_labelled"
     )
-    open_ = labelled.groupBy("h").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("m")).where("a <> b")
-    open_ = open_.select("h", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    left = labelled.join(written(open_, "ngram_open"), "h").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    # Sizes of similar sets lie in one band of the ratio or in two neighbours,
+    # so an n-gram's documents meet by pairs of neighbouring bands only.
+    band = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) + 1e-6)).cast("int")
+    banded = labelled.select("rep", "h", "component", F.explode(F.array(band, band + 1)).alias("band"))
+    open_ = banded.groupBy("h", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
+    open_ = open_.select("h", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    left = banded.join(written(open_, "ngram_open"), ["h", "band"]).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     # A pair of documents meets in the block of both their shares.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    left = left.select("rep", "component", "h", "mine", other).select(
-        "rep", "component", "h", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b")
+    left = left.select("rep", "component", "h", "band", "mine", other).select(
+        "rep", "component", F.struct("h", "band", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b")).alias("block")
     )
+    left = written(left, "ngram_left")
     # Many n-grams of a passage have the same documents: one block serves them all.
-    sign = left.groupBy("h", "a", "b").agg(
+    sign = left.groupBy("block").agg(
         F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64(F.lit(1), "rep") % 1_000_003).alias("y"), F.count("*").alias("m")
     )
-    chosen = written(sign.groupBy("x", "y", "m").agg(F.min(F.struct("h", "a", "b")).alias("c")).select("c.*"), "ngram_chosen")
-    second = (
-        left.join(chosen, ["h", "a", "b"]).join(bodies, "rep")
-        .groupBy("h", "a", "b").applyInPandas(_joined(percent), "u long, v long")
-    )
-    return first.unionByName(written(second, "ngram_links"))
+    chosen = written(sign.groupBy("x", "y", "m").agg(F.min("block").alias("block")).select("block"), "ngram_chosen")
+    close = left.join(chosen, "block").join(sets.select("rep", "n", "parity"), "rep").groupBy("block").applyInPandas(_close(percent), "centre long, rep long")
+    second = _star_links(written(close.distinct(), "ngram_close"), sets, percent)
+    return first.unionByName(second)
