@@ -14,6 +14,9 @@ from slotwise.llm.common import table, written
 
 TOKENIZER = "word_bpe_49k.json"
 
+#: Near copies share 80 % of their 5-word shingles; op10's query keeps its own 4 words and 85 %.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def _recounted(docs: DataFrame) -> DataFrame:
     """``n_chars`` after a stage that changes texts."""
@@ -27,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of smallest id stays."""
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
