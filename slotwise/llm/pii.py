@@ -2,8 +2,9 @@
 
 The base patterns find e-mail addresses, IP addresses, card and phone numbers.
 They seed a bootstrap: every identifier-like token (it holds a digit or an
-``@``) is an instance, the two words before it are its lexical pattern, and
-each pair of them seen anywhere is an edge of a bipartite graph. Confidence
+``@``) is an instance, the two words before it (an earlier token among them
+stands as ``<ID>``) are its lexical pattern, and each pair of instance and
+pattern seen anywhere is an edge of a bipartite graph. Confidence
 starts at 1 for instances a base span covers and 0 for all others, and runs
 along the edges for ``rounds`` rounds: a pattern's confidence is the mean of
 its instances' (with ``smoothing`` added to the divisor), an instance's is the
@@ -16,8 +17,8 @@ pattern or an instance shared by a third of all texts costs one row per task.
 Only DataFrame functions are used.
 
 Defined cases: a null text counts as empty; repeated rows are each scanned and
-give the same spans; a token without two words before it has no pattern and is
-never added. Columns other than doc_id and text are never read.
+give the same spans; a token among the first two words of a text has no pattern
+and is never added. Columns other than doc_id and text are never read.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm import spans as S
-from slotwise.llm.common import let, written
+from slotwise.llm.common import let, words_of, written
 
 # The base patterns and the order of kinds. Lookbehinds, \G and
 # possessive quantifiers only spare restarts inside a run that has failed.
@@ -40,6 +41,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 #: An identifier-like token: a word that holds a digit or an @.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: What stands for an identifier-like token among the two words before another.
+ID = "<ID>"
 
 
 @dataclass(frozen=True)
@@ -85,14 +88,15 @@ def base_spans(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Identifier-like tokens: array of struct (s, k, e, t, left), left: the two words before."""
-    def lefts(found: Column) -> Column:
-        # Two words before a token are the end of the gap before it, unless
-        # that gap is short and the words reach into earlier tokens.
-        gaps = F.slice(F.split(text, TOKEN, -1), 1, F.size(found))
-        return F.transform(gaps, lambda g: F.lower(F.substring_index(F.regexp_replace(F.right(g, F.lit(200)), r"[\x20\x09-\x0D]+", " "), " ", -3)))
+    def lefts(words: Column) -> Column:
+        # A token is a whole word, so the words that hold a digit or an @ are
+        # the tokens in order. Words are lower case, so none equals <ID>.
+        known = F.transform(words, lambda w: F.when(w.rlike("[0-9@]"), F.lit(ID)).otherwise(F.lower(w)))
+        before = lambda k, i: F.when(i < 2, F.lit("")).otherwise(F.concat(F.get(k, i - 2), F.lit(" "), F.get(k, i - 1), F.lit(" ")))
+        return let(known, lambda k: F.filter(F.transform(k, lambda w, i: F.when(w == ID, before(k, i))), lambda g: g.isNotNull()))
 
     with_left = lambda found: F.zip_with(
-        found, lefts(found), lambda x, g: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), x["t"].alias("t"), g.alias("left"))
+        found, let(words_of(text), lefts), lambda x, g: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), x["t"].alias("t"), g.alias("left"))
     )
     kind = "array<struct<s:bigint,k:int,e:bigint,t:string,left:string>>"
     some = let(S.matches(text, TOKEN, 4), lambda m: F.when(F.size(m) == 0, F.array().cast(kind)).otherwise(with_left(m)))

@@ -8,8 +8,11 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import brute  # noqa: E402
+import numpy as np  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
+from slotwise.llm import pii, quality_rules, secret_scan, toxicity  # noqa: E402
 
 
 def test_near_copies_between_the_two_limits(spark):
@@ -20,3 +23,15 @@ def test_near_copies_between_the_two_limits(spark):
     assert share(5) >= 80 and share(4) < 85
     got = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert sorted(r["doc_id"] for r in got.collect()) == [1, 3]
+
+
+def test_contexts_reach_over_earlier_tokens_and_wide_gaps(spark):
+    rows = [(i, f"id: {4000 + i} ssn: u{i}@host.example please write to v{i}@host.example") for i in range(60)]
+    rows += [(100, "id: 4711 ssn: #agent9x"), (101, "please write" + " " * 300 + "to #agent8y"), (102, "4711 #agent7z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lefts = docs.where("doc_id IN (0, 102)").select("doc_id", F.explode(pii.tokens(F.col("text"))).alias("x")).select("doc_id", "x.t", "x.left").collect()
+    assert {(d, t): left for d, t, left in lefts} == {
+        (0, "4000"): "", (0, "u0@host.example"): "<ID> ssn: ", (0, "v0@host.example"): "write to ", (102, "4711"): "", (102, "#agent7z"): "",
+    }
+    got = {r["doc_id"]: [x["t"] for x in r["spans"] if x["k"] == 4] for r in pii.find(docs, pii.BootstrapParams(confidence=0.8)).collect()}
+    assert (got[100], got[101], got[102]) == (["#agent9x"], ["#agent8y"], [])
