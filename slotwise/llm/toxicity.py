@@ -11,8 +11,10 @@ text collects, as a sum and per 100 words, becomes a score by a logistic
 function fitted to the same texts.
 
 At most ``max_toxic`` and ``max_clean`` labelled rows are used, those of
-smallest hash of their doc_id; counts travel as sums per task and the driver
-sees bounded lists only. Scoring covers every row and the whole text.
+smallest hash of their doc_id. A row weighs as many labels as it stands for
+(all of its kind over those chosen), so exceptions and the logistic function
+follow the labels' true shares however large the corpus. Counts travel as sums
+per task and the driver sees bounded lists only. Scoring covers every row and the whole text.
 
 Defined cases: null and empty texts score as texts without entries; a document
 labelled more than once is toxic if any label says so; labels without doc_id or
@@ -146,19 +148,26 @@ def _sketch(folded: str) -> int:
 
 
 def sample(docs: DataFrame, labels: DataFrame, params: LexiconParams) -> DataFrame:
-    """text, toxic of a bounded number of labelled rows, written once."""
+    """text, toxic, weight of a bounded number of labelled rows, written once."""
     marks = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     )
-    some = lambda side, n: marks.where(side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    chosen = some(F.col("toxic"), params.max_toxic).unionByName(some(~F.col("toxic"), params.max_clean))
+    totals = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+
+    def some(side: bool, most: int) -> DataFrame:
+        weight = max(1.0, totals.get(side, 0) / most)
+        return marks.where(F.col("toxic") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).withColumn("weight", F.lit(weight))
+
+    chosen = some(True, params.max_toxic).unionByName(some(False, params.max_clean))
     texts = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
-    return written(texts.dropDuplicates(["doc_id"]).select("text", "toxic"), "toxicity_sample")
+    return written(texts.dropDuplicates(["doc_id"]).select("text", "toxic", "weight"), "toxicity_sample")
 
 
 def learn(texts: DataFrame, params: LexiconParams = LexiconParams()) -> Lexicon:
-    """A lexicon from rows (text, toxic)."""
+    """A lexicon from rows (text, toxic) and their ``weight``, 1 if there is no such column."""
+    if "weight" not in texts.columns:
+        texts = texts.withColumn("weight", F.lit(1.0))
     ship(texts.sparkSession)
     sizes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
@@ -238,42 +247,42 @@ def _exceptions(texts: DataFrame, lexicon: Lexicon) -> list[str]:
 
         for batch in batches:
             rows = set()
-            for n, (text, toxic) in enumerate(zip(batch["text"], batch["toxic"], strict=True)):
+            for n, (text, toxic, weight) in enumerate(zip(batch["text"], batch["toxic"], batch["weight"], strict=True)):
                 folded = " ".join(fold(text).split()) if lexicon.weights else ""
                 folded = f" {folded} "
                 for start, _ in lexicon.hits(folded):
                     end = folded.find(" ", start + 1)
                     left, right = folded.rfind(" ", 0, start), folded.find(" ", end + 1)
                     if left >= 0:
-                        rows.add((n, folded[left : end + 1], bool(toxic)))
+                        rows.add((n, folded[left : end + 1], bool(toxic), weight))
                     if right >= 0:
-                        rows.add((n, folded[start : right + 1], bool(toxic)))
-            yield pd.DataFrame([r[1:] for r in rows], columns=["phrase", "toxic"])
+                        rows.add((n, folded[start : right + 1], bool(toxic), weight))
+            yield pd.DataFrame([r[1:] for r in rows], columns=["phrase", "toxic", "weight"])
 
     got = (
-        texts.mapInPandas(phrases, "phrase string, toxic boolean").groupBy("phrase")
-        .agg(F.count_if("toxic").alias("toxic"), F.count_if(~F.col("toxic")).alias("clean"))
-        .where((F.col("clean") >= 3) & (F.col("clean") >= F.col("toxic"))).orderBy(F.desc("clean"), "phrase").limit(1000).collect()
+        texts.mapInPandas(phrases, "phrase string, toxic boolean, weight double").groupBy("phrase")
+        .agg(F.sum(F.when(F.col("toxic"), -F.col("weight")).otherwise(F.col("weight"))).alias("excess"), F.count_if(~F.col("toxic")).alias("clean"))
+        .where((F.col("clean") >= 3) & (F.col("excess") >= 0)).orderBy(F.desc("clean"), "phrase").limit(1000).collect()
     )
     return [r["phrase"] for r in got]
 
 
 def _fit(texts: DataFrame, lexicon: Lexicon) -> tuple[float, ...]:
-    """Logistic regression of the label on the two features, by Newton steps."""
+    """Logistic regression of the label on the two features, rows by weight, by Newton steps."""
 
     def measure(batches: Iterator) -> Iterator:
         import pandas as pd
 
         for batch in batches:
             rows = [lexicon.features(t) for t in batch["text"]]
-            yield pd.DataFrame({"x": [r[0] for r in rows], "y": [r[1] for r in rows], "toxic": batch["toxic"].to_numpy(dtype=float)})
+            yield pd.DataFrame({"x": [r[0] for r in rows], "y": [r[1] for r in rows], "toxic": batch["toxic"].to_numpy(dtype=float), "weight": batch["weight"]})
 
-    rows = np.array([tuple(r) for r in texts.mapInPandas(measure, "x double, y double, toxic double").collect()])
+    rows = np.array([tuple(r) for r in texts.mapInPandas(measure, "x double, y double, toxic double, weight double").collect()])
     x = np.column_stack([np.ones(len(rows)), rows[:, 0], rows[:, 1]])
     w, ridge = np.zeros(3), np.diag([1e-3, 1e-2, 1e-2])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T * (p * (1 - p)) @ x + ridge, x.T @ (rows[:, 2] - p) - ridge @ w)
+        step = np.linalg.solve(x.T * (rows[:, 3] * p * (1 - p)) @ x + ridge, x.T @ (rows[:, 3] * (rows[:, 2] - p)) - ridge @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break

@@ -35,3 +35,18 @@ def test_contexts_reach_over_earlier_tokens_and_wide_gaps(spark):
     }
     got = {r["doc_id"]: [x["t"] for x in r["spans"] if x["k"] == 4] for r in pii.find(docs, pii.BootstrapParams(confidence=0.8)).collect()}
     assert (got[100], got[101], got[102]) == (["#agent9x"], ["#agent8y"], [])
+
+
+def test_scores_do_not_depend_on_the_sample_size(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(4000):
+        toxic = i % 10 == 0
+        entry = rng.random() < (0.9 if toxic else 0.03)
+        rows.append((i, f"plain words number {rng.integers(50)} " + ("awful" if entry else "nice") + " thing", int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scores = []
+    for params in (toxicity.LexiconParams(), toxicity.LexiconParams(max_toxic=300, max_clean=600)):
+        picked = toxicity.sample(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), params)
+        scores.append(toxicity.learn(picked, params).score("an awful thing"))
+    assert scores[0] > 0.5 and abs(scores[0] - scores[1]) < 0.1, scores
