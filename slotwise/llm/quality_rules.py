@@ -12,10 +12,10 @@ one is taken that rejects most bad documents net of ``good_weight`` good ones;
 a rule that gains nothing stays off. With probability ``1 - delta`` no stratum
 loses more than ``alpha`` of its good documents to the rules.
 
-A stratum with too few good labels to certify even a spotless rule is judged
-with the pool of all such strata, as are all but the ``max_strata`` largest.
-Documents in a language without labels use the pool's cutoffs. Only DataFrame
-functions are used.
+As many strata are tested, those of most good labels first and ``max_strata``
+at most, as have labels enough to certify a spotless rule among that many. In
+all others, and in languages without labels, no cutoff can be certified and
+only the base rules reject. Only DataFrame functions are used.
 
 Defined cases: a null text counts as an empty one and fails the base rules; a
 null language is a language of its own; a document labelled more than once
@@ -37,8 +37,6 @@ from pyspark.sql import Window as W
 from slotwise.llm.common import let, words_of, written
 
 SYMBOLS = "#*$%&|<>"
-POOL = "\x00pool"
-OWN_STRATA = 8
 
 #: Rules by feature; a document is rejected above the cutoff. Candidates run
 #: from lenient to strict.
@@ -163,10 +161,7 @@ def holdout(features: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def cutoffs(holdout: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
-    """One row per stratum with a column per rule (null: the rule is off).
-
-    At most ``max_strata`` rows and the pool's.
-    """
+    """One row per stratum with a column per rule (null: the rule is off); ``max_strata`` at most."""
     # Per language the number of documents in each cell of each rule's grid:
     # all that later steps need, and at most a few hundred rows per language.
     grid = F.array(*(
@@ -180,19 +175,16 @@ def cutoffs(holdout: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
         F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad")
     )
     cells = written(cells, "cells")
-    # A stratum is large enough if a rule without any false rejection would
-    # pass among a handful of strata.
-    needed = math.log(params.delta / (OWN_STRATA * len(RULES))) / math.log1p(-params.rule_alpha)
-    own = (
+    # The numbers of good labels alone decide who is tested, so that choice
+    # costs no error level.
+    needed = lambda strata: math.log(params.delta / (strata * len(RULES))) / math.log1p(-params.rule_alpha)
+    largest = (
         cells.where(F.col("rule") == next(iter(RULES)))
-        .groupBy("stratum").agg(F.sum("good").alias("n")).where(F.col("n") >= needed)
-        .orderBy(F.desc("n"), "stratum").limit(params.max_strata).select("stratum", F.lit(True).alias("own"))
-    )
-    cells = (
-        cells.join(F.broadcast(own), "stratum", "left")
-        .select(F.when(F.col("own"), F.col("stratum")).otherwise(F.lit(POOL)).alias("stratum"), "rule", "cell", "good", "bad")
-        .groupBy("stratum", "rule", "cell").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+        .groupBy("stratum").agg(F.sum("good").alias("n")).where(F.col("n") >= needed(1))
+        .orderBy(F.desc("n"), "stratum").limit(params.max_strata).collect()
     )
+    n_own = max((i for i, r in enumerate(largest, 1) if r["n"] >= needed(i)), default=0)
+    cells = cells.where(F.col("stratum").isin([r["stratum"] for r in largest[:n_own]]))
     # ``cell`` counts the cutoffs exceeded, strictest first, so step s rejects
     # the cells above size - s.
     steps = F.explode(F.sequence(F.lit(1), F.col("size")))
@@ -221,17 +213,13 @@ def cutoffs(holdout: DataFrame, params: RiskParams = RiskParams()) -> DataFrame:
 def judged(features: DataFrame, limits: DataFrame) -> DataFrame:
     """``features`` (with stratum and m) plus ``kept``; ``limits`` come from :func:`cutoffs`.
 
-    ``limits`` has at most ``max_strata`` + 1 rows, so it is broadcast; the
-    pool's row becomes literals.
+    ``limits`` has at most ``max_strata`` rows, so it is broadcast.
     """
-    pool = (limits.where(F.col("stratum") == POOL).collect() or [None])[0]
-    own = limits.where(F.col("stratum") != POOL).select(F.col("stratum").alias("_own"), F.struct(*RULES).alias("_limits"))
+    own = limits.select(F.col("stratum").alias("_own"), F.struct(*RULES).alias("_limits"))
     joined = features.join(F.broadcast(own), F.col("stratum") == F.col("_own"), "left")
     rejected = F.lit(False)
     for r in RULES:
-        spare = F.lit(pool[r] if pool else None).cast("double")
-        limit = F.when(F.col("_own").isNotNull(), F.col(f"_limits.{r}")).otherwise(spare)
-        rejected = rejected | F.coalesce(F.col(f"m.{r}") > limit, F.lit(False))
+        rejected = rejected | F.coalesce(F.col(f"m.{r}") > F.col(f"_limits.{r}"), F.lit(False))
     return joined.withColumn("kept", ~F.col("m.base_failed") & ~rejected).drop("_own", "_limits")
 
 

@@ -50,3 +50,18 @@ def test_scores_do_not_depend_on_the_sample_size(spark):
         picked = toxicity.sample(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), params)
         scores.append(toxicity.learn(picked, params).score("an awful thing"))
     assert scores[0] > 0.5 and abs(scores[0] - scores[1]) < 0.1, scores
+
+
+def test_only_certified_strata_get_cutoffs(spark):
+    row = lambda stratum, good, x: (stratum, good, False, x)
+    rows = [row("en", True, 0.02)] * 3000 + [row("en", False, 0.2)] * 3000 + [row("fi", True, 0.02)] * 50
+    kind = "stratum string, good boolean, base_failed boolean, x double"
+
+    def features(some):
+        return spark.createDataFrame(some, kind).select("stratum", "good", F.struct("base_failed", *(F.col("x").alias(r) for r in quality_rules.RULES)).alias("m"))
+
+    limits = quality_rules.cutoffs(features(rows))
+    assert [r["stratum"] for r in limits.collect()] == ["en"]
+    seen = features([row("en", True, 0.2), row("en", True, 0.02), row("fi", True, 0.3), row("xx", True, 0.3)])
+    kept = quality_rules.judged(seen, limits).select("stratum", "m.symbol_share", "kept").collect()
+    assert sorted(map(tuple, kept)) == [("en", 0.02, True), ("en", 0.2, False), ("fi", 0.3, True), ("xx", 0.3, True)]
