@@ -2,12 +2,14 @@
 
 The base patterns find assignments, access keys and long hex strings. Two
 first-order character models are trained on samples labelled by them: the
-values the base patterns found (random strings) and the long letter-only
-tokens of the texts (ordinary identifiers). A further token is reported as
-``random`` if its log-likelihood ratio, random against ordinary, exceeds
-``threshold``. Transition counts cover all samples of all documents; a model
-has at most (alphabet + 1) squared numbers, so both reach the driver and enter
-the scoring plan as one literal. Only DataFrame functions are used.
+values the base patterns found (random strings) and the long tokens of the
+texts without a digit (ordinary identifiers). Every long token that no base
+span touches, whatever its characters, is reported as ``random`` if its
+log-likelihood ratio, random against ordinary, exceeds ``threshold``. A token
+without a digit is a sample itself and would vouch for itself, so it is judged
+by a model trained without the tokens of its half, by hash. Transition counts
+cover all samples of all documents; a model has at most (alphabet + 1) squared
+numbers, so all reach the driver and enter the scoring plan as one literal. Only DataFrame functions are used.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows are
 each scanned; without samples of one label that model is uniform; columns other
@@ -53,14 +55,13 @@ def base_spans(text: Column) -> Column:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """doc_id with base spans, further mixed tokens (letters and digits) and plain long tokens."""
+    """doc_id with base spans, all further long tokens, and the plain ones (without a digit) to train on."""
     text = F.coalesce(F.col("text"), F.lit(""))
     long_tokens = S.matches(text, TOKEN, 3)
-    mixed = lambda x: x["t"].rlike("[0-9]") & x["t"].rlike("[A-Za-z]")
     got = docs.select("doc_id", let(text, base_spans).alias("base"), long_tokens.alias("tokens"))
     return got.select(
         "doc_id", "base",
-        F.filter("tokens", lambda x: mixed(x) & ~S.overlaps(x, F.col("base"))).alias("tokens"),
+        F.filter("tokens", lambda x: ~S.overlaps(x, F.col("base"))).alias("tokens"),
         F.transform(F.filter("tokens", lambda x: ~x["t"].rlike("[0-9]")), lambda x: x["t"]).alias("plain"),
     )
 
@@ -90,10 +91,15 @@ def train(samples: DataFrame, params: MarkovParams = MarkovParams()) -> list[flo
     return out
 
 
-def ratio(token: Column, model: list[float]) -> Column:
-    """The token's log-likelihood ratio."""
+def ratio(token: Column, model: list[float], nth: Column | None = None) -> Column:
+    """The token's log-likelihood ratio; ``nth`` picks one of several models that follow one another."""
     table = F.expr("array(" + ",".join(f"{x:.6f}D" for x in model) + ")")
-    return F.aggregate(_pairs(token), F.lit(0.0), lambda a, p: a + F.get(table, p))
+    under = lambda start: F.aggregate(_pairs(token), F.lit(0.0), lambda a, p: a + F.get(table, start + p))
+    return let((F.lit(0) if nth is None else nth) * (len(ALPHABET) + 1) ** 2, under)
+
+
+def _half(token: Column) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(2)).cast("int")
 
 
 def find(docs: DataFrame, params: MarkovParams = MarkovParams()) -> DataFrame:
@@ -103,6 +109,9 @@ def find(docs: DataFrame, params: MarkovParams = MarkovParams()) -> DataFrame:
         F.when(F.col("b.k") == 0, F.regexp_extract("b.t", ASSIGN, 2)).otherwise(F.col("b.t")).alias("token"), F.lit(True).alias("random")
     )
     plain = got.select(F.explode("plain").alias("token"), F.lit(False).alias("random"))
-    model = train(secret.unionByName(plain), params)
-    added = F.filter("tokens", lambda x: ratio(x["t"], model) > params.threshold)
+    samples = secret.unionByName(plain)
+    parts = [samples, *(samples.where(F.col("random") | (_half(F.col("token")) != k)) for k in (0, 1))]
+    models = [x for part in parts for x in train(part, params)]
+    nth = lambda t: F.when(t.rlike("[0-9]"), F.lit(0)).otherwise(1 + _half(t))
+    added = F.filter("tokens", lambda x: ratio(x["t"], models, nth(x["t"])) > params.threshold)
     return got.select("doc_id", "base", F.concat("base", added).alias("spans"))

@@ -65,3 +65,16 @@ def test_only_certified_strata_get_cutoffs(spark):
     seen = features([row("en", True, 0.2), row("en", True, 0.02), row("fi", True, 0.3), row("xx", True, 0.3)])
     kept = quality_rules.judged(seen, limits).select("stratum", "m.symbol_share", "kept").collect()
     assert sorted(map(tuple, kept)) == [("en", 0.02, True), ("en", 0.2, False), ("fi", 0.3, True), ("xx", 0.3, True)]
+
+
+def test_random_strings_without_digits_or_letters_are_scored(spark):
+    rng = np.random.default_rng(6)
+    any_of = lambda chars, n: "".join(rng.choice(list(chars), n))
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    parts = ["user", "name", "value", "index", "count", "total", "error", "file"]
+    rows = [(i, "password = " + any_of(letters + digits, 32) + " and " + "_".join(rng.choice(parts, 4))) for i in range(300)]
+    key, number = any_of(letters, 40), any_of(digits, 30)
+    rows += [(900, f"see {key} now"), (901, f"see x,{number}, now"), (902, "see user_total_file_name now")]
+    got = {r["doc_id"]: [x["t"] for x in r["spans"] if x["k"] == 3] for r in secret_scan.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[900], got[901], got[902]) == ([key], [number], [])
+    assert not any(got[i] for i in range(300))
