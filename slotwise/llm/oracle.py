@@ -64,6 +64,44 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, l.low AS component_id
 FROM s JOIN (SELECT node, min(low) AS low FROM reach GROUP BY node) l ON l.node = s.doc_id
 """
 
+#: Integers per row, part and place; one round assigns and then moves the used entries.
+_NEAR = """
+SELECT rid, part, min([d, entry]) AS best FROM (
+  SELECT x.rid, x.part, e.entry, CAST(sum((x.q - e.c) * (x.q - e.c)) AS BIGINT) AS d
+  FROM x JOIN {book} e USING (part, place) GROUP BY x.rid, x.part, e.entry
+) GROUP BY rid, part
+"""
+_MOVED = """
+SELECT part, entry, place, coalesce(m.c, e.c) AS c FROM {book} e LEFT JOIN (
+  SELECT part, entry, place, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS c FROM (
+    SELECT x.part, a.best[2] AS entry, x.place, CAST(sum(x.q) AS BIGINT) AS s, count(*) AS n
+    FROM x JOIN {near} a USING (rid, part) GROUP BY x.part, a.best[2], x.place)
+) m USING (part, entry, place)
+"""
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), flat AS (
+  SELECT rid, len(embedding) // 16 AS size, unnest(range(0, len(embedding))) AS i, unnest(embedding) AS v FROM kept
+), x AS MATERIALIZED (
+  SELECT rid, i // size AS part, i % size AS place, CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT) AS q FROM flat
+), b0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, place, q AS c FROM x WHERE rid <= 64),
+a0 AS MATERIALIZED ({_NEAR.format(book="b0")}),
+b1 AS MATERIALIZED ({_MOVED.format(book="b0", near="a0")}),
+a1 AS MATERIALIZED ({_NEAR.format(book="b1")}),
+b2 AS MATERIALIZED ({_MOVED.format(book="b1", near="a1")}),
+a2 AS MATERIALIZED ({_NEAR.format(book="b2")}),
+coded AS (
+  SELECT rid, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a2 GROUP BY rid
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, place)) FROM b2) AS codebooks_sha256
+FROM kept JOIN coded USING (rid)
+"""
+
 
 def oracle_queries() -> dict[str, str]:
-    return {"op1_exact_topk": OP1, "op4_substring_dedup": OP4, "op10_ngram_join": OP10}
+    return {"op1_exact_topk": OP1, "op4_substring_dedup": OP4, "op10_ngram_join": OP10, "op13_vector_codes": OP13}

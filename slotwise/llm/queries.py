@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import bpe_reuse, ngram_join, packing, pii, quality_rules, secret_scan, substring_dedup, token_files, topk, toxicity
+from slotwise.llm import bpe_reuse, ngram_join, packing, pii, quality_rules, secret_scan, substring_dedup, token_files, topk, toxicity, vector_codes
 from slotwise.llm import spans as S
 from slotwise.llm.common import table
 
@@ -72,5 +72,9 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
