@@ -102,6 +102,58 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM kept JOIN coded USING (rid)
 """
 
+def _leaf(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields) + ")"
+
+
+#: crc32 of a decimal number: a shift register over its digits' bits, lowest first.
+_CRC = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda c: list_transform(range(8), lambda k: CAST((ascii(c) >> k) & 1 AS BIGINT))))),
+  lambda r, bit: xor(r >> 1, 3988292384 * (xor(r, bit) & 1))), 4294967295)"""
+
+
+def _levels(name: str, base: str) -> str:
+    """Recursive levels of the trees in ``base`` (tree, place, n, h); n counts the level's nodes."""
+    return f"""{name} AS (
+  SELECT 0 AS level, tree, place, h, n FROM {base}
+  UNION ALL
+  SELECT level + 1, tree, place // 3, sha256(string_agg(h, '' ORDER BY place)), (any_value(n) + 2) // 3
+  FROM {name} WHERE n > 1 GROUP BY level, tree, place // 3
+)"""
+
+
+OP12 = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT doc_id, source, source AS tree, {_leaf("text")} AS h,
+    {_leaf("replace(text, chr(10), '')")} AS other, coalesce({_CRC} % 2 = 0, false) AS tampered FROM documents
+), numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+), {_levels("nodes", "numbered")},
+subroots AS MATERIALIZED (
+  SELECT tree AS source, h AS subroot, h, 0 AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1
+), {_levels("top", "subroots")},
+climb AS (
+  SELECT doc_id, source, tree, h AS leaf, if(tampered, other, h) AS folded, place, n, 0 AS level, '' AS proof FROM numbered
+  UNION ALL
+  SELECT c.doc_id, c.source, c.tree, c.leaf, sha256(string_agg(if(s.place = c.place, c.folded, s.h), '' ORDER BY s.place)), c.place // 3,
+    (any_value(c.n) + 2) // 3, c.level + 1, c.proof || coalesce(string_agg(s.h, '' ORDER BY s.place) FILTER (s.place <> c.place), '')
+  FROM climb c JOIN nodes s ON s.tree IS NOT DISTINCT FROM c.tree AND s.level = c.level AND s.place // 3 = c.place // 3 WHERE c.n > 1
+  GROUP BY c.doc_id, c.source, c.tree, c.leaf, c.folded, c.place, c.level, c.proof
+), met AS MATERIALIZED (
+  SELECT c.doc_id, c.leaf, s.subroot, c.folded, s.place, s.n, c.proof FROM climb c JOIN subroots s ON s.source IS NOT DISTINCT FROM c.source WHERE c.n = 1
+), finish AS (
+  SELECT *, 0 AS level FROM met
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, sha256(string_agg(if(s.place = c.place, c.folded, s.h), '' ORDER BY s.place)), c.place // 3,
+    (any_value(c.n) + 2) // 3, c.proof || coalesce(string_agg(s.h, '' ORDER BY s.place) FILTER (s.place <> c.place), ''), c.level + 1
+  FROM finish c JOIN top s ON s.level = c.level AND s.place // 3 = c.place // 3 WHERE c.n > 1
+  GROUP BY c.doc_id, c.leaf, c.subroot, c.folded, c.place, c.proof, c.level
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM finish, (SELECT h AS root FROM top WHERE n = 1) WHERE n = 1
+"""
+
 
 def oracle_queries() -> dict[str, str]:
-    return {"op1_exact_topk": OP1, "op4_substring_dedup": OP4, "op10_ngram_join": OP10, "op13_vector_codes": OP13}
+    return {"op1_exact_topk": OP1, "op4_substring_dedup": OP4, "op10_ngram_join": OP10, "op12_merkle_manifest": OP12, "op13_vector_codes": OP13}
