@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import bpe_reuse, merkle, ngram_join, packing, pii, quality_rules, secret_scan, substring_dedup, token_files, topk, toxicity, vector_codes
+from slotwise.llm import bpe_reuse, html_extract, merkle, ngram_join, packing, pii, quality_rules, secret_scan, substring_dedup, token_files, topk, toxicity, vector_codes
 from slotwise.llm import spans as S
 from slotwise.llm.common import table
 
@@ -72,6 +72,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     one_line = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
     tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
