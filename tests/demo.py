@@ -1,80 +1,64 @@
-"""A small literal demo: two sites, four screens each, eight films,
-22 showtimes (four prime-time pairs and fourteen afternoon fillers).
+"""A small literal demo: three sites, three halls each, five films, 17 published shows.
 
-Fixed values (chosen to give three publishable swaps and one locked pair):
-  screens per site: 1 -> 80 STANDARD, 2 -> 120 STANDARD, 3 -> 200 STANDARD, 4 -> 280 PREMIUM
-  films (id, format, price, baseline):
-    M001 STANDARD 14.0 225, M002 STANDARD 12.0 205, M003 STANDARD 13.5 210,
-    M004 STANDARD 10.0 70,  M005 STANDARD 9.5 75,   M006 STANDARD 11.0 60,
-    M007 PREMIUM 16.0 165,  M008 STANDARD 8.0 55
-  pairs (site, day offset, busy film, quiet film, locked):
-    T001 +1 M001 M004 no; T001 +2 M002 M005 no; T002 +1 M003 M006 no; T002 +3 M001 M008 yes
-  busy show: 94 seats at 19:00 on screen 2; quiet show: 28 seats at 19:05 on screen 4
-  filler: M007, 45 seats, 16:00, screen 1, every day 0..6 at each site
-  booking snapshot at 10:00 on the run date; hours to show = 30 + 24 * day offset
-  policy: freeze 6 h, min uplift 100, min confidence 0.6, at most 5 per day
+Four pairs of a busy and a quiet show start within the band; three of them are
+worth swapping, the fourth would move a PREMIUM film to a STANDARD hall. Every
+number is a literal here, so that the tests can be followed by hand:
+
+  halls of every site: h1 60 seats STANDARD, h2 150 STANDARD, h3 240 PREMIUM
+  films: amber STANDARD 9.00, baseline 180; basalt STANDARD 12.50, 140; cedar PREMIUM 18.00, 200;
+         dune STANDARD 7.50, 40; ember STANDARD 10.00, 55
+  every show lasts two hours; bookings are of 12:00 on the run date
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from slotwise.schemas import AVAILABILITY, BOOKING, MOVIE, POLICY, SCHEDULE, SCREEN, THEATRE
+from slotwise.schemas import FEEDS as SCHEMAS
 
 RUN = date(2026, 7, 1)
-SITES = ["T001", "T002"]
-SCREENS = [(1, 80, "STANDARD"), (2, 120, "STANDARD"), (3, 200, "STANDARD"), (4, 280, "PREMIUM")]
-FILMS = [
-    ("M001", "STANDARD", 14.0, 225.0), ("M002", "STANDARD", 12.0, 205.0), ("M003", "STANDARD", 13.5, 210.0),
-    ("M004", "STANDARD", 10.0, 70.0), ("M005", "STANDARD", 9.5, 75.0), ("M006", "STANDARD", 11.0, 60.0),
-    ("M007", "PREMIUM", 16.0, 165.0), ("M008", "STANDARD", 8.0, 55.0),
-]
-PAIRS = [("T001", 1, "M001", "M004", False), ("T001", 2, "M002", "M005", False),
-         ("T002", 1, "M003", "M006", False), ("T002", 3, "M001", "M008", True)]
+NOON = datetime(2026, 7, 1, 12)
+LOADED = datetime(2026, 7, 1, 6, 30)
+SITES = ("harbor", "north", "south")
+HALLS = {"h1": (60, "STANDARD"), "h2": (150, "STANDARD"), "h3": (240, "PREMIUM")}
+FILMS = {"amber": ("STANDARD", 9.0, 180.0), "basalt": ("STANDARD", 12.5, 140.0), "cedar": ("PREMIUM", 18.0, 200.0),
+         "dune": ("STANDARD", 7.5, 40.0), "ember": ("STANDARD", 10.0, 55.0)}
+# show id: site, hall, film, start, seats booked
+SHOWS = {
+    "n-busy": ("north", "h2", "amber", datetime(2026, 7, 2, 20, 30), 70),
+    "n-quiet": ("north", "h3", "dune", datetime(2026, 7, 2, 20, 40), 12),
+    "s-busy": ("south", "h1", "basalt", datetime(2026, 7, 1, 21, 0), 45),
+    "s-quiet": ("south", "h2", "ember", datetime(2026, 7, 1, 20, 50), 20),
+    "h-busy": ("harbor", "h2", "basalt", datetime(2026, 7, 5, 18, 15), 60),
+    "h-quiet": ("harbor", "h3", "dune", datetime(2026, 7, 5, 18, 15), 10),
+    "x-busy": ("north", "h1", "amber", datetime(2026, 7, 3, 21, 0), 30),
+    "x-quiet": ("north", "h3", "cedar", datetime(2026, 7, 3, 21, 10), 40),
+} | {f"{site[0]}-noon{d}": (site, "h1", "ember", datetime(2026, 7, 2 + d, 11, 0), 8 * d) for site in SITES for d in range(3)}
 
 
-def _at(day: date, h: int, m: int = 0) -> datetime:
-    return datetime(day.year, day.month, day.day, h, m)
+def show_row(show: str, site: str, hall: str, film: str, start: datetime, status: str = "PUBLISHED", locked: bool | None = False,
+             loaded: datetime = LOADED, minutes: int = 120) -> tuple:
+    return (show, site, f"{site}/{hall}", film, start, start + timedelta(minutes=minutes), status, locked, loaded, loaded)
 
 
-def demo_rows(run: date = RUN) -> dict[str, list[tuple]]:
-    upd = _at(run, 8)
-    theatres = [(t, f"Site {t}", "City", "ST", "Region", "UTC", "ACTIVE", upd) for t in SITES]
-    screens = [(f"{t}-S{i}", t, f"Screen {i}", cap, fmt, True, upd) for t in SITES for i, cap, fmt in SCREENS]
-    films = [
-        (fid, f"Film {fid}", "Genre", "English", 115, fmt, run - timedelta(days=14 + k), "Dist", price, base, upd)
-        for k, (fid, fmt, price, base) in enumerate(FILMS)
-    ]
-    schedule, bookings = [], []
+def booking_row(show: str, start: datetime, seats: int, taken: datetime = NOON, loaded: datetime = LOADED, tag: str = "") -> tuple:
+    return (f"{show}@{taken:%d%H}{tag}", show, taken, seats, seats // 3 + 1, 8.0 * seats, (start - taken).total_seconds() / 3600, loaded)
 
-    def show(sid, site, screen, film, day, h, m, seats, locked=False):
-        start = _at(day, h, m)
-        schedule.append((sid, site, screen, film, start, start + timedelta(minutes=135), "PUBLISHED", locked,
-                         _at(run, 9), upd))
-        bookings.append((f"BS-{sid}", sid, _at(run, 10), seats, max(1, seats // 2), seats * 10.0,
-                         float(30 + 24 * (day - run).days), upd))
 
-    for n, (site, off, busy, quiet, locked) in enumerate(PAIRS, 1):
-        day = run + timedelta(days=off)
-        show(f"ST-{n:02d}-A", site, f"{site}-S2", busy, day, 19, 0, 94, locked)
-        show(f"ST-{n:02d}-B", site, f"{site}-S4", quiet, day, 19, 5, 28)
-    n = 20
-    for site in SITES:
-        for off in range(7):
-            show(f"ST-{n:02d}", site, f"{site}-S1", "M007", run + timedelta(days=off), 16, 0, 45)
-            n += 1
-    avail = [(f"AV-{s[0]}", s[1], s[0], _at(run, 0), _at(run + timedelta(days=8), 23, 59), True, None, 20, upd)
-             for s in screens]
-    policy = [(f"POL-{t}", t, 6.0, 100.0, 0.6, 5, upd) for t in SITES]
+def demo_rows() -> dict[str, list[tuple]]:
+    """Rows of every feed, by feed name."""
+    halls = [(site, hall, *what) for site in SITES for hall, what in HALLS.items()]
     return {
-        THEATRE.name: theatres, SCREEN.name: screens, MOVIE.name: films, SCHEDULE.name: schedule,
-        BOOKING.name: bookings, AVAILABILITY.name: avail, POLICY.name: policy,
+        "theatre_master": [(s, s.title(), "Town", "Shire", "West", "UTC", "ACTIVE", LOADED) for s in SITES],
+        "screen_master": [(f"{s}/{h}", s, f"Hall {h}", seats, kind, True, LOADED) for s, h, seats, kind in halls],
+        "movie_master": [(f, f.title(), "Drama", "English", 100, kind, RUN, "Own", price, base, LOADED) for f, (kind, price, base) in FILMS.items()],
+        "showtime_schedule": [show_row(show, *what[:4]) for show, what in SHOWS.items()],
+        "booking_snapshot": [booking_row(show, what[3], what[4]) for show, what in SHOWS.items()],
+        "screen_availability": [(f"{s}/{h}/all", s, f"{s}/{h}", LOADED, LOADED + timedelta(days=9), True, None, 15, LOADED) for s, h, _, _ in halls],
+        "schedule_policy": [(f"rules-{s}", s, 6.0, 200.0, 0.7, 4, LOADED) for s in SITES],
     }
 
 
-FEEDS = {f.name: f for f in (THEATRE, SCREEN, MOVIE, SCHEDULE, BOOKING, AVAILABILITY, POLICY)}
-
-
 def demo_feeds(spark, rows: dict[str, list[tuple]] | None = None):
     rows = rows or demo_rows()
-    return {name: spark.createDataFrame(rows[name], FEEDS[name].schema()) for name in FEEDS}
+    return {name: spark.createDataFrame(rows[name], feed.schema()) for name, feed in SCHEMAS.items()}

@@ -24,7 +24,7 @@ def test_partitioned_roundtrip_keeps_types_and_path_date(spark):
     write_feed(screens, root, SCREEN, "2026-07-01")
     back = with_ingest_metadata(read_feed(spark, root, SCREEN, schema_of(screens)), "b1")
     rows = back.collect()
-    assert len(rows) == 8
+    assert len(rows) == 9
     assert dict(back.dtypes)["capacity"] == "int" and dict(back.dtypes)["snapshot_date"] == "date"
     assert {r["_source_snapshot_date"] for r in rows} == {"2026-07-01"}
     assert all(r["_source_file"].endswith(".csv") and r["_rescued_data"] is None for r in rows)
@@ -54,17 +54,17 @@ def test_stream_ingest_is_incremental_and_refresh_rebuilds(spark):
     schemas = {SCREEN: schema_of(screens)}
     write_feed(screens, layout.landing, SCREEN, "2026-07-01")
     t = ingest_all(spark, layout, schemas, "b1")[SCREEN.name]
-    assert spark.read.parquet(t).count() == 8
+    assert spark.read.parquet(t).count() == 9
     ingest_all(spark, layout, schemas, "b2")  # no new files
-    assert spark.read.parquet(t).count() == 8
+    assert spark.read.parquet(t).count() == 9
     write_feed(screens, layout.landing, SCREEN, "2026-07-02")
     ingest_all(spark, layout, schemas, "b3")
     bronze = spark.read.parquet(t)
-    assert bronze.count() == 16
+    assert bronze.count() == 18
     assert sorted(r[0] for r in bronze.select("_batch_id").distinct().collect()) == ["b1", "b3"]
-    assert conform_screen(bronze).count() == 8  # re-ingested versions collapse to the newest
+    assert conform_screen(bronze).count() == 9  # re-ingested versions collapse to the newest
     fresh = ingest_all(spark, layout.refreshed(), schemas, "b4")[SCREEN.name]
-    assert fresh != t and spark.read.parquet(fresh).count() == 16
+    assert fresh != t and spark.read.parquet(fresh).count() == 18
 
 
 def test_stream_to_catalog_table(spark):
@@ -74,7 +74,7 @@ def test_stream_to_catalog_table(spark):
     write_feed(screens, layout.landing, SCREEN, "2026-07-01")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS bronze_t LOCATION '{base}/ns'")
     ingest_all(spark, layout, {SCREEN: schema_of(screens)}, "b1", namespace="bronze_t")
-    assert spark.table("bronze_t.bronze_screen_master").count() == 8
+    assert spark.table("bronze_t.bronze_screen_master").count() == 9
 
 
 def test_incremental_read_prunes_load_directories(spark):
@@ -83,7 +83,7 @@ def test_incremental_read_prunes_load_directories(spark):
     write_feed(screens, root, SCREEN, "2026-07-01")
     write_feed(screens, root, SCREEN, "2026-07-02")
     df = read_feed(spark, root, SCREEN, schema_of(screens), loads=["2026-07-02"])
-    assert df.count() == 8
+    assert df.count() == 9
     plan = df._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.splitlines() if "FileScan" in line][0]
     assert "PartitionFilters: [isnotnull(snapshot_date" in scan and "= 2026-07-02)]" in scan
@@ -96,7 +96,7 @@ def test_stream_drains_backlog_in_bounded_batches(spark):
     for day in ("2026-07-01", "2026-07-02", "2026-07-03"):
         write_feed(screens, layout.landing, SCREEN, day)
     t = ingest_all(spark, layout, {SCREEN: schema_of(screens)}, "b1", max_files_per_trigger=1)[SCREEN.name]
-    assert spark.read.parquet(t).count() == 24
+    assert spark.read.parquet(t).count() == 27
 
 
 def test_columns_are_read_by_header_name(spark, tmp_path):

@@ -3,7 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from demo import demo_feeds, demo_rows
+from demo import NOON, booking_row, demo_feeds, demo_rows, show_row
 
 from slotwise.plans import quality
 from slotwise.plans.pipeline import Pipeline
@@ -18,7 +18,7 @@ def run(spark, rows):
     return pl, cands, recs
 
 
-def reason(cands, a="ST-01-A", b="ST-01-B"):
+def reason(cands, a="n-busy", b="n-quiet"):
     return cands[(a, b)]["constraint_failure_reason"]
 
 
@@ -47,27 +47,27 @@ def replace(rows, table, key, **changes):
 
 def test_freeze_window_is_inclusive(spark):
     rows = demo_rows()
-    replace(rows, POL, "T001", freeze_window_hours=54.0)  # day +1 shows are 54 h away
+    replace(rows, POL, "north", freeze_window_hours=32.5)  # the busy show starts in 32.5 hours
     _, cands, recs = run(spark, rows)
     assert reason(cands) == "FREEZE_WINDOW"
-    assert reason(cands, "ST-02-A", "ST-02-B") == ""
-    assert ("ST-01-A", "ST-01-B") not in recs
+    assert reason(cands, "s-busy", "s-quiet") == ""
+    assert ("n-busy", "n-quiet") not in recs
 
 
 def test_format_incompatible(spark):
     rows = demo_rows()
-    replace(rows, FILM, "M004", movie_format="PREMIUM")  # quiet film would move to a STANDARD screen
+    replace(rows, FILM, "dune", movie_format="PREMIUM")  # quiet film would move to a STANDARD screen
     _, cands, _ = run(spark, rows)
     assert reason(cands) == "FORMAT_INCOMPATIBLE"
-    assert cands[("ST-01-A", "ST-01-B")]["movie_b_target_compatible"] is False
+    assert cands[("n-busy", "n-quiet")]["movie_b_target_compatible"] is False
 
 
 def test_non_positive_uplift_at_zero(spark):
     rows = demo_rows()
-    # B forecast 150 fits 280 but not 120: the swap loses 30 seats at 49.0 = 1470, exactly the gain.
-    replace(rows, FILM, "M004", seeded_baseline_demand=150.0, average_ticket_price=49.0)
+    # 180 for the quiet film fit 240 seats but not 150: the swap loses 30 seats at 9.0 = 270, exactly the gain.
+    replace(rows, FILM, "dune", seeded_baseline_demand=180.0, average_ticket_price=9.0)
     _, cands, recs = run(spark, rows)
-    c = cands[("ST-01-A", "ST-01-B")]
+    c = cands[("n-busy", "n-quiet")]
     assert c["estimated_ticket_revenue_uplift"] == 0.0
     assert reason(cands) == "NON_POSITIVE_UPLIFT"
     assert c["constraint_validation_status"] == "INVALID"
@@ -75,44 +75,37 @@ def test_non_positive_uplift_at_zero(spark):
 
 def test_daily_cap_breaks_ties_by_show_ids(spark):
     rows = demo_rows()
-    day = datetime(2026, 7, 2)
-    upd = datetime(2026, 7, 1, 8)
-    rows[SCHED] += [
-        ("ST-05-A", "T001", "T001-S2", "M001", day.replace(hour=19), day.replace(hour=21, minute=15), "PUBLISHED", False, upd, upd),
-        ("ST-05-B", "T001", "T001-S4", "M004", day.replace(hour=19, minute=5), day.replace(hour=21, minute=20), "PUBLISHED", False, upd, upd),
-    ]
-    rows[BOOK] += [
-        ("BS-ST-05-A", "ST-05-A", datetime(2026, 7, 1, 10), 94, 47, 940.0, 54.0, upd),
-        ("BS-ST-05-B", "ST-05-B", datetime(2026, 7, 1, 10), 28, 14, 280.0, 54.0, upd),
-    ]
-    replace(rows, POL, "T001", maximum_recommendations_per_day=1)
+    start = datetime(2026, 7, 2, 20, 30)
+    for show, hall, film, seats in (("n-busy2", "h2", "amber", 70), ("n-quiet2", "h3", "dune", 12)):
+        rows[SCHED].append(show_row(show, "north", hall, film, start))
+        rows[BOOK].append(booking_row(show, start, seats))
+    replace(rows, POL, "north", maximum_recommendations_per_day=1)
     _, cands, recs = run(spark, rows)
-    day_pairs = [k for k in cands if cands[k]["show_start_ts"].date() == day.date() and cands[k]["theatre_id"] == "T001"]
-    assert len(day_pairs) == 4 and {cands[k]["estimated_ticket_revenue_uplift"] for k in day_pairs} == {1470.0}
-    assert [k for k in recs if recs[k]["show_date"] == day.date() and recs[k]["theatre_id"] == "T001"] == [("ST-01-A", "ST-01-B")]
+    of_day = lambda found: [k for k, r in found.items() if r["theatre_id"] == "north" and r["show_start_ts"].date() == start.date()]
+    assert len(of_day(cands)) == 4 and {cands[k]["estimated_ticket_revenue_uplift"] for k in of_day(cands)} == {270.0}
+    assert of_day(recs) == [("n-busy", "n-quiet")]
 
 
 def test_newest_version_invalid_removes_showtime(spark):
     rows = demo_rows()
-    start = datetime(2026, 7, 2, 19)
-    rows[SCHED].append(("ST-01-A", "T001", "T001-S2", "M001", start, start, "PUBLISHED", False,
-                        datetime(2026, 7, 1, 9), datetime(2026, 7, 1, 9)))  # newer, ends when it starts
+    newer = show_row("n-busy", "north", "h2", "amber", datetime(2026, 7, 2, 20, 30), loaded=NOON, minutes=0)  # ends when it starts
+    rows[SCHED].append(newer)
     pl, cands, recs = run(spark, rows)
-    assert pl.silver["fact_showtime_schedule_current"].where("showtime_id = 'ST-01-A'").count() == 0
+    assert pl.silver["fact_showtime_schedule_current"].where("showtime_id = 'n-busy'").count() == 0
     assert len(cands) == 3 and len(recs) == 2
 
 
 def test_duplicate_snapshots_keep_newest_version_and_latest_snapshot(spark):
     rows = demo_rows()
-    upd2 = datetime(2026, 7, 1, 9)
+    start = datetime(2026, 7, 2, 20, 30)
     rows[BOOK] += [
-        ("BS-ST-01-A-v2", "ST-01-A", datetime(2026, 7, 1, 10), 105, 50, 0.0, 54.0, upd2),  # newer version
-        ("BS-ST-01-A-old", "ST-01-A", datetime(2026, 6, 30, 10), 200, 50, 0.0, 78.0, upd2),  # older snapshot
+        booking_row("n-busy", start, 84, loaded=NOON, tag="v2"),  # newer version
+        booking_row("n-busy", start, 200, taken=NOON - timedelta(days=1), loaded=NOON),  # older snapshot
     ]
     pl, cands, _ = run(spark, rows)
-    f = {r["showtime_id"]: r for r in pl.features.collect()}["ST-01-A"]
-    assert f["current_booked_seats"] == 105 and f["hours_to_show"] == 54.0
-    assert cands[("ST-01-A", "ST-01-B")]["forecast_a"] == 250.0  # 105 / 0.42
+    f = {r["showtime_id"]: r for r in pl.features.collect()}["n-busy"]
+    assert f["current_booked_seats"] == 84 and f["hours_to_show"] == 32.5
+    assert cands[("n-busy", "n-quiet")]["forecast_a"] == 200.0  # 84 / 0.42
 
 
 def test_duplicate_policy_rows_do_not_multiply(spark):
@@ -124,31 +117,41 @@ def test_duplicate_policy_rows_do_not_multiply(spark):
 
 def test_missing_booking_uses_999_hours_and_low_confidence(spark):
     rows = demo_rows()
-    rows[BOOK] = [r for r in rows[BOOK] if r[1] != "ST-01-B"]
+    rows[BOOK] = [r for r in rows[BOOK] if r[1] != "n-quiet"]
     pl, cands, recs = run(spark, rows)
-    f = {r["showtime_id"]: r for r in pl.features.collect()}["ST-01-B"]
+    f = {r["showtime_id"]: r for r in pl.features.collect()}["n-quiet"]
     assert (f["current_booked_seats"], f["hours_to_show"], f["forecast_input_quality_status"]) == (0, 999.0, "NO_BOOKING_SNAPSHOT")
     assert f["expected_booking_completion_pct"] == 0.30
-    c = cands[("ST-01-A", "ST-01-B")]
-    assert c["forecast_b"] == 70.0 and c["forecast_confidence_score"] == 0.5
-    assert ("ST-01-A", "ST-01-B") not in recs and len(recs) == 2
+    c = cands[("n-busy", "n-quiet")]
+    assert c["forecast_b"] == 40.0 and c["forecast_confidence_score"] == 0.5
+    assert ("n-busy", "n-quiet") not in recs and len(recs) == 2
 
 
 def test_null_lock_flag_falls_through(spark):
     rows = demo_rows()
-    replace(rows, SCHED, "ST-04-A", is_locked=None)
+    replace(rows, SCHED, "h-busy", is_locked=None)
+    _, cands, recs = run(spark, rows)
+    assert reason(cands, "h-busy", "h-quiet") == ""
+    assert ("h-busy", "h-quiet") in recs
+
+
+@pytest.mark.parametrize("side", ["h-busy", "h-quiet"])
+def test_locked_show_comes_first(spark, side):
+    rows = demo_rows()
+    replace(rows, SCHED, side, is_locked=True)
+    replace(rows, POL, "harbor", freeze_window_hours=500.0)
     _, cands, recs = run(spark, rows)
-    assert reason(cands, "ST-04-A", "ST-04-B") == ""
-    assert ("ST-04-A", "ST-04-B") in recs
+    assert reason(cands, "h-busy", "h-quiet") == "LOCKED_SHOWTIME"
+    assert ("h-busy", "h-quiet") not in recs
 
 
 @pytest.mark.parametrize("gap,paired", [(900, True), (901, False)])
 def test_band_edge_in_whole_seconds(spark, gap, paired):
     rows = demo_rows()
-    start = datetime(2026, 7, 2, 19) + timedelta(seconds=gap)
-    replace(rows, SCHED, "ST-01-B", show_start_ts=start, show_end_ts=start + timedelta(minutes=135))
+    start = datetime(2026, 7, 2, 20, 30) + timedelta(seconds=gap)
+    replace(rows, SCHED, "n-quiet", show_start_ts=start, show_end_ts=start + timedelta(minutes=135))
     _, cands, _ = run(spark, rows)
-    assert (("ST-01-A", "ST-01-B") in cands) is paired
+    assert (("n-busy", "n-quiet") in cands) is paired
 
 
 def test_empty_candidates_fail_audit_with_null_detail(spark):
