@@ -6,8 +6,8 @@ of them with a bidirectional LSTM over tag-path and hashed-word vectors
 space, are the page's text.
 
 The labeller is trained on the driver from a bounded sample of the pages:
-``SAMPLE`` pages of at most ``SAMPLE_CHARS`` characters, those of smallest
-hashed page_id. Sampled pages whose own markup names a main region are labelled
+at most ``SAMPLE`` pages of at most ``SAMPLE_CHARS`` characters, those of
+smallest hash. Sampled pages whose own markup names a main region are labelled
 by it; their texts also fill ``DRAWN`` generated layouts (:mod:`html_layouts`)
 with menus, notices, adverts, forms and reader comments in many forms. Only the
 sample is bounded: every page is read and labelled whole.
@@ -37,8 +37,13 @@ BLOCKS = "array<struct<path:string,text:string,score:float>>"
 
 
 def sampled(pages: DataFrame, n: int = SAMPLE, most: int = SAMPLE_CHARS) -> list[str]:
-    """Html of the ``n`` pages of smallest hashed id among those of at most ``most`` characters."""
-    held = pages.where(F.length("html") <= most).select(F.xxhash64("page_id", "html").alias("by"), "html")
+    """Html of at most ``n`` pages of at most ``most`` characters: those of smallest hash.
+
+    Hashes above a limit that some 3 ``n`` pages of the table stay under are left in the tasks.
+    """
+    share = min(1.0, 3 * n / max(1, pages.count()))
+    limit = min(2**63 - 1, int(-(2**63) + share * 2**64))
+    held = pages.select(F.xxhash64("page_id", "html").alias("by"), "html").where((F.col("by") <= limit) & (F.length("html") <= most))
     return [r["html"] for r in held.orderBy("by").limit(n).collect()]
 
 
