@@ -27,6 +27,7 @@ from slotwise.plans.pairing import band_pairs  # noqa: E402
 from slotwise.operators.band import band_join  # noqa: E402
 from slotwise.plans.pipeline import BARRIERS, DEFAULT_HOT_ROWS, SINGLE_CONSUMER, Pipeline  # noqa: E402
 from slotwise.plans.recommend import daily_top_n, publish_gate  # noqa: E402
+from slotwise.plans.stages import StageStore  # noqa: E402
 from slotwise.plans.silver import conform_screen  # noqa: E402
 from slotwise.schemas import BOOKING, FEEDS, SCHEDULE, SCREEN  # noqa: E402
 from slotwise.session import run_dir  # noqa: E402
@@ -315,9 +316,9 @@ def q_medallion_recommendations(spark, sf_dir):
 
 
 def q_table_layers(spark, sf_dir):
-    """Every silver, gold and ops table saved in its
+    """Every silver, gold and ops table published in its
     namespace, listed from the catalog and counted."""
-    pl = _pipe(spark, sf_dir, shared=True)
+    pl = _pipe(spark, sf_dir, barriers=False)
     root = run_dir(spark, "tables")
     tag = root.rsplit("-", 1)[-1]
     ns = {layer: f"{layer}_{tag}" for layer in ("silver", "gold", "ops")}
@@ -329,34 +330,38 @@ def q_table_layers(spark, sf_dir):
 # ---------------------------------------------------------------- quality and reports
 
 
+def _observed(spark, sf_dir):
+    """The facts of the checks, observed while the stages of a run are written; the stages go at once."""
+    pl = _pipe(spark, sf_dir, barriers=False)
+    with StageStore(spark) as store:
+        return pl.staged(store)
+
+
 def q_dq_audit(spark, sf_dir):
-    pl = _pipe(spark, sf_dir, shared=True)
-    return quality.audit(pl.recommendations, pl.candidates, P, with_run_ts=False)
+    return quality.audit_of(_observed(spark, sf_dir), P, with_run_ts=False)
 
 
 def q_dq_checks(spark, sf_dir):
-    pl = _pipe(spark, sf_dir, shared=True)
-    return quality.check_counts(pl.recommendations, pl.candidates)
+    return quality.counts_of(_observed(spark, sf_dir))
 
 
 def q_dq_gate(spark, sf_dir):
     """K2 + K3: the hard gate's counts, verdict and first failure message
     (``quality.enforce`` raises on the same verdict)."""
-    pl = _pipe(spark, sf_dir, shared=True)
-    return quality.gate(pl.recommendations, pl.candidates, P)
+    return quality.gate_of(_observed(spark, sf_dir), P)
 
 
 def q_stage_counts(spark, sf_dir):
-    pl = _pipe(spark, sf_dir, shared=True)
-    tables = {f"bronze_{k}": v for k, v in pl.feeds.items()}
-    tables.update(pl.silver)
-    tables.update({
-        "gold_showtime_demand_features": pl.features,
-        "gold_showtime_demand_forecast": pl.forecast,
-        "gold_screen_allocation_candidates": pl.candidates,
-        "gold_screen_allocation_recommendations": pl.recommendations,
-    })
-    return reports.stage_counts(tables)
+    """Rows of every stage; those after bronze are counted by the jobs that write them."""
+    pl = _pipe(spark, sf_dir, barriers=False)
+    with StageStore(spark) as store:
+        pl.staged(store)
+        rows = {name: store.metrics(name)["rows"] for name in pl.silver}
+        features = store.metrics("features")["rows"]
+        rows |= {"gold_showtime_demand_features": features, "gold_showtime_demand_forecast": features}
+        rows |= {f"gold_screen_allocation_{name}": store.metrics(name)["rows"] for name in ("candidates", "recommendations")}
+    feeds = reports.stage_counts({f"bronze_{k}": v for k, v in pl.feeds.items()})
+    return feeds.unionByName(reports.known_counts(spark, rows))
 
 
 def q_report_schedule(spark, sf_dir):

@@ -13,17 +13,20 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from slotwise.params import Params
+from slotwise.plans import quality
 from slotwise.plans.features import demand_features
 from slotwise.plans.forecast import demand_forecast, enrich
 from slotwise.plans.pairing import candidates, pair_inputs
 from slotwise.plans.recommend import recommendations
 from slotwise.plans.silver import SILVER_SOURCES, silver_table
 from slotwise.sources.adapters import domain_feeds
-from slotwise.plans.quality import audit, enforce
-from slotwise.sources.tables import create_namespace, list_tables, parquet_materializer, save_table
+from slotwise.plans.stages import StageStore
+from slotwise.sources.tables import create_namespace, parquet_materializer
+from slotwise.sources.versions import Version, VersionedTable, show_version
 
 Materializer = Callable[[DataFrame, str], DataFrame]
 
@@ -48,6 +51,10 @@ class _Silver(Mapping):
             self._built[name] = silver_table(name, self._feeds[SILVER_SOURCES[name]], self._dims)
         return self._built[name]
 
+    def keep(self, name: str, written: DataFrame) -> None:
+        """Use a written copy of a table from here on."""
+        self._built[name] = written
+
     def __iter__(self):
         return iter(SILVER_SOURCES)
 
@@ -146,7 +153,7 @@ class Pipeline:
                 "gold_screen_allocation_candidates": self.candidates,
                 "gold_screen_allocation_recommendations": self.recommendations,
             },
-            "ops": {"ops_data_quality_audit": audit(self.recommendations, self.candidates, self.p)},
+            "ops": {"ops_data_quality_audit": quality.audit(self.recommendations, self.candidates, self.p)},
         }
 
     def register_views(self, prefix: str = "") -> list[str]:
@@ -158,25 +165,63 @@ class Pipeline:
                 names.append(prefix + name)
         return names
 
+    def staged(self, store: StageStore) -> DataFrame:
+        """Write every stage once, each read by the next; the facts of the checks, observed by those writes.
+
+        Silver, features, candidates and recommendations of this pipeline are scans of the
+        store from here on. The forecast is a projection of the features and is not written.
+        """
+        for name in self.silver:
+            self.silver.keep(name, store.stage(self.silver[name], name))
+        self.features = store.stage(self.features, "features")
+        self.pair_inputs = store.stage(pair_inputs(self.enriched), "pair_inputs")
+        self.candidates = store.stage(
+            candidates(self.pair_inputs, self.p, self.hot_rows), "candidates", quality.metrics(quality.CANDIDATE_FACTS))
+        store.release("pair_inputs")
+        self.recommendations = store.stage(self.recommendations, "recommendations", quality.metrics(quality.RECOMMENDATION_FACTS))
+        spark = self.features.sparkSession
+        return quality.observed_facts(spark, store.metrics("recommendations"), store.metrics("candidates"))
+
     def publish(self, spark: SparkSession, root: str, namespaces: dict[str, str] | None = None,
                 gate: bool = True) -> dict[str, int]:
-        """Write every layer as catalog tables, then enforce the gate.
+        """Write every layer, enforce the gate, then show the new versions.
 
-        Tables are external parquet tables under ``root`` (a shared folder);
-        ``namespaces`` maps layer -> schema name. Returns row counts per table.
+        Tables are versions under ``root`` (a shared folder), known by views in the
+        catalog; ``namespaces`` maps layer -> schema name. Every stage is written once,
+        straight into its table's new version, and read back by the next one; row counts
+        and checks are observed by those writes. A failed gate or a lost job leaves the
+        former versions current. Returns row counts per table.
         """
         namespaces = namespaces or {layer: layer for layer in ("silver", "gold", "ops")}
-        counts = {}
-        for layer, tables in self.layers().items():
-            ns = namespaces[layer]
+        for ns in namespaces.values():
             create_namespace(spark, ns, f"{root}/{ns}")
-            for name, df in tables.items():
-                save_table(df, f"{ns}.{name}", f"{root}/{ns}/{name}")
-        for layer, tables in self.layers().items():
-            ns = namespaces[layer]
-            for t in list_tables(spark, ns):
-                counts[f"{ns}.{t}"] = spark.table(f"{ns}.{t}").count()
+        written: list[tuple[str, VersionedTable, Version]] = []
+        counts: dict[str, int] = {}
+
+        def save(layer: str, name: str, df: DataFrame, facts: dict | None = None) -> tuple[DataFrame, dict]:
+            table = VersionedTable(spark, f"{root}/{namespaces[layer]}/{name}")
+            seen = Observation()
+            version = table.write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in quality.metrics(facts or {}).items())))
+            written.append((f"{namespaces[layer]}.{name}", table, version))
+            counts[f"{namespaces[layer]}.{name}"] = seen.get["rows"]
+            return spark.read.schema(df.schema).parquet(version.path), seen.get
+
+        for name in self.silver:
+            self.silver.keep(name, save("silver", name, self.silver[name])[0])
+        self.features = save("gold", "gold_showtime_demand_features", self.features)[0]
+        self.forecast = save("gold", "gold_showtime_demand_forecast", self.forecast)[0]
+        with StageStore(spark) as store:
+            self.pair_inputs = store.stage(pair_inputs(self.enriched), "pair_inputs")
+            paired = candidates(self.pair_inputs, self.p, self.hot_rows)
+            self.candidates, of_candidates = save("gold", "gold_screen_allocation_candidates", paired, quality.CANDIDATE_FACTS)
+        self.recommendations, of_list = save(
+            "gold", "gold_screen_allocation_recommendations", self.recommendations, quality.RECOMMENDATION_FACTS)
+        found = quality.observed_facts(spark, of_list, of_candidates)
+        save("ops", "ops_data_quality_audit", quality.audit_of(found, self.p))
         if gate:
-            enforce(spark.table(f"{namespaces['gold']}.gold_screen_allocation_recommendations"),
-                    spark.table(f"{namespaces['gold']}.gold_screen_allocation_candidates"), self.p)
+            quality.enforce_facts(found, self.p)
+        for name, table, version in written:
+            table.commit(version)
+            show_version(spark, name, version.path)
+            table.expire()
         return counts

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.session import run_dir
+from slotwise.sources.versions import VersionedTable, show_version
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -34,26 +35,32 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`{loc}")
 
 
-def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """A10 in the catalog: replace table ``name`` (external at ``path`` when given)."""
-    w = df.write.mode("overwrite").format("parquet")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(name)
+def table_root(spark: SparkSession, name: str) -> str:
+    """Folder of ``namespace.table`` under its namespace's location."""
+    namespace, _, table = name.rpartition(".")
+    return f"{spark.catalog.getDatabase(namespace or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{table}"
 
 
-def point_table(spark: SparkSession, name: str, path: str) -> None:
-    """Make catalog table ``name`` an external parquet table at ``path``.
+def save_table(df: DataFrame, name: str, path: str | None = None, keep: int = 2) -> DataFrame:
+    """A10: create or replace table ``name`` atomically, under ``path`` or its namespace's folder.
 
-    A name that stands for another folder is re-pointed; its files stay.
+    A new version is written beside the old one, committed, and shown under the
+    name (:mod:`slotwise.sources.versions`); the newest ``keep`` versions stay
+    for readers that started on them. A query may read the table it replaces.
     """
-    if spark.catalog.tableExists(name):
-        if spark.catalog.getTable(name).tableType != "EXTERNAL":
-            raise ValueError(f"{name} is a managed table; it can't be pointed at {path}")
-        spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    spark = df.sparkSession
+    table = VersionedTable(spark, path or table_root(spark, name))
+    scan = table.publish(df)
+    show_version(spark, name, table.path())
+    table.expire(keep)
+    return scan
+
+
+def point_table(spark: SparkSession, name: str, path: str) -> None:
+    """Show the parquet folder at ``path`` under ``name``; readers meet the former folder or this one."""
+    show_version(spark, name, path)
 
 
 def list_tables(spark: SparkSession, namespace: str) -> list[str]:
     """Table names in a namespace."""
-    return sorted(t.name for t in spark.catalog.listTables(namespace))
+    return sorted(t.name for t in spark.catalog.listTables(namespace) if not t.isTemporary)

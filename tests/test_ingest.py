@@ -134,5 +134,5 @@ def test_refresh_of_a_named_table_shows_every_load(spark, tmp_path):
     name = f"refreshed_bronze.bronze_{SCREEN.name}"
     assert spark.table(name).count() == 16 == spark.read.parquet(out[SCREEN.name]).count()
     assert {r["_batch_id"] for r in spark.table(name).select("_batch_id").distinct().collect()} == {"o'brien"}
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {name}")
     spark.sql("DROP SCHEMA refreshed_bronze")
