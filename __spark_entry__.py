@@ -25,7 +25,7 @@ from slotwise.plans.features import latest_booking  # noqa: E402
 from slotwise.plans.forecast import forecast_columns  # noqa: E402
 from slotwise.plans.pairing import band_pairs  # noqa: E402
 from slotwise.operators.band import band_join  # noqa: E402
-from slotwise.plans.pipeline import BARRIERS, DEFAULT_HOT_ROWS, SINGLE_CONSUMER, Pipeline  # noqa: E402
+from slotwise.plans.pipeline import BARRIERS, DEFAULT_HOT_PAIRS, SINGLE_CONSUMER, Pipeline  # noqa: E402
 from slotwise.plans.recommend import daily_top_n, publish_gate  # noqa: E402
 from slotwise.plans.stages import StageStore  # noqa: E402
 from slotwise.plans.silver import conform_screen  # noqa: E402
@@ -79,7 +79,7 @@ def q_constraint_reasons(spark, sf_dir):
 
 def q_band_pairs(spark, sf_dir):
     pl = _pipe(spark, sf_dir)
-    pr = band_pairs(pl.pair_inputs, P, pl.hot_rows)
+    pr = band_pairs(pl.pair_inputs, P, pl.hot_pairs, pl.materialize)
     return pr.selectExpr(
         "a_theatre_id AS theatre_id",
         "a_showtime_id AS showtime_a_id",
@@ -94,7 +94,8 @@ def q_band_pairs_events(spark, sf_dir):
     a = ev.selectExpr("event_id AS a_event_id", "user_id AS a_user_id", "ts AS a_ts")
     b = ev.selectExpr("event_id AS b_event_id", "user_id AS b_user_id", "ts AS b_ts")
     pr = band_join(a, b, ["a_user_id"], ["b_user_id"], "a_ts", "b_ts", P.band_seconds,
-                   condition="a_event_id <> b_event_id", hot_rows=DEFAULT_HOT_ROWS)
+                   condition="a_event_id <> b_event_id", hot_pairs=DEFAULT_HOT_PAIRS,
+                   materialize=parquet_materializer(spark))
     return pr.selectExpr("a_user_id AS user_id", "a_event_id AS event_a_id", "b_event_id AS event_b_id",
                          "unix_timestamp(b_ts) - unix_timestamp(a_ts) AS gap_seconds")
 
@@ -142,7 +143,7 @@ def q_showtime_revenue(spark, sf_dir):
 def q_capped_and_pair_revenue(spark, sf_dir):
     """J6, J7 on every band pair: each show's capped revenue now and after the swap, and the pair totals."""
     pl = _pipe(spark, sf_dir)
-    pr = band_pairs(pl.pair_inputs, P, pl.hot_rows)
+    pr = band_pairs(pl.pair_inputs, P, pl.hot_pairs, pl.materialize)
     fa, fb = "a_unconstrained_demand_forecast", "b_unconstrained_demand_forecast"
     ca, cb = "a_screen_capacity", "b_screen_capacity"
     pa, pb = "a_average_ticket_price", "b_average_ticket_price"

@@ -7,6 +7,8 @@ such pair is kept; invalid ones carry the first rule they break.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from slotwise.functions.exprs import candidate_id_sql, format_compatible_sql, money_diff_sql, pair_revenue_sql, quote
@@ -14,6 +16,8 @@ from slotwise.operators.band import band_join
 from slotwise.operators.rules import first_failure_sql
 from slotwise.params import Params
 
+Materializer = Callable[[DataFrame, str], DataFrame]
+
 SIDE_COLUMNS = (
     "showtime_id", "theatre_id", "movie_id", "screen_id", "movie_title", "screen_name",
     "unconstrained_demand_forecast", "screen_capacity", "average_ticket_price", "movie_format",
@@ -39,19 +43,33 @@ def _side(enriched: DataFrame, prefix: str, extra: tuple[str, ...] = ()) -> Data
     return enriched.selectExpr(*[f"{c} AS {prefix}{c}" for c in (*SIDE_COLUMNS, *extra)])
 
 
-def band_pairs(enriched: DataFrame, p: Params = Params(), hot_rows: int | None = None) -> DataFrame:
+def busy_side(enriched: DataFrame) -> DataFrame:
+    """Shows over their screen's capacity, as ``a_*`` with their site's policy."""
+    return _side(enriched.where("unconstrained_demand_forecast > screen_capacity"), "a_", POLICY_COLUMNS)
+
+
+def quiet_side(enriched: DataFrame) -> DataFrame:
+    """Shows under their screen's capacity, as ``b_*``."""
+    return _side(enriched.where("unconstrained_demand_forecast < screen_capacity"), "b_")
+
+
+def band_pairs(enriched: DataFrame, p: Params = Params(), hot_pairs: int | None = None, materialize: Materializer | None = None) -> DataFrame:
     """(a_*, b_*) rows for every qualifying pair.
 
     One-sided tests (A over capacity, B under capacity) run before the join,
     so only those rows are shuffled; the cross-side tests (different shows,
     B's screen larger, start times within the band) are the join residual.
     """
-    a = _side(enriched.where("unconstrained_demand_forecast > screen_capacity"), "a_", POLICY_COLUMNS)
-    b = _side(enriched.where("unconstrained_demand_forecast < screen_capacity"), "b_")
+    return band_pairs_of(busy_side(enriched), quiet_side(enriched), p, hot_pairs, materialize)
+
+
+def band_pairs_of(busy: DataFrame, quiet: DataFrame, p: Params = Params(), hot_pairs: int | None = None,
+                  materialize: Materializer | None = None) -> DataFrame:
+    """:func:`band_pairs` of given sides."""
     residual = "a_showtime_id <> b_showtime_id AND b_screen_capacity > a_screen_capacity"
     return band_join(
-        a, b, ["a_theatre_id"], ["b_theatre_id"], "a_show_start_ts", "b_show_start_ts",
-        p.band_seconds, condition=residual, hot_rows=hot_rows,
+        busy, quiet, ["a_theatre_id"], ["b_theatre_id"], "a_show_start_ts", "b_show_start_ts",
+        p.band_seconds, condition=residual, hot_pairs=hot_pairs, materialize=materialize,
     )
 
 
@@ -118,16 +136,21 @@ def _pair_columns(p: Params) -> list[tuple[str, str]]:
 
 
 def candidates(
-    enriched: DataFrame, p: Params = Params(), hot_rows: int | None = None, with_run_ts: bool = True
+    enriched: DataFrame, p: Params = Params(), hot_pairs: int | None = None, materialize: Materializer | None = None, with_run_ts: bool = True
 ) -> DataFrame:
     """Every band pair with revenue, uplift, compatibility and verdict."""
-    paired = band_pairs(enriched, p, hot_rows).selectExpr(*[f"{sql} AS {name}" for name, sql in _pair_columns(p)])
-    judged = paired.selectExpr(
+    return judged(band_pairs(enriched, p, hot_pairs, materialize), p, with_run_ts)
+
+
+def judged(pairs: DataFrame, p: Params = Params(), with_run_ts: bool = True) -> DataFrame:
+    """Candidate columns of (a_*, b_*) pairs."""
+    paired = pairs.selectExpr(*[f"{sql} AS {name}" for name, sql in _pair_columns(p)])
+    tested = paired.selectExpr(
         "*",
         f"{money_diff_sql('proposed_expected_ticket_revenue', 'current_expected_ticket_revenue')} AS estimated_ticket_revenue_uplift",
         f"{failure_reason_sql()} AS constraint_failure_reason",
     )
-    cols = [c for c in judged.columns if c != "constraint_failure_reason"]
+    cols = [c for c in tested.columns if c != "constraint_failure_reason"]
     out = [
         *cols,
         f"CASE WHEN constraint_failure_reason = '' THEN {quote(VALID)} ELSE {quote(INVALID)} END AS constraint_validation_status",
@@ -135,4 +158,4 @@ def candidates(
     ]
     if with_run_ts:
         out.append("current_timestamp() AS candidate_run_ts")
-    return judged.selectExpr(*out)
+    return tested.selectExpr(*out)

@@ -30,9 +30,8 @@ from slotwise.sources.versions import Version, VersionedTable, show_version
 
 Materializer = Callable[[DataFrame, str], DataFrame]
 
-# Rows on the over-capacity side of one (site, 15-minute bucket) above which
-# the band join splits the group into salted sub-groups.
-DEFAULT_HOT_ROWS = 2_000_000
+# Pairs of one (site, time range) above which the band join splits it into a grid of groups.
+DEFAULT_HOT_PAIRS = 50_000_000
 
 # Stages written to the shared folder by default: the pair inputs (enriched
 # showtimes that can pair, narrowed to the columns pairing reads) are read by
@@ -71,14 +70,14 @@ class Pipeline:
         p: Params = Params(),
         dims: str = "latest",
         materialize: Materializer | None = None,
-        hot_rows: int | None = DEFAULT_HOT_ROWS,
+        hot_pairs: int | None = DEFAULT_HOT_PAIRS,
         barriers: tuple[str, ...] = BARRIERS,
     ) -> None:
         self.feeds = feeds
         self.p = p
         self.dims = dims
         self.materialize = materialize
-        self.hot_rows = hot_rows
+        self.hot_pairs = hot_pairs
         self.barriers = tuple(barriers)
         self.silver = _Silver(feeds, dims)
 
@@ -124,9 +123,9 @@ class Pipeline:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        # Counting hot groups reads the pair inputs once more: only worth it from a written table.
-        hot = self.hot_rows if self.materialize and "pair_inputs" in self.barriers else None
-        return self._barrier(candidates(self.pair_inputs, self.p, hot), "candidates")
+        # Sizing the ranges reads the pair inputs once more: only worth it from a written table.
+        hot = self.hot_pairs if self.materialize and "pair_inputs" in self.barriers else None
+        return self._barrier(candidates(self.pair_inputs, self.p, hot, self.materialize), "candidates")
 
     @cached_property
     def cap(self) -> int | None:
@@ -176,7 +175,7 @@ class Pipeline:
         self.features = store.stage(self.features, "features")
         self.pair_inputs = store.stage(pair_inputs(self.enriched), "pair_inputs")
         self.candidates = store.stage(
-            candidates(self.pair_inputs, self.p, self.hot_rows), "candidates", quality.metrics(quality.CANDIDATE_FACTS))
+            candidates(self.pair_inputs, self.p, self.hot_pairs, store.stage), "candidates", quality.metrics(quality.CANDIDATE_FACTS))
         store.release("pair_inputs")
         self.recommendations = store.stage(self.recommendations, "recommendations", quality.metrics(quality.RECOMMENDATION_FACTS))
         spark = self.features.sparkSession
@@ -212,7 +211,7 @@ class Pipeline:
         self.forecast = save("gold", "gold_showtime_demand_forecast", self.forecast)[0]
         with StageStore(spark) as store:
             self.pair_inputs = store.stage(pair_inputs(self.enriched), "pair_inputs")
-            paired = candidates(self.pair_inputs, self.p, self.hot_rows)
+            paired = candidates(self.pair_inputs, self.p, self.hot_pairs, store.stage)
             self.candidates, of_candidates = save("gold", "gold_screen_allocation_candidates", paired, quality.CANDIDATE_FACTS)
         self.recommendations, of_list = save(
             "gold", "gold_screen_allocation_recommendations", self.recommendations, quality.RECOMMENDATION_FACTS)

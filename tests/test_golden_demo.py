@@ -73,7 +73,7 @@ def test_forecast_drivers_text(demo):
 
 
 def test_split_hot_groups_give_identical_candidates(spark):
-    """A site's band with three busy shows is 'hot' at hot_rows=1: splitting it must not change the result."""
+    """A site's band with three busy shows is 'hot' at hot_pairs=1: splitting it must not change the result."""
     from datetime import datetime
 
     from demo import booking_row, demo_rows, show_row
@@ -85,8 +85,8 @@ def test_split_hot_groups_give_identical_candidates(spark):
         start = datetime(2026, 7, 2, 20, minute)
         rows["showtime_schedule"].append(show_row(f"n-more{n}", "north", "h1", "basalt", start))
         rows["booking_snapshot"].append(booking_row(f"n-more{n}", start, 33))
-    plain = Pipeline(demo_feeds(spark, rows), hot_rows=None)
-    split = Pipeline(demo_feeds(spark, rows), materialize=parquet_materializer(spark), hot_rows=1)
+    plain = Pipeline(demo_feeds(spark, rows), hot_pairs=None)
+    split = Pipeline(demo_feeds(spark, rows), materialize=parquet_materializer(spark), hot_pairs=1)
     assert plain.candidates.where("theatre_id = 'north' AND showtime_b_id = 'n-quiet'").count() == 3
     cols = ["candidate_id", "estimated_ticket_revenue_uplift", "constraint_failure_reason"]
     assert sorted(plain.candidates.select(*cols).collect()) == sorted(split.candidates.select(*cols).collect())

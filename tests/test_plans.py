@@ -47,7 +47,7 @@ def test_top_n_with_cap_limits_before_the_shuffle(spark, no_broadcast):
 
 
 def test_band_join_shuffles_on_site_and_bucket_and_tests_band_first(spark, no_broadcast):
-    pl = Pipeline(demo_feeds(spark), hot_rows=None)
+    pl = Pipeline(demo_feeds(spark), hot_pairs=None)
     p = plan(pl.recommendations)
     assert re.search(r"hashpartitioning\(a_theatre_id#\d+, __band_bucket_l#\d+L?, ", p), p
     assert re.search(r"hashpartitioning\(b_theatre_id#\d+, __band_bucket_r#\d+L?, ", p), p
@@ -56,7 +56,7 @@ def test_band_join_shuffles_on_site_and_bucket_and_tests_band_first(spark, no_br
 
 
 def test_latest_booking_join_needs_no_exchange(spark, no_broadcast):
-    pl = Pipeline(demo_feeds(spark), hot_rows=None)
+    pl = Pipeline(demo_feeds(spark), hot_pairs=None)
     ls = lines(pl.features)
     j = next(i for i, ln in enumerate(ls) if ln.startswith("SortMergeJoin [showtime_id") and "LeftOuter" in ln)
     # the outer join's left child is the schedule's de-duplication output, not a new exchange
