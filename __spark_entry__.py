@@ -26,6 +26,7 @@ from slotwise.plans.forecast import forecast_columns  # noqa: E402
 from slotwise.plans.pairing import band_pairs  # noqa: E402
 from slotwise.operators.band import band_join  # noqa: E402
 from slotwise.plans.pipeline import BARRIERS, DEFAULT_HOT_PAIRS, SINGLE_CONSUMER, Pipeline  # noqa: E402
+from slotwise.plans.rank_join import rank_join  # noqa: E402
 from slotwise.plans.recommend import daily_top_n, publish_gate  # noqa: E402
 from slotwise.plans.stages import StageStore  # noqa: E402
 from slotwise.plans.silver import conform_screen  # noqa: E402
@@ -65,6 +66,13 @@ def q_recommendations_region(spark, sf_dir):
     return _pipe(spark, sf_dir, "region").recommendations.drop("data_freshness_ts", "created_ts")
 
 
+def q_rank_join_recommendations(spark, sf_dir):
+    """J13 + E4 as a bounded rank join: the published list without building all candidates."""
+    pl = _pipe(spark, sf_dir)
+    found = rank_join(pl.pair_inputs, P, pl.cap, StageStore(spark, "rank-join"), pl.hot_pairs)
+    return found.recommendations.drop("data_freshness_ts", "created_ts")
+
+
 def q_candidates(spark, sf_dir):
     return _pipe(spark, sf_dir).candidates.drop("candidate_run_ts")
 
