@@ -6,11 +6,13 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.session import run_dir
+from slotwise.sources import files
 
 #: Java pattern of the white space that separates words.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -20,15 +22,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders of written tables, per open recording.
+_RECORDED: list[list[str]] = []
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and scan it from there.
 
     It cuts lineage, survives lost executors and is computed once whoever
     reads it.
     """
-    path = f"{run_dir(df.sparkSession, 'llm')}/{label}"
+    folder = run_dir(df.sparkSession, "llm")
+    path = f"{folder}/{label}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _RECORDED:
+        _RECORDED[-1].append(folder)
+    scan = df.sparkSession.read.schema(df.schema).parquet(path)
+    scan._written_under = folder
+    return scan
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that :func:`written` made, when all that is made from them is written too."""
+    for t in tables:
+        files.delete(t.sparkSession, t._written_under)
+
+
+@contextmanager
+def recording():
+    """The folders of all tables written inside, for :func:`remove_unread`."""
+    _RECORDED.append([])
+    try:
+        yield _RECORDED[-1]
+    finally:
+        _RECORDED.pop()
+
+
+def remove_unread(folders: list[str], docs: DataFrame) -> list[str]:
+    """Remove the folders that ``docs`` doesn't read; the others."""
+    read = docs.inputFiles()
+    needed = [f for f in folders if any(f.rsplit("/", 1)[1] in path for path in read)]
+    for f in set(folders) - set(needed):
+        files.delete(docs.sparkSession, f)
+    return needed
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import written
+from slotwise.llm.common import discard, written
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
@@ -36,8 +36,9 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(clean(links.select("u", "v")), "edges")
     mark = None
     while True:
-        edges = written(clean(_large_star(edges)), "edges")
-        edges = written(clean(_small_star(edges)), "edges")
+        for star in (_large_star, _small_star):
+            former, edges = edges, written(clean(star(edges)), "edges")
+            discard(former)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == mark:
             return edges

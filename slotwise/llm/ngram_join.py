@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from slotwise.llm import bitmap
-from slotwise.llm.common import ship, written
+from slotwise.llm.common import discard, ship, written
 from slotwise.llm.components import components
 from slotwise.llm.hashing import window_hashes, word_hashes
 from slotwise.llm.substring_dedup import _runs
@@ -54,6 +54,8 @@ FILTER_BITS = 1 << 26
 PICK = 4
 CLASSES = (2, 16, 256)  #: documents from which on an n-gram is in the next class
 BLOCK = 256
+CLOSE_ROWS = 2048  #: sets in a share of an open n-gram's documents, two of which meet in one task
+CLOSE_BYTES = 1 << 25  #: of parity bits in such a share; a set of n has n / 2 bytes at most
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -122,6 +124,7 @@ def linked(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BI
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = written(held(docs, n), "ngram_counts")
     tables = spark.sparkContext.broadcast([bitmap.collect(counts.where(F.col("n") >= c).select("h"), bits) for c in CLASSES])
+    discard(counts)
 
     def look(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -154,17 +157,20 @@ def linked(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BI
                 yield pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n", "k", "grams", "parity", "first"])
 
     read = written(docs.mapInArrow(look, "doc_id long, n long, k binary, grams binary, parity binary, first array<long>"), "ngram_sets")
-    waiting = read.where("k IS NOT NULL")
     sets = written(
-        waiting.groupBy("k").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("grams").alias("grams"), F.max("parity").alias("parity"), F.max("first").alias("first")), "ngram_reps"
+        read.where("k IS NOT NULL").groupBy("k").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("grams").alias("grams"), F.max("parity").alias("parity"), F.max("first").alias("first")), "ngram_reps"
     )
+    ids = written(read.select("doc_id", "n", "k"), "ngram_ids")
+    discard(read)
+    waiting = ids.where("k IS NOT NULL")
     links = _links(sets, percent)
     nodes = components(links)
     of_set = written(
         sets.select("k", "rep").join(nodes.select(F.col("u").alias("rep"), F.col("v").alias("low")), "rep", "left")
         .select("k", F.coalesce("low", "rep").alias("component_id")), "ngram_components",
     )
-    done = read.where("k IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    discard(sets, nodes)
+    done = ids.where("k IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return done.unionByName(waiting.select("k", "doc_id", F.col("n").alias("n_shingles")).join(of_set, "k").select("doc_id", "n_shingles", "component_id"))
 
 
@@ -233,13 +239,16 @@ def _star_links(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links found by joining each centre with the documents paired with it, block by block."""
     blocks = stars.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     # Each block has the centre and its share of the centre's documents.
-    dealt = stars.join(written(blocks, "ngram_blocks"), "centre").where("rep <> centre").select(
+    sizes = written(blocks, "ngram_blocks")
+    dealt = stars.join(sizes, "centre").where("rep <> centre").select(
         "centre", "rep", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")
     )
     heads = dealt.select("centre", "block").distinct().select("centre", F.col("centre").alias("rep"), "block")
     grouped = written(dealt.unionByName(heads), "ngram_blocked")
     joined = grouped.join(sets.select("rep", "n", "grams"), "rep").withColumn("component", F.col("rep"))
-    return written(joined.groupBy("centre", "block").applyInPandas(_joined(percent), "u long, v long"), "ngram_links")
+    links = written(joined.groupBy("centre", "block").applyInPandas(_joined(percent), "u long, v long"), "ngram_links")
+    discard(grouped, sizes)
+    return links
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
@@ -251,17 +260,21 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     stars = members.join(centres, "h").where(near(F.col("n"), F.col("n_centre"))).select("centre", "rep").distinct()
     stars = written(stars, "ngram_stars")
     first = _star_links(stars, sets, percent)
+    discard(centres, stars)
     nodes = components(first)
     labelled = written(
         members.join(nodes.select(F.col("u").alias("rep"), "v"), "rep", "left").select("rep", "n", "h", F.coalesce("v", "rep").alias("component")), "ngram_labelled"
     )
+    discard(members, nodes)
     # Sizes of similar sets lie in one band of the ratio or in two neighbours,
     # so an n-gram's documents meet by pairs of neighbouring bands only.
     band = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) + 1e-6)).cast("int")
-    banded = labelled.select("rep", "h", "component", F.explode(F.array(band, band + 1)).alias("band"))
-    open_ = banded.groupBy("h", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    open_ = open_.select("h", "band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    left = banded.join(written(open_, "ngram_open"), ["h", "band"]).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    banded = labelled.select("rep", "n", "h", "component", F.explode(F.array(band, band + 1)).alias("band"))
+    open_ = banded.groupBy("h", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("n")).where("lo <> hi")
+    # Every row is copied once per share of its group, so shares are as large as a task's memory allows.
+    shares = F.greatest(F.col("m") / CLOSE_ROWS, F.col("n") / (2 * CLOSE_BYTES))
+    opened = written(open_.select("h", "band", F.ceil(shares).cast("int").alias("blocks")), "ngram_open")
+    left = banded.drop("n").join(opened, ["h", "band"]).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     # A pair of documents meets in the block of both their shares.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     left = left.select("rep", "component", "h", "band", "mine", other).select(
@@ -274,5 +287,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     )
     chosen = written(sign.groupBy("x", "y", "m").agg(F.min("block").alias("block")).select("block"), "ngram_chosen")
     close = left.join(chosen, "block").join(sets.select("rep", "n", "parity"), "rep").groupBy("block").applyInPandas(_close(percent), "centre long, rep long")
-    second = _star_links(written(close.distinct(), "ngram_close"), sets, percent)
+    close = written(close.distinct(), "ngram_close")
+    discard(labelled, opened, left, chosen)
+    second = _star_links(close, sets, percent)
+    discard(close)
     return first.unionByName(second)

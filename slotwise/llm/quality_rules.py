@@ -237,8 +237,13 @@ def keep_good(docs: DataFrame, labels: DataFrame, params: RiskParams = RiskParam
     """The rows of ``docs``, with all their columns, that the rules keep.
 
     Texts are measured twice, for the holdout and in place, and never shuffled.
+    The line number is tested with the verdict: a filter on a column that is not
+    a function of the row stays above the projection, instead of being pushed
+    down with a second copy of all measures.
     """
+    line = F.monotonically_increasing_id().alias("_line")
     stratum = F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum")
-    limits = cutoffs(holdout(measured(docs.select("doc_id", "text", stratum), ["doc_id", "stratum"]), labels), params)
+    once = measured(docs.select("doc_id", "text", stratum), ["doc_id", "stratum"]).select("*", line).where("_line >= 0 AND NOT m.base_failed")
+    limits = cutoffs(holdout(once, labels), params)
     rows = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), stratum)
-    return judged(measured(rows, ["row", "stratum"]), limits).where("kept").select("row.*")
+    return judged(measured(rows, ["row", "stratum"]).select("*", line), limits).where("kept AND _line >= 0").select("row.*")

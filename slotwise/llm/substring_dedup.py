@@ -27,6 +27,7 @@ to "smaller" and each keep their row; texts shorter than a window keep all.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from itertools import compress
 
@@ -75,6 +76,9 @@ def _half(size: int) -> int:
     return (size + 1) // 2
 
 
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
 def _signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
@@ -126,11 +130,31 @@ def half_windows(docs: DataFrame, size: int) -> DataFrame:
     return _shared(docs.select("doc_id", "text").mapInArrow(look, "h long, doc long"))
 
 
+def without(text: bytes, gone: np.ndarray) -> bytes:
+    """``text`` without the words marked in ``gone``, all else as it is.
+
+    Of the white space on both sides of a run of removed words one piece stays:
+    the one after it if only that one holds a line end, else the one before it.
+    """
+    ends = np.array([0, *(x for m in _WORD.finditer(text) for x in m.span()), len(text)])
+    starts, stops = ends[1:-1:2], ends[2:-1:2]
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+    out, at = [], 0
+    for first, after in edge.reshape(-1, 2).tolist():
+        before = text[stops[first - 1] if first else 0 : starts[first]]
+        follows = starts[after] if after < len(starts) else len(text)
+        behind = text[stops[after - 1] : follows]
+        out.append(text[at : starts[first] - len(before)])
+        out.append(behind if b"\n" in behind and b"\n" not in before else before)
+        at = follows
+    return b"".join([*out, text[at:]])
+
+
 def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits: int = FILTER_BITS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of ``docs``.
 
-    ``with_rows`` adds ``text``, the kept words joined by one space, and
-    ``extra``, a struct of the row's other columns under their names.
+    ``with_rows`` adds ``text``, from which the removed words are cut and which
+    is unchanged where none are, and ``extra``, a struct of the row's other columns under their names.
     """
     import pyarrow as pa
 
@@ -192,7 +216,8 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
                         continue
                     rest = np.flatnonzero(~has)
                     kept = [b" ".join(texts[i].split()) for i in rest]
-                    columns = [pa.array([k.decode() if with_rows else None for k in kept], pa.string()), pa.array(counts[rest]), pa.array(np.zeros(len(rest), np.int64)),
+                    same = part["text"].take(pa.array(rest)) if with_rows else pa.nulls(len(rest), pa.string())
+                    columns = [same, pa.array(counts[rest]), pa.array(np.zeros(len(rest), np.int64)),
                                pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
                     taken = part.take(pa.array(rest))
                     yield pa.record_batch([taken["doc_id"], taken["extra"], *columns], names=["doc_id", "extra", "text", "n_words", "n_removed", "kept_sha256"])
@@ -220,7 +245,7 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
                     edge[size:] -= starts
                     gone = np.cumsum(edge)[: counts[i]] > 0
                     kept = b" ".join(compress(text.split(), ~gone))
-                    out["text"].append(kept.decode() if with_rows else None)
+                    out["text"].append(part["text"][i].as_py() if with_rows and not gone.any() else without(text, gone).decode() if with_rows else None)
                     out["n_words"].append(int(counts[i]))
                     out["n_removed"].append(int(gone.sum()))
                     out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
@@ -233,7 +258,7 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
 
 
 def without_repeats(docs: DataFrame, size: int = 13, bits: int = FILTER_BITS) -> DataFrame:
-    """``docs``, all columns, with repeated words taken from ``text`` and white space made single spaces."""
+    """``docs``, all columns, with repeated words cut from ``text``; other texts stay byte for byte."""
     got = deduplicated(docs, size, True, bits)
     return got.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"extra.`{c}`").alias(c) for c in docs.columns))
 

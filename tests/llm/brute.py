@@ -71,8 +71,8 @@ def shingles(text: str, n: int = 4) -> frozenset:
     return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
 
 
-def components(docs: list[tuple[int, str]], percent: int = 85) -> dict[int, int]:
-    sets = {d: shingles(t) for d, t in docs}
+def components(docs: list[tuple[int, str]], percent: int = 85, n: int = 4) -> dict[int, int]:
+    sets = {d: shingles(t, n) for d, t in docs}
     low = {d: d for d in sets}
 
     def find(x):

@@ -298,3 +298,27 @@ def test_empty_tables(spark, docs, labels):
         quality_rules.judge(none, no_labels), quality_rules.keep_good(none, no_labels), ngram_join.linked(none), ngram_join.one_of_each(none), substring_dedup.without_repeats(none),
     ]
     assert [r.count() for r in results] == [0] * len(results)
+
+
+@pytest.mark.parametrize("text,gone,want", [
+    (b"a b  c\nd", [], b"a b  c\nd"), (b" a b  c\nd ", [1, 2], b" a\nd "), (b"a\nb c", [1], b"a\nc"), (b"a b", [0, 1], b""), (b"\ta b\n", [1], b"\ta\n"),
+    (b"a b c d", [0, 2], b"b d"), (b"", [], b""), ("é ß\nx".encode(), [1], "é\nx".encode()),
+])
+def test_cut_words_leave_the_rest(text, gone, want):
+    n = len(text.split())
+    assert substring_dedup.without(text, np.isin(np.arange(n), gone)) == want
+
+
+def test_near_copies_over_several_shares(spark, monkeypatch):
+    """An open n-gram's documents dealt into many shares lose no link."""
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(120):  # a chain of edits: far ends are linked through others only
+        rows.append((i, " ".join([f"e{j}" if j < i // 3 else w for j, w in enumerate(base)])))
+    rows += [(200 + i, " ".join(rng.choice(base, 12)) + " common words that many hold") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.components(rows)
+    for n in (2048, 7):
+        monkeypatch.setattr(ngram_join, "CLOSE_ROWS", n)
+        assert {r["doc_id"]: r["component_id"] for r in ngram_join.linked(docs).collect()} == want
