@@ -29,7 +29,7 @@ from slotwise.plans.pipeline import BARRIERS, DEFAULT_HOT_PAIRS, SINGLE_CONSUMER
 from slotwise.plans.rank_join import rank_join  # noqa: E402
 from slotwise.plans.recommend import daily_top_n, publish_gate  # noqa: E402
 from slotwise.plans.stages import StageStore  # noqa: E402
-from slotwise.plans.silver import conform_screen  # noqa: E402
+from slotwise.plans.silver import conform_screen, conform_theatre  # noqa: E402
 from slotwise.schemas import BOOKING, FEEDS, SCHEDULE, SCREEN  # noqa: E402
 from slotwise.session import run_dir  # noqa: E402
 from slotwise.sources import adapters  # noqa: E402
@@ -38,6 +38,8 @@ from slotwise.sources.csv_feeds import (  # noqa: E402
 )
 from slotwise.sources.tables import list_tables, parquet_materializer  # noqa: E402
 from slotwise.streaming.bronze import BronzeLayout, ingest_all  # noqa: E402
+from slotwise.streaming.current import booking_state, schedule_state  # noqa: E402
+from slotwise.streaming.evolving import ingest_evolving  # noqa: E402
 
 P = Params()
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -308,6 +310,67 @@ def q_stream_reingest_idempotent(spark, sf_dir):
     )
 
 
+def q_evolving_feed(spark, sf_dir):
+    """A2, A5, §2.8 schema tracking: the booking feed's header changes between two loads (columns moved, one dropped,
+    one new); a stream loads both whole and the new column is added."""
+    feed = adapters.bookings(spark, sf_dir, P)
+    layout = BronzeLayout(run_dir(spark, "landing"), run_dir(spark, "bronze"))
+    write_feed(feed.where("showtime_id % 2 = 0"), layout.landing, BOOKING, P.run_date)
+    changed = feed.where("showtime_id % 2 <> 0").select(
+        F.expr("concat('web-', showtime_id % 3)").alias("sales_channel"), *[c for c in reversed(feed.columns) if c != "gross_booking_revenue"])
+    write_feed(changed, layout.landing, BOOKING, NEXT_DAY)
+    table = ingest_evolving(spark, layout, {BOOKING: schema_of(feed)}, P.run_date, evolve="add")[BOOKING.name]
+    return table.read().select("snapshot_id", "showtime_id", "snapshot_ts", "booked_seats", "gross_booking_revenue", "hours_to_show",
+                               "sales_channel", "_source_snapshot_date", "_rescued_data")
+
+
+def _incremental(spark, feed, loads, state):
+    """Load after load through bronze into current state."""
+    layout = BronzeLayout(run_dir(spark, "landing"), run_dir(spark, "bronze"))
+    for day, load in zip((P.run_date, NEXT_DAY), loads, strict=True):
+        write_feed(load, layout.landing, feed, day)
+        path = ingest_all(spark, layout, {feed: schema_of(load)}, day)[feed.name]
+        state.update(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    return state
+
+
+def q_incremental_schedule(spark, sf_dir):
+    """E1 kept up by streams: an earlier version of most showtimes, then the feed's own rows for every other one."""
+    feed = adapters.showtimes(spark, sf_dir, "nation", P)
+    earlier = feed.where("showtime_id % 10 < 6").withColumns({
+        "is_locked": F.expr("NOT is_locked"), "source_updated_ts": F.expr("source_updated_ts - INTERVAL 1 DAY")})
+    loads = [earlier, feed.where("showtime_id % 2 = 0")]
+    return _incremental(spark, SCHEDULE, loads, schedule_state(spark, run_dir(spark, "state"))).read()
+
+
+def q_incremental_bookings(spark, sf_dir):
+    """E2 kept up by streams: corrections of a later load win, a negative one removes its snapshot; read after compaction."""
+    feed = adapters.bookings(spark, sf_dir, P)
+    corrected = feed.where("showtime_id % 10 <= 2").withColumns({
+        "booked_seats": F.expr("CASE WHEN showtime_id % 10 = 2 THEN -1 ELSE booked_seats + 5 END"),
+        "source_updated_ts": F.expr("source_updated_ts + INTERVAL 1 DAY")})
+    state = _incremental(spark, BOOKING, [feed, corrected], booking_state(spark, run_dir(spark, "state")))
+    state.compact()
+    return state.read()
+
+
+def q_site_rows(spark, sf_dir):
+    """Rows that the caller holds (one per region) become a typed feed, then a dimension."""
+    held = [tuple(r) for r in adapters.theatres(spark, sf_dir, "region", P).collect()]
+    feed = spark.createDataFrame(held, adapters.theatres(spark, sf_dir, "region", P).schema)
+    return conform_theatre(feed)
+
+
+def q_view_sql(spark, sf_dir):
+    """SQL over the views of a run's tables."""
+    pl = _pipe(spark, sf_dir, barriers=False)
+    pl.register_views("slotwise_")
+    return spark.sql("""
+        SELECT f.theatre_id, t.theatre_name, count(*) AS shows, sum(f.current_booked_seats) AS booked_seats
+        FROM slotwise_gold_showtime_demand_features f JOIN slotwise_dim_theatre t ON f.theatre_id = t.theatre_id
+        GROUP BY f.theatre_id, t.theatre_name""")
+
+
 def q_medallion_recommendations(spark, sf_dir):
     """The whole flow: all seven feeds landed as CSV, streamed into bronze tables
     (with rescue and ingest metadata), conformed and paired from bronze."""
