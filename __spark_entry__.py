@@ -22,12 +22,12 @@ from slotwise.functions.exprs import capped_revenue_sql, format_compatible_sql,
 from slotwise.params import Params  # noqa: E402
 from slotwise.plans import quality, reports  # noqa: E402
 from slotwise.plans.features import latest_booking  # noqa: E402
-from slotwise.plans.forecast import forecast_columns  # noqa: E402
+from slotwise.plans.forecast import demand_forecast, enrich, forecast_columns  # noqa: E402
 from slotwise.plans.pairing import band_pairs  # noqa: E402
 from slotwise.operators.band import band_join  # noqa: E402
 from slotwise.plans.pipeline import BARRIERS, DEFAULT_HOT_PAIRS, SINGLE_CONSUMER, Pipeline  # noqa: E402
 from slotwise.plans.rank_join import rank_join  # noqa: E402
-from slotwise.plans.recommend import daily_top_n, publish_gate  # noqa: E402
+from slotwise.plans.recommend import daily_top_n, merged_daily_top_n, publish_gate  # noqa: E402
 from slotwise.plans.stages import StageStore  # noqa: E402
 from slotwise.plans.silver import conform_screen, conform_theatre  # noqa: E402
 from slotwise.schemas import BOOKING, FEEDS, SCHEDULE, SCREEN  # noqa: E402
@@ -36,7 +36,7 @@ from slotwise.sources import adapters  # noqa: E402
 from slotwise.sources.csv_feeds import (  # noqa: E402
     read_feed, read_feed_rescued, schema_of, with_ingest_metadata, write_feed,
 )
-from slotwise.sources.tables import list_tables, parquet_materializer  # noqa: E402
+from slotwise.sources.tables import create_namespace, list_tables, parquet_materializer, save_clustered  # noqa: E402
 from slotwise.streaming.bronze import BronzeLayout, ingest_all  # noqa: E402
 from slotwise.streaming.current import booking_state, schedule_state  # noqa: E402
 from slotwise.streaming.evolving import ingest_evolving  # noqa: E402
@@ -123,6 +123,32 @@ def q_daily_top_n(spark, sf_dir):
                       "estimated_ticket_revenue_uplift")
 
 
+def q_merged_daily_top_n(spark, sf_dir):
+    """E4 kept batch by batch: candidates come in three batches, each merged into the list before."""
+    pl = _pipe(spark, sf_dir, shared=True)
+    listed = None
+    store = StageStore(spark, "merged-list")
+    for n in range(3):
+        batch = pl.candidates.where(f"pmod(xxhash64(candidate_id), 3) = {n}")
+        listed = store.stage(merged_daily_top_n(listed, batch, pl.cap), f"list_{n}")
+    top = daily_top_n(listed, pl.cap, rank_col="daily_rank")
+    return top.select("theatre_id", "show_date", "daily_rank", "showtime_a_id", "showtime_b_id", "estimated_ticket_revenue_uplift")
+
+
+def q_clustered_forecast(spark, sf_dir):
+    """A10 clustered, C3 + C4: features and forecast stored in buckets by showtime, joined where they lie."""
+    pl = _pipe(spark, sf_dir, barriers=False)
+    root = run_dir(spark, "clustered")
+    ns = f"gold_{root.rsplit('-', 1)[-1]}"
+    create_namespace(spark, ns, f"{root}/{ns}")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    features = save_clustered(pl.features, f"{ns}.features", ["showtime_id"], n)
+    forecast = save_clustered(demand_forecast(features, P), f"{ns}.forecast", ["showtime_id"], n)
+    e = enrich(features, pl.silver["fact_schedule_policy"], forecast, P)
+    return e.select("showtime_id", "theatre_id", "unconstrained_demand_forecast", "forecast_confidence_score", "screen_capacity",
+                    "minimum_revenue_uplift", "maximum_recommendations_per_day")
+
+
 def q_demand_features(spark, sf_dir):
     return _pipe(spark, sf_dir).features.drop("feature_run_ts")
 

@@ -39,6 +39,17 @@ def daily_top_n(gated: DataFrame, cap: int | None = None, rank_col: str | None =
     )
 
 
+def merged_daily_top_n(listed: DataFrame | None, batch: DataFrame, cap: int | None = None) -> DataFrame:
+    """E4 batch by batch: the daily list of all candidates so far, from the list before and a new batch.
+
+    ``listed`` are the candidate rows listed before, ``batch`` new ones, gated or not. A row that
+    is not among the best of its site and day now never will be, so the list, at most the daily
+    maximum per group, is all that has to be kept; each map task cuts both to that many rows.
+    """
+    gated = publish_gate(batch)
+    return daily_top_n(gated if listed is None else listed.unionByName(gated), cap).drop("show_date")
+
+
 def policy_cap(policy: DataFrame) -> int | None:
     """Largest daily maximum over all sites (one scalar from a small table)."""
     rows = policy.selectExpr("max(maximum_recommendations_per_day) AS m").collect()

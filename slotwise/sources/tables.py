@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.session import run_dir
-from slotwise.sources.versions import VersionedTable, show_version
+from slotwise.sources import files
+from slotwise.sources.versions import VersionedTable, show_table, show_version
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -56,6 +60,41 @@ def save_table(df: DataFrame, name: str, path: str | None = None, keep: int = 2)
     return scan
 
 
+def save_clustered(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, keep: int = 2) -> DataFrame:
+    """A10: :func:`save_table` with every version in ``buckets`` by ``keys``, each sorted by them.
+
+    Tables clustered alike join and group by ``keys`` without an exchange. The
+    catalog has to know the buckets, so each version is an external table of its
+    own (``<name>__<version>``) and ``name`` is a view of the current one.
+    """
+    spark = df.sparkSession
+    namespace, _, table = name.rpartition(".")
+    root = path or table_root(spark, name)
+    version = f"{table}__{uuid.uuid4().hex[:12]}"
+    own = f"{namespace}.{version}" if namespace else version
+    # One writer task per bucket, so that a bucket is one sorted file and not one per task.
+    (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+       .option("path", f"{root.rstrip('/')}/{version}").saveAsTable(own))
+    show_table(spark, name, own)
+    former = [t for t in list_tables(spark, namespace or spark.catalog.currentDatabase()) if t.startswith(f"{table}__") and t != version]
+    kept = _newest(spark, namespace, former, keep - 1)
+    for t in set(former) - set(kept):
+        where = spark.sql(f"DESCRIBE TABLE EXTENDED {namespace + '.' if namespace else ''}{t}").where("col_name = 'Location'").first()["data_type"]
+        spark.sql(f"DROP TABLE {namespace + '.' if namespace else ''}{t}")
+        files.delete(spark, where)
+    return spark.table(name)
+
+
+def _newest(spark: SparkSession, namespace: str, tables: list[str], n: int) -> list[str]:
+    """The ``n`` tables created last."""
+    def created(t: str) -> int:
+        held = spark._jsparkSession.sessionState().catalog().getTableMetadata(
+            spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(f"{namespace}.{t}" if namespace else t))
+        return held.createTime()
+
+    return sorted(tables, key=created, reverse=True)[: max(0, n)]
+
+
 def point_table(spark: SparkSession, name: str, path: str) -> None:
     """Show the parquet folder at ``path`` under ``name``; readers meet the former folder or this one."""
     show_version(spark, name, path)

@@ -100,7 +100,19 @@ def show_version(spark: SparkSession, name: str, path: str) -> None:
     Replacing a view is one change in the catalog: readers meet the old folder or the new one.
     A name that a table holds is refused, as freeing it would leave a gap.
     """
+    _show(spark, name, f"parquet.`{path}`")
+
+
+def show_table(spark: SparkSession, name: str, table: str) -> None:
+    """Make catalog name ``name`` a view of a catalog table, as :func:`show_version` does of a folder."""
+    _show(spark, name, _quoted(table))
+
+
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _show(spark: SparkSession, name: str, source: str) -> None:
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
         raise ValueError(f"{name} is a table, not a view of versions")
-    quoted = ".".join(f"`{part}`" for part in name.split("."))
-    spark.sql(f"CREATE OR REPLACE VIEW {quoted} AS SELECT * FROM parquet.`{path}`")
+    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT * FROM {source}")

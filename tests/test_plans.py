@@ -94,3 +94,35 @@ def test_reports_come_in_their_stated_order(spark):
     assert len(rows) > 1 and rows == sorted(rows)
     rows = [r["constraint_validation_status"] for r in q["report_candidates"](spark, sf).collect()]
     assert rows == sorted(rows, reverse=True)
+
+
+def test_clustered_tables_join_without_exchange(spark, tmp_path, no_broadcast):
+    from slotwise.plans.forecast import demand_forecast, enrich
+    from slotwise.sources.tables import create_namespace, list_tables, save_clustered
+
+    create_namespace(spark, "clustered_t", str(tmp_path / "ns"))
+    pl = Pipeline(demo_feeds(spark))
+    features = save_clustered(pl.features, "clustered_t.features", ["showtime_id"], 4)
+    forecast = save_clustered(demand_forecast(features), "clustered_t.forecast", ["showtime_id"], 4)
+    e = enrich(features, pl.silver["fact_schedule_policy"], forecast)
+    ls = lines(e)
+    assert any(ln.startswith("SortMergeJoin [showtime_id") for ln in ls)
+    assert not any(re.match(r"Exchange hashpartitioning\((showtime_id|_fc_sid)#", ln) for ln in ls), "\n".join(ls)
+    assert sum("Bucketed: true" in ln for ln in ls) == 2
+    assert e.count() == 17
+    for _ in range(3):
+        save_clustered(pl.forecast, "clustered_t.forecast", ["showtime_id"], 4)
+    assert len([t for t in list_tables(spark, "clustered_t") if t.startswith("forecast__")]) == 2
+    assert spark.table("clustered_t.forecast").count() == 17
+    spark.sql("DROP SCHEMA clustered_t CASCADE")
+
+
+def test_lists_merged_batch_by_batch(spark):
+    from slotwise.plans.recommend import daily_top_n, merged_daily_top_n
+
+    pl = Pipeline.from_driver_tables(spark, "/root/testdata/sf0.01")
+    listed = None
+    for n in range(4):
+        listed = merged_daily_top_n(listed, pl.candidates.where(f"pmod(hash(candidate_id), 4) = {n}"), pl.cap)
+    want = daily_top_n(publish_gate(pl.candidates), pl.cap).select("candidate_id").collect()
+    assert sorted(listed.select("candidate_id").collect()) == sorted(want) and want
