@@ -68,6 +68,15 @@ def q_recommendations_region(spark, sf_dir):
     return _pipe(spark, sf_dir, "region").recommendations.drop("data_freshness_ts", "created_ts")
 
 
+def q_recommendations_house(spark, sf_dir):
+    """Sites of ten screens, as many as the data have: candidates grow with the data and not with its square."""
+    return _pipe(spark, sf_dir, "house").recommendations.drop("data_freshness_ts", "created_ts")
+
+
+def q_candidates_house(spark, sf_dir):
+    return _pipe(spark, sf_dir, "house").candidates.drop("candidate_run_ts")
+
+
 def q_rank_join_recommendations(spark, sf_dir):
     """J13 + E4 as a bounded rank join: the published list without building all candidates."""
     pl = _pipe(spark, sf_dir)

@@ -5,7 +5,7 @@ lookup of the site), so its size grows with the data and Catalyst prunes the
 scan to the few columns used.
 
 Derivation rules (fixed, mirrored by the oracle SQL):
-  site      nation key (or region key)
+  site      nation key, region key, or house (ten suppliers: sites that grow with the data)
   screen    supplier: capacity 20 + (suppkey % 8) * 10; PREMIUM when suppkey % 3 = 0
   film      part: PREMIUM when size <= 10; price 5 + size % 10; baseline 2 * size
   showtime  lineitem: id orderkey * 10 + linenumber; start shipdate + 19 h +
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from slotwise.params import Params
 
-SITE_LEVELS = ("nation", "region")
+SITE_LEVELS = ("nation", "region", "house")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def _updated(p: Params) -> str:
     return f"TIMESTAMP_NTZ'{p.run_date} 08:00:00'"
 
 
+#: Screens of a site where sites grow with the table.
+HOUSE_SCREENS = 10
+
+
 def site_of_nation(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
     """(nationkey, site_id): the site each nation belongs to."""
     key = "n_nationkey" if site == "nation" else "n_regionkey"
@@ -49,6 +53,8 @@ def supplier_sites(spark: SparkSession, sf_dir: str, site: str, p: Params) -> Da
     sup = read_table(spark, sf_dir, "supplier")
     if site == "nation":
         return sup.selectExpr("s_suppkey", "s_name", "s_nationkey AS _site")
+    if site == "house":
+        return sup.selectExpr("s_suppkey", "s_name", f"s_suppkey div {HOUSE_SCREENS} AS _site")
     nations = site_of_nation(spark, sf_dir, site)
     return sup.join(nations, F.expr("s_nationkey = _nk")).selectExpr("s_suppkey", "s_name", "_site")
 
@@ -60,6 +66,12 @@ def theatres(spark: SparkSession, sf_dir: str, site: str = "nation", p: Params =
             "CAST(n_regionkey AS STRING) AS region", "'UTC' AS timezone", "'ACTIVE' AS theatre_status",
             f"{_updated(p)} AS source_updated_ts",
         )
+    if site == "house":
+        houses = supplier_sites(spark, sf_dir, site, p).select("_site").distinct()
+        return houses.selectExpr(
+            "_site AS theatre_id", "concat('House ', _site) AS theatre_name", "'Town' AS city", "'Shire' AS state",
+            "'All' AS region", "'UTC' AS timezone", "'ACTIVE' AS theatre_status", f"{_updated(p)} AS source_updated_ts",
+        )
     return read_table(spark, sf_dir, "region").selectExpr(
         "r_regionkey AS theatre_id", "r_name AS theatre_name", "r_name AS city", "r_name AS state",
         "r_name AS region", "'UTC' AS timezone", "'ACTIVE' AS theatre_status", f"{_updated(p)} AS source_updated_ts",
