@@ -29,7 +29,8 @@ N-grams are 64-bit hashes.
 
 Defined cases: a null or empty text, or one without words, has the empty set
 and is linked with nothing; a row with a null doc_id counts for nobody and has
-a null component; rows of one doc_id are linked with each other through it.
+a null component; rows of one doc_id are linked with each other through it,
+whatever their texts, and so are the components that its texts are in.
 Columns other than doc_id and text are never read.
 """
 
@@ -163,6 +164,7 @@ def linked(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BI
     ids = written(read.select("doc_id", "n", "k"), "ngram_ids")
     discard(read)
     waiting = ids.where("k IS NOT NULL")
+    sets, shared = _own_nodes(sets)
     links = _links(sets, percent)
     nodes = components(links)
     of_set = written(
@@ -171,7 +173,35 @@ def linked(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BI
     )
     discard(sets, nodes)
     done = ids.where("k IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return done.unionByName(waiting.select("k", "doc_id", F.col("n").alias("n_shingles")).join(of_set, "k").select("doc_id", "n_shingles", "component_id"))
+    rows = done.unionByName(waiting.select("k", "doc_id", F.col("n").alias("n_shingles")).join(of_set, "k").select("doc_id", "n_shingles", "component_id"))
+    return _through_documents(written(rows, "ngram_rows"), shared)
+
+
+def _own_nodes(sets: DataFrame) -> tuple[DataFrame, bool]:
+    """``sets`` with a node ``rep`` of their own each, and whether any needed one.
+
+    A set's node is its smallest document. Of the sets of one document with
+    several texts more than one may have it; these take a hash of the set.
+    """
+    twice = sets.groupBy("rep").count().where("count > 1").select(F.col("rep").alias("of"))
+    if twice.isEmpty():
+        return sets, False
+    own = F.when(F.col("of").isNotNull(), F.xxhash64("k")).otherwise(F.col("rep")).alias("rep")
+    named = sets.join(twice, F.col("rep") == F.col("of"), "left").select("k", own, *(c for c in sets.columns if c not in ("k", "rep")))
+    return written(named, "ngram_own_nodes"), True
+
+
+def _through_documents(rows: DataFrame, shared: bool) -> DataFrame:
+    """``rows`` with the components joined that one document's texts are in, named by their smallest document."""
+    several = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("u"), F.max("component_id").alias("v")).where("u <> v")
+    if not shared and several.isEmpty():
+        return rows
+    met = several.select("doc_id", "u").join(rows, "doc_id").where("component_id <> u").select("u", F.col("component_id").alias("v"))
+    joined = components(met)
+    label = F.coalesce(F.col("v"), F.col("component_id")).alias("label")
+    labelled = written(rows.join(joined, F.col("component_id") == F.col("u"), "left").select("doc_id", "n_shingles", label), "ngram_labels")
+    low = labelled.groupBy(F.col("label").alias("of")).agg(F.min("doc_id").alias("component_id"))
+    return labelled.join(low, F.col("label").eqNullSafe(F.col("of"))).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BITS) -> DataFrame:

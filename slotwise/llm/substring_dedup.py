@@ -10,7 +10,7 @@ of smaller doc_id; every word it covers goes. Levels double the length:
    through a few others but misses none.
 2. Full windows, at places whose half window survived. A task keeps the
    smallest document of each window it meets and marks the others itself, so
-   a window that a third of all documents hold costs one row per task. The
+   a window that a third of all documents hold costs one row per slice of text. The
    smallest document over all tasks decides the rest.
 
 :func:`longest` goes on doubling, with the surviving windows of one level as
@@ -35,13 +35,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from slotwise.llm import bitmap
 from slotwise.llm.common import ship, written
 from slotwise.llm.hashing import sliding_min, whole, window_hashes, word_hashes
 
 FILTER_BITS = 1 << 27
+SEVERAL_BITS = 1 << 20  #: of the doc_ids that have several texts
 MOST_BYTES = 1 << 22  #: text handled at a time
 MOST_HELD = 1 << 22  #: hashes a task gathers before it passes them on
 
@@ -164,6 +165,14 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(F.lit(0), *(F.col(f"`{c}`") for c in others)).alias("extra"))
     table = spark.sparkContext.broadcast(bitmap.collect(half_windows(docs, size), bits))
     half = _half(size)
+    # Marks go by document; where a doc_id has several texts, by the text's hash too.
+    several = docs.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi")).where("doc_id IS NOT NULL AND lo <> hi")
+    several = spark.sparkContext.broadcast(bitmap.collect(several.select(F.col("doc_id").alias("h")), SEVERAL_BITS))
+
+    def keys_of(texts, ids):
+        """Per row 0, or its text's hash where its doc_id may have another text."""
+        hashed = bitmap.holds(several.value, ids.view(np.uint64))
+        return np.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True) if x else 0 for t, x in zip(texts, hashed, strict=True)], np.int64)
 
     def candidates(part):
         """The words of a slice, and the places of full windows whose half window survived."""
@@ -173,30 +182,30 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
         return texts, words, counts, row, ids, np.flatnonzero(use)
 
     def ask(batches: Iterator) -> Iterator:
-        """Once per window and document of a slice: h, doc, first place, and whether a smaller one is here."""
+        """Once per window and text of a slice: h, doc, key, first place, and whether a smaller document is here."""
         for batch in batches:
             for part in _runs(batch):
-                _, words, counts, row, ids, at = candidates(part)
-                h, doc = window_hashes(words, size)[at], ids[row[at]]
+                texts, words, counts, row, ids, at = candidates(part)
+                h, doc, key = window_hashes(words, size)[at], ids[row[at]], keys_of(texts, ids)[row[at]]
                 place = at - (np.cumsum(counts) - counts)[row[at]]
-                order = np.lexsort((place, doc, h))
-                h, doc, place = h[order], doc[order], place[order]
+                order = np.lexsort((place, key, doc, h))
+                h, doc, key, place = h[order], doc[order], key[order], place[order]
                 edge = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-                once = edge | np.concatenate([[True], doc[1:] != doc[:-1]]) if len(h) else edge
+                once = edge | np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]) if len(h) else edge
                 first = doc[edge][np.cumsum(edge) - 1] if len(h) else doc
                 waits = doc == first
                 # Places of windows with a smaller document here need no answer.
                 for some, settled in ((once & waits, False), (once & ~waits, True)):
                     n = int(some.sum())
                     hashes = pa.nulls(n, pa.int64()) if settled else pa.array(_signed(h[some]))
-                    yield pa.record_batch([hashes, pa.array(doc[some]), pa.array(place[some].astype(np.int32))], names=["h", "doc", "place"])
+                    yield pa.record_batch([hashes, pa.array(doc[some]), pa.array(key[some]), pa.array(place[some].astype(np.int32))], names=["h", "doc", "key", "place"])
 
-    asked = docs.select("doc_id", "text").mapInArrow(ask, "h long, doc long, place int")
+    asked = docs.select("doc_id", "text").mapInArrow(ask, "h long, doc long, key long, place int")
     # A window has one row per slice of its smallest document there.
     low = F.min("doc").over(W.partitionBy("h"))
-    late = asked.where("h IS NOT NULL").withColumn("low", low).where("doc > low").select("doc", "place")
-    marks = late.unionByName(asked.where("h IS NULL").select("doc", "place")).groupBy("doc").agg(F.array_sort(F.collect_list("place")).alias("marks"))
-    marks = written(marks.select(F.col("doc").alias("doc_id"), "marks"), "repeat_marks")
+    late = asked.where("h IS NOT NULL").withColumn("low", low).where("doc > low").select("doc", "key", "place")
+    marks = late.unionByName(asked.where("h IS NULL").select("doc", "key", "place")).groupBy("doc", "key").agg(F.array_sort(F.collect_list("place")).alias("marks"))
+    marks = written(marks.select(F.col("doc").alias("doc_id"), "key", "marks"), "repeat_marks")
     # A schema, not its text: the row's own columns may have any names.
     extra, text = docs.schema["extra"], docs.schema["text"]
     doc_id = docs.schema["doc_id"]
@@ -208,11 +217,11 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
         def look(batches: Iterator) -> Iterator:
             for batch in batches:
                 for part in _runs(batch):
-                    texts, _, counts, row, _, at = candidates(part)
+                    texts, _, counts, row, ids, at = candidates(part)
                     has = np.zeros(len(texts), bool)
                     has[row[at]] = True
                     if mine:
-                        yield part.filter(pa.array(has))
+                        yield part.append_column("key", pa.array(keys_of(texts, ids))).filter(pa.array(has))
                         continue
                     rest = np.flatnonzero(~has)
                     kept = [b" ".join(texts[i].split()) for i in rest]
@@ -225,7 +234,7 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
         return look
 
     rest = docs.select("doc_id", "text", "extra").mapInArrow(sort_out(False), final)
-    texts = docs.select("doc_id", "text", "extra").mapInArrow(sort_out(True), StructType([doc_id, text, extra]))
+    texts = docs.select("doc_id", "text", "extra").mapInArrow(sort_out(True), StructType([doc_id, text, extra, StructField("key", LongType())]))
 
     def finish(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -252,7 +261,7 @@ def deduplicated(docs: DataFrame, size: int = 13, with_rows: bool = False, bits:
                 types = {"text": pa.string(), "n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string()}
                 yield pa.record_batch([part["doc_id"], part["extra"], *(pa.array(out[c], t) for c, t in types.items())], names=["doc_id", "extra", *types])
 
-    done = texts.join(marks, "doc_id", "left").select("doc_id", "extra", "text", "marks").mapInArrow(finish, final)
+    done = texts.join(marks, ["doc_id", "key"], "left").select("doc_id", "extra", "text", "marks").mapInArrow(finish, final)
     every = rest.unionByName(done)
     return every.select("doc_id", "n_words", "n_removed", "kept_sha256", *(["text", "extra"] if with_rows else []))
 

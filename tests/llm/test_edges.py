@@ -322,3 +322,38 @@ def test_near_copies_over_several_shares(spark, monkeypatch):
     for n in (2048, 7):
         monkeypatch.setattr(ngram_join, "CLOSE_ROWS", n)
         assert {r["doc_id"]: r["component_id"] for r in ngram_join.linked(docs).collect()} == want
+
+
+A = " ".join(f"a{i}" for i in range(40))
+C = " ".join(f"c{i}" for i in range(20))
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "A C"), (2, "x " + A), (2, C)],
+    [(1, A + " " + C), (2, "x y z " + A), (2, C)],
+    [(1, A), (2, "x " + A), (2, " ".join(A.split()[:13]) + " " + " ".join(f"y{i}" for i in range(60)))],
+    [(2, A), (2, C), (3, C + " " + A), (1, "q " + C), (None, A)],
+])
+def test_repeats_where_one_id_has_several_texts(spark, rows):
+    """Every row loses its own words only; windows of a smaller id decide, whichever text holds them."""
+    words = lambda t: t.split()
+    windows = lambda t: [tuple(words(t)[i : i + 13]) for i in range(len(words(t)) - 12)]
+    want = []
+    for d, t in rows:
+        early = {w for e, u in rows if d is not None and e is not None and e < d for w in windows(u)}
+        gone = {j for i, w in enumerate(windows(t)) if w in early for j in range(i, i + 13)}
+        want.append((d, len(words(t)), len(gone)))
+    got = substring_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert sorted(map(str, ((r["doc_id"], r["n_words"], r["n_removed"]) for r in got.collect()))) == sorted(map(str, want))
+
+
+def test_components_through_a_document_with_several_texts(spark):
+    near = lambda t: t + " end"
+    b = " ".join(f"b{i}" for i in range(40))
+    rows = [(3, A), (5, near(A)), (5, near(b)), (9, b), (5, "alone " + C), (7, "other words here at all"), (6, C), (None, A), (8, None), (8, b)]
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in ngram_join.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    ids = {d: c for (d, _), c in got.items()}
+    assert {ids[d] for d in (3, 5, 9, 8, 6)} == {3} and ids[7] == 7 and ids[None] is None
+    both = [(5, A), (5, b), (6, near(b)), (7, near(A)), (5, A)]  # two sets whose smallest document is one
+    got = ngram_join.linked(spark.createDataFrame(both, "doc_id long, text string")).collect()
+    assert len(got) == 5 and {r["component_id"] for r in got} == {5}
