@@ -59,11 +59,11 @@ _FOLDING = _Folding({ord(k): v for k, v in (HOMOGLYPHS | DIGITS).items()})
 
 
 def fold(text: str | None) -> str:
-    """Folded text: words parted by spaces, one space at both ends at least."""
+    """Folded text: words parted by one space, one space at both ends; so phrases are met across any signs."""
     text = (text or "").casefold()
     if not text.isascii():
         text = unicodedata.normalize("NFKD", text)
-    return f" {text.translate(_FOLDING)} "
+    return f" {' '.join(text.translate(_FOLDING).split())} "
 
 
 @dataclass
@@ -248,8 +248,7 @@ def _exceptions(texts: DataFrame, lexicon: Lexicon) -> list[str]:
         for batch in batches:
             rows = set()
             for n, (text, toxic, weight) in enumerate(zip(batch["text"], batch["toxic"], batch["weight"], strict=True)):
-                folded = " ".join(fold(text).split()) if lexicon.weights else ""
-                folded = f" {folded} "
+                folded = fold(text) if lexicon.weights else " "
                 for start, _ in lexicon.hits(folded):
                     end = folded.find(" ", start + 1)
                     left, right = folded.rfind(" ", 0, start), folded.find(" ", end + 1)

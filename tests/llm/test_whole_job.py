@@ -78,3 +78,10 @@ def test_random_strings_without_digits_or_letters_are_scored(spark):
     got = {r["doc_id"]: [x["t"] for x in r["spans"] if x["k"] == 3] for r in secret_scan.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert (got[900], got[901], got[902]) == ([key], [number], [])
     assert not any(got[i] for i in range(300))
+
+
+def test_exception_phrases_hold_across_signs():
+    lexicon = toxicity.Lexicon({" bad ": 3.0}, [" not bad "])
+    weight = lambda t: sum(w for _, w in lexicon.hits(toxicity.fold(t)))
+    assert [weight(t) for t in ("not bad", "not\nbad", "not, bad", "not  bad", "NOT... bad!")] == [0] * 5
+    assert [weight(t) for t in ("bad", "not so bad", "bad not")] == [3, 3, 3] and weight("bad, bad") == 6
