@@ -94,7 +94,7 @@ def test_every_stage_is_written_once_and_gone_at_the_end(spark):
     with StageStore(spark) as store:
         pl = Pipeline(demo_feeds(spark))
         found = pl.staged(store)
-        assert len(store.writes) == len(set(store.writes)) == len(pl.silver) + 4
+        assert len(store.writes) == len(set(store.writes)) == len(pl.silver) + 5  # features, pair inputs, hot ranges, candidates, recommendations
         twice = store.stage(spark.range(7).where("id > 2"), "few")
         assert store.stage(spark.range(7).where("id > 2"), "few") is twice and store.writes.count("few") == 1
         assert store.metrics("few")["rows"] == 4
