@@ -71,9 +71,9 @@ class AppendTable:
         df.write.parquet(f"{self.root}/{folder}")
         return self._commit(f"add {tag} {folder}", lambda: tag in self.tags())
 
-    def read(self, schema: StructType | str | None = None) -> DataFrame:
-        """All batches; columns that only some of them have are null in the others."""
-        folders = self.folders()
+    def read(self, schema: StructType | str | None = None, folders: list[str] | None = None) -> DataFrame:
+        """All batches, or those in ``folders``; columns that only some of them have are null in the others."""
+        folders = self.folders() if folders is None else folders
         if not folders:
             if schema is None:
                 raise FileNotFoundError(f"no batch under {self.root}")
@@ -81,10 +81,12 @@ class AppendTable:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.option("mergeSchema", schema is None).parquet(*folders)
 
-    def compact(self, most: int = 1, change: Callable[[DataFrame], DataFrame] | None = None, partitions: int | None = None) -> bool:
+    def compact(self, most: int = 1, change: Callable[[DataFrame], DataFrame] | None = None, partitions: int | None = None,
+                rebalance: bool = True) -> bool:
         """Write the batches there are as one, if they are more than ``most``; ``change`` may reduce their rows.
 
-        ``partitions`` sets the number of files; by default adaptive execution chooses it by size.
+        ``partitions`` sets the number of files; by default adaptive execution chooses it by size. Without
+        ``rebalance`` rows are written where ``change`` left them: right if it shuffles them itself.
         """
         old = [f.rsplit("/", 1)[1] for f in self.folders()]
         if len(old) <= most:
@@ -92,7 +94,8 @@ class AppendTable:
         df = self.read()
         df = change(df) if change else df
         folder = f"compact-{uuid.uuid4().hex[:8]}"
-        (df.repartition(partitions) if partitions else df.hint("rebalance")).write.parquet(f"{self.root}/{folder}")
+        df = df.repartition(partitions) if partitions else df.hint("rebalance") if rebalance else df
+        df.write.parquet(f"{self.root}/{folder}")
         gone = lambda: not set(old) <= {f.rsplit("/", 1)[1] for f in self.folders()}
         return self._commit(" ".join(["put", folder, *old]), gone)
 

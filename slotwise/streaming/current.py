@@ -51,13 +51,17 @@ class CurrentState:
 
     def read(self) -> DataFrame:
         """The current rows."""
-        now = self._newest(self.changes.read())
+        folders = self.changes.folders()
+        now = self.changes.read(folders=folders or None)
+        # A batch of changes has one row per key and so has a compacted one; only several have to be ranked.
+        now = now if len(folders) == 1 else self._newest(now)
         now = now.where(self.valid) if self.valid else now
         return now.select(*(c for c, _ in self.feed.columns))
 
     def compact(self, most: int = 1) -> bool:
         """One row per key, if there are more than ``most`` batches of changes."""
-        return self.changes.compact(most, self._newest)
+        # The ranking deals the rows by key already, in as many parts as their size asks for.
+        return self.changes.compact(most, self._newest, rebalance=False)
 
 
 def schedule_state(spark: SparkSession, root: str) -> CurrentState:
