@@ -135,3 +135,16 @@ class _Unhinted:
 
     def __init__(self, df):
         self.write = df.write
+
+
+def test_a_packed_load_is_read_back_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_feeds, "PACKED_ROWS", 10)
+    rows = spark.createDataFrame([booking_row(f"s{n}", NOON + timedelta(days=3), n, loaded=NOON) for n in range(35)], BOOKING.schema()).coalesce(1)
+    layout = BronzeLayout(str(tmp_path / "landing"), str(tmp_path / "bronze"))
+    write_feed(rows, layout.landing, BOOKING, "2026-07-01", compression="gzip")
+    landed = list((tmp_path / "landing").rglob("*.csv*"))
+    assert len([p for p in landed if p.name.endswith(".csv.gz")]) == 4
+    path = ingest_all(spark, layout, {BOOKING: schema_of(rows)}, "2026-07-01")[BOOKING.name]
+    got = spark.read.parquet(path)
+    assert got.where("_rescued_data IS NULL").count() == 35
+    assert sorted(map(str, got.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
