@@ -23,8 +23,9 @@ is each document's component under links.
   below and rule out almost all pairs before any set is moved; what they leave
   is joined by prefix trees. No partner is dropped.
 
-The classes travel as bitmaps of ``filter_bits`` bits. A bitmap may put an
-n-gram into a later class, for all documents alike, so the order stays one.
+The classes travel as bitmaps that grow with the n-grams in them, up to
+``MOST_BITS``. A bitmap may put an n-gram into a later class, for all documents
+alike, so the order stays one; a fuller one lets more documents wait.
 N-grams are 64-bit hashes.
 
 Defined cases: a null or empty text, or one without words, has the empty set
@@ -51,8 +52,10 @@ from slotwise.llm.components import components
 from slotwise.llm.hashing import window_hashes, word_hashes
 from slotwise.llm.substring_dedup import _runs
 
-FILTER_BITS = 1 << 26
-PICK = 4
+FILTER_BITS = 1 << 26  #: of a class's bitmap, at least
+MOST_BITS = 1 << 30  #: at most: 128 MB
+SLOTS = 8  #: bits per n-gram of the class, between the two
+PICK = 2
 CLASSES = (2, 16, 256)  #: documents from which on an n-gram is in the next class
 BLOCK = 256
 CLOSE_ROWS = 2048  #: sets in a share of an open n-gram's documents, two of which meet in one task
@@ -98,17 +101,33 @@ def _first(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _picked(grams: np.ndarray) -> np.ndarray:
+    """Whether each n-gram is counted: by its high bits, since bitmaps place it by the low ones."""
+    return grams < np.uint64((1 << 64) // PICK)
+
+
+def _bits(grams: int, least: int) -> int:
+    """Bits of a bitmap that holds so many n-grams."""
+    return max(least, min(MOST_BITS, 1 << (SLOTS * grams).bit_length()))
+
+
+def _class_tables(counts: DataFrame, least: int) -> list[np.ndarray]:
+    """Per class a bitmap of the n-grams in it or in a later one, as large as their number asks for."""
+    sizes = counts.agg(*(F.count_if(F.col("n") >= c) for c in CLASSES)).first()
+    return [bitmap.collect(counts.where(F.col("n") >= c).select("h"), _bits(size, least)) for c, size in zip(CLASSES, sizes, strict=True)]
+
+
 def held(docs: DataFrame, n: int) -> DataFrame:
     """h, n: documents that hold each picked n-gram, for those that two or more hold."""
     import pyarrow as pa
 
     def look(batches: Iterator) -> Iterator:
-        for batch in batches:  # a batch's picked n-grams are a quarter of its words
+        for batch in batches:  # a batch's picked n-grams are half as many as its words
             held = []
             for part in _runs(batch):
                 known = part["doc_id"].is_valid().to_pylist()
                 sets = [s for s, k in zip(shingle_sets(part["text"].to_pylist(), n), known, strict=True) if k]
-                held += [s[s % np.uint64(PICK) == 0] for s in sets]
+                held += [s[_picked(s)] for s in sets]
             if held:
                 h, count = np.unique(np.concatenate(held), return_counts=True)
                 yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(count.astype(np.int32))], names=["h", "n"])
@@ -124,7 +143,7 @@ def linked(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BI
     ship(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = written(held(docs, n), "ngram_counts")
-    tables = spark.sparkContext.broadcast([bitmap.collect(counts.where(F.col("n") >= c).select("h"), bits) for c in CLASSES])
+    tables = spark.sparkContext.broadcast(_class_tables(counts, bits))
     discard(counts)
 
     def look(batches: Iterator) -> Iterator:
@@ -134,7 +153,7 @@ def linked(docs: DataFrame, n: int = 4, percent: int = 85, bits: int = FILTER_BI
                 sets = shingle_sets(part["text"].to_pylist(), n)
                 sizes = np.array([len(s) for s in sets])
                 grams = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
-                picked = grams % np.uint64(PICK) == 0
+                picked = _picked(grams)
                 level = sum(bitmap.holds(t, grams).astype(np.int8) for t in tables.value)
                 # Picked ones by class, the others before the most frequent class.
                 rank = np.where(picked, np.where(level == len(CLASSES), len(CLASSES) + 1, level), len(CLASSES)).astype(np.int8)

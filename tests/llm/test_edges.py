@@ -253,6 +253,18 @@ def test_join_against_brute_force(spark, monkeypatch, block):
     assert {r["doc_id"]: r["n_shingles"] for r in got} == {d: len(brute.shingles(t)) for d, t in rows}
 
 
+def test_bitmaps_use_all_their_bits_and_grow(spark):
+    rows = [(d, " ".join(f"w{d // 2}x{i}" for i in range(300))) for d in range(40)]
+    counts = ngram_join.held(spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    tables = ngram_join._class_tables(counts, 1 << 15)
+    places = np.flatnonzero(np.unpackbits(tables[0], bitorder="little"))
+    near = 297 * 20 / ngram_join.PICK
+    assert 0.8 * near < len(places) < 1.2 * near and {int(p) % 4 for p in places} == {0, 1, 2, 3}
+    # About 3000 n-grams fit the least size; ten times as many do not.
+    assert len(tables[0]) * 8 == 1 << 15 and ngram_join._bits(30_000, 1 << 15) == 1 << 18
+    assert ngram_join._bits(0, 1 << 15) == 1 << 15 and ngram_join._bits(10**12, 1 << 15) == ngram_join.MOST_BITS
+
+
 def test_top_k_of_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (50, [0.0, 0.0]), (1, None), (2, []), (3, [float("nan"), 1.0]), (4, [1.0, None]), (5, [1.0, 2.0]), (6, [1.0, 2.0]), (7, [-0.001, 3.0]),
             (8, [float("inf"), 0.0]), (None, [1.0, 1.0]), (9, [1e300, 0.0]), (10, [1.0, 2.0, 3.0])]
