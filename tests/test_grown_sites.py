@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 
 from demo import demo_feeds
+from slotwise.functions.exprs import money_diff_sql, pair_cents_sql
 from slotwise.params import Params
-from slotwise.plans.pairing import busy_side, candidates, quiet_side
+from slotwise.plans.pairing import _pair_columns, band_pairs, busy_side, candidates, in_cents, judged, quiet_side
 from slotwise.plans.pipeline import SINGLE_CONSUMER, Pipeline
 from slotwise.plans.rank_join import bounded_busy, publishable
 from slotwise.plans.recommend import daily_top_n, daily_top_n_of_batches, merged_daily_top_n, publish_gate
@@ -82,3 +83,40 @@ def test_roles_are_looked_up_before_pairing(spark):
 
     plan = E.queries()["role_lookup"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert sum("Join " in line for line in plan.splitlines()) == 1, plan
+
+
+def test_pairs_are_priced_in_cents_as_in_decimal(spark):
+    """In cents or, beyond a million or without a price, in DECIMAL: the same revenues to the last bit, half cents and negative amounts too."""
+    side = "unconstrained_demand_forecast double, screen_capacity int, average_ticket_price double"
+    amounts = [(30.005, 20, 0.5), (1.005, 1, 12.345), (12.34, 10, None), (0.015, 0, -0.5), (-3.335, -4, 7.77), (2.5e6, 50, 19.99),
+               (77.7, 2_000_000_000, 1.15), (999999.99, 999999, 999999.99), (1e6, 5, 1e6), (5.0, 3, 1e9), (3.0, 9, 0.125)]
+    rows = spark.createDataFrame(amounts, side)
+    a, b = (rows.selectExpr(*(f"{c} AS {prefix}{c}" for c in rows.columns)) for prefix in ("a_", "b_"))
+    columns = dict(_pair_columns(Params()))
+    current, proposed = "current_expected_ticket_revenue", "proposed_expected_ticket_revenue"
+    pairs = in_cents(a, "a_").crossJoin(in_cents(b, "b_"))
+    got = pairs.selectExpr(
+        f"{pair_cents_sql('a_', 'a_', 'b_', 'b_')} AS now", f"{pair_cents_sql('a_', 'b_', 'b_', 'a_')} AS swapped",
+        f"{columns[current]} AS {current}", f"{columns[proposed]} AS {proposed}",
+    ).selectExpr("*", f"{money_diff_sql(proposed, current)} AS uplift").collect()
+    assert len(got) == len(amounts) ** 2
+    priced = [r for r in got if r["now"] is not None]
+    assert len(priced) == 6 * 6
+    for r in priced:
+        assert (r["now"] / 100, r["swapped"] / 100, (r["swapped"] - r["now"]) / 100) == (r[current], r[proposed], r["uplift"])
+    assert all((r["now"] is None) == (r["swapped"] is None) for r in got)
+
+
+def test_candidates_come_in_the_sessions_partitions(spark):
+    """What a task makes follows from pairs: partitions are not merged by the few bytes of the shows."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        with StageStore(spark) as store:
+            inputs = store.stage(spark.createDataFrame(shows(3, 300, 2), COLUMNS), "inputs")
+            got = candidates(inputs, Params(), 50_000_000, store.stage, with_run_ts=False)
+            assert got.rdd.getNumPartitions() == 13
+            plain = judged(band_pairs(inputs), Params(), with_run_ts=False)
+            assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and plain.count() > 100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
