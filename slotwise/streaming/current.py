@@ -1,12 +1,12 @@
 """Current state kept up by streams (E1, E2 incremental).
 
-Rows of a bronze table stream through a keyed aggregate whose state is the
-newest version per key; in update mode a load puts out the keys it changed and
-nothing else, and they are appended as one batch of changes. What is current
-is the newest change per key, by the same order; rules on the newest version
-(a bad one removes the key) are tested on reading. ``compact`` leaves one row
-per key. A load reads its own rows and touches its own keys; the rest stays in
-the state store under the checkpoint.
+Rows of a bronze table stream in micro-batches; each is reduced to the newest
+version per key and appended as one batch of changes. What is current is the
+newest change per key, by the same order; rules on the newest version (a bad
+one removes the key) are tested on reading. ``compact`` leaves one row per key.
+A load reads its own rows and touches its own keys. The changes are the state:
+no key is held in the executors' memory from load to load, however many keys
+there are, and a version that is older than one appended before loses on reading.
 """
 
 from __future__ import annotations
@@ -37,12 +37,11 @@ class CurrentState:
         # Nulls are smallest in a struct's order, as they come last in the batch order.
         newest = F.max(F.struct("source_updated_ts", *(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)))).alias("newest")
         named = [*self.keys, *(F.col(f"newest._{i}").alias(c) for i, c in enumerate(others))]
-        changed = rows.groupBy(*self.keys).agg(newest).select(*named)
 
         def load(batch: DataFrame, n: int) -> None:
-            self.changes.append(batch, f"batch-{n:08d}")
+            self.changes.append(batch.groupBy(*self.keys).agg(newest).select(*named), f"batch-{n:08d}")
 
-        query = changed.writeStream.outputMode("update").foreachBatch(load).option("checkpointLocation", self.checkpoint).trigger(availableNow=True).start()
+        query = rows.writeStream.foreachBatch(load).option("checkpointLocation", self.checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
         return sum(p["numInputRows"] for p in query.recentProgress)
 

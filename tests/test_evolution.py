@@ -148,3 +148,17 @@ def test_a_packed_load_is_read_back_in_files_of_bounded_rows(spark, tmp_path, mo
     got = spark.read.parquet(path)
     assert got.where("_rescued_data IS NULL").count() == 35
     assert sorted(map(str, got.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_loads_leave_no_keys_in_a_state_store(spark, tmp_path):
+    """The changes are the state: its keys are not held in memory from load to load, and an older version that comes late changes nothing."""
+    now = schedule_state(spark, str(tmp_path / "state"))
+    start = NOON + timedelta(days=3)
+    for n, (screen, loaded) in enumerate((("h1", NOON), ("h2", NOON + timedelta(hours=2)), ("h3", NOON - timedelta(days=9)))):
+        load = spark.createDataFrame([show_row("n-busy", "north", screen, "amber", start, loaded=loaded)], SCHEDULE.schema())
+        load.write.mode("append").parquet(str(tmp_path / "bronze"))
+        assert now.update(spark.readStream.schema(load.schema).parquet(str(tmp_path / "bronze"))) == 1
+        assert len(now.changes.folders()) == n + 1
+    assert not files.exists(spark, f"{now.checkpoint}/state")
+    assert [r["screen_id"] for r in now.read().collect()] == ["north/h2"]
+    assert now.compact() and [r["screen_id"] for r in now.read().collect()] == ["north/h2"]

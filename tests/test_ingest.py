@@ -136,3 +136,11 @@ def test_refresh_of_a_named_table_shows_every_load(spark, tmp_path):
     assert {r["_batch_id"] for r in spark.table(name).select("_batch_id").distinct().collect()} == {"o'brien"}
     spark.sql(f"DROP VIEW {name}")
     spark.sql("DROP SCHEMA refreshed_bronze")
+
+
+def test_json_is_built_for_unclean_rows_only(spark):
+    from slotwise.sources.csv_feeds import raw_schema, rescue
+
+    schema = schema_of(demo_feeds(spark)["screen_master"])
+    plan = rescue(spark.createDataFrame([], raw_schema([*schema.names, "extra"])), schema)._jdf.queryExecution().analyzed().toString().lower()
+    assert "to_json(" in plan and "nullif" not in plan, plan
