@@ -144,3 +144,17 @@ def test_json_is_built_for_unclean_rows_only(spark):
     schema = schema_of(demo_feeds(spark)["screen_master"])
     plan = rescue(spark.createDataFrame([], raw_schema([*schema.names, "extra"])), schema)._jdf.queryExecution().analyzed().toString().lower()
     assert "to_json(" in plan and "nullif" not in plan, plan
+
+
+def test_whole_flow_lands_packed_feeds(spark):
+    import glob
+
+    import __spark_entry__ as E
+    from slotwise.schemas import FEEDS
+    from slotwise.session import shared_dir
+
+    landed = lambda: set(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/slotwise/landing-*/*/*/*.csv*"))
+    before = landed()
+    E.queries()["medallion_recommendations"](spark, "/root/testdata/sf0.001")
+    new = landed() - before
+    assert len({f.split("/")[-3] for f in new}) == len(FEEDS) and all(f.endswith(".csv.snappy") for f in new)
